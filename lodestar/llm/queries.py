@@ -1,14 +1,16 @@
 """The queries of this subpackage and the SQL that they are held against."""
 
-from lodestar.llm import bpe, decontaminate, pii, quality, simhash, token_store, warc
+from lodestar.llm import bpe, decontaminate, pii, quality, simhash, substring_tree, suffix_array, token_store, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_simhash": simhash.op2_simhash,
+    "op3_suffix_array": suffix_array.op3_suffix_array,
     "op4_quality": quality.op4_quality,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_warc": warc.op6_warc,
     "op7_token_store": token_store.op7_token_store,
+    "op9_substring": substring_tree.op9_substring,
     "op10_bpe": bpe.op10_bpe,
 }
 
