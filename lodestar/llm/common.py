@@ -65,3 +65,41 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) with a null text as the empty one, whatever else df has."""
     return df.select(F.col(id_col).cast(T.LongType()).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+
+def packed(df: DataFrame, limit: int, name: str) -> DataFrame:
+    """(pack, blob) of documents (doc_id, text), written: packs of about ``limit`` bytes of text in the order of the scan."""
+    from pyspark import TaskContext
+
+    schema = pa.schema([("pack", pa.int64()), ("blob", pa.binary())])
+
+    def run(batches):
+        part, number, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
+        for b in batches:
+            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ids.append(doc_id)
+                texts.append(text)
+                size += len(text)
+                if size >= limit:
+                    yield batch(schema, [part << 24 | number], [freeze((ids, texts))])
+                    number, ids, texts, size = number + 1, [], [], 0
+        if ids:
+            yield batch(schema, [part << 24 | number], [freeze((ids, texts))])
+
+    return written(map_arrow(documents(df), run, "pack long, blob binary"), name)
+
+
+def freeze(rows) -> bytes:
+    import pickle
+
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(rows, 5))
+
+
+def thaw(blob: bytes):
+    import pickle
+
+    import zstandard
+
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))

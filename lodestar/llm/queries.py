@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL that they are held against."""
 
-from lodestar.llm import bpe, decontaminate, pii, quality, simhash, substring_tree, suffix_array, token_store, warc
+from lodestar.llm import bpe, decontaminate, language_model, pii, quality, simhash, substring_tree, suffix_array, token_store, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_warc": warc.op6_warc,
     "op7_token_store": token_store.op7_token_store,
+    "op8_language_model": language_model.op8_language_model,
     "op9_substring": substring_tree.op9_substring,
     "op10_bpe": bpe.op10_bpe,
 }
