@@ -15,6 +15,7 @@ lookup finds it. Other columns are not looked at. An empty table gives no shard.
 
 from __future__ import annotations
 
+import array
 import struct
 import zlib
 
@@ -29,42 +30,63 @@ from lodestar.llm import common
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 MAGIC, HEAD = b"LSTOK1\0\0", "<8sqqqqqq"
-SHARD_BYTES, CACHE = 6 << 20, 500_000
+SHARD_BYTES, CACHE = 6 << 20, 600_000
 #: Scripts for which the word pattern here is known to agree with the library's; other texts go to it whole.
 ODD = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa0-\\u017f\\u2010-\\u2027]|<\\|")
 
 
+#: Blanks next to a space: there the cuts of the library depend on more than one space-separated unit.
+WIDE_GAP = re.compile("[ \\t\\n\\r\\xa0] | [\\t\\n\\r\\xa0]|^ | $")
+
+
 class WordEncoder:
-    """The tokenizers library, asked once for each distinct piece of text between its own cuts."""
+    """The tokenizers library, asked once for each distinct piece of text between its own cuts.
+
+    Where single spaces stand alone, each starts a piece, so that texts fall into units (a space and what follows
+    up to the next) that can be cut and remembered one by one.
+    """
 
     def __init__(self, path: str, end_id: int):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cut = Tokenizer.from_file(path), regex.compile(public_tokenizers.PATTERN)
+        from lodestar.llm.bpe import byte_letters
+
+        self.tokenizer, self.cut = Tokenizer.from_file(path), regex.compile(public_tokenizers.PATTERN).findall
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model, self.letters = self.tokenizer.model, dict(enumerate(byte_letters()))
         self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
-        self.end, self.known = np.array([end_id], self.type).tobytes(), {}
+        self.code = "H" if self.type.itemsize == 2 else "I"
+        self.end, self.pieces, self.units = np.array([end_id], self.type).tobytes(), {}, {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+            found = self.pieces[piece] = array.array(self.code, ids).tobytes()
+        return found
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE:
-            self.known = {}
-        parts = [None if ODD.search(t) else self.cut.findall(t) for t in texts]
-        seen: set[str] = set()
-        for words in parts:
-            seen.update(words or ())
-        new = [w for w in seen if w not in self.known]
-        for k in range(0, len(new), 20_000):
-            found = self.tokenizer.encode(new[k : k + 20_000], is_pretokenized=True, add_special_tokens=False)
-            ids, word = np.array(found.ids, self.type), np.array(found.word_ids, np.int64)
-            ends = np.searchsorted(word, np.arange(len(new[k : k + 20_000])), "right") * self.type.itemsize
-            raw, at = ids.tobytes(), 0
-            for w, end in zip(new[k : k + 20_000], ends.tolist()):
-                self.known[w] = raw[at:end]
-                at = end
-        return [(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.type).tobytes() if words is None else b"".join(map(self.known.__getitem__, words))) + self.end for t, words in zip(texts, parts)]
+        if len(self.pieces) > CACHE or len(self.units) > CACHE:
+            self.pieces, self.units = {}, {}
+        units, cut, piece, out = self.units, self.cut, self.piece, []
+        for text in texts:
+            if ODD.search(text):
+                out.append(self.whole(text) + self.end)
+            elif WIDE_GAP.search(text):
+                out.append(b"".join(map(piece, cut(text))) + self.end)
+            else:
+                first, *rest = text.split(" ")
+                for u in set(rest):
+                    if u not in units:
+                        units[u] = b"".join(map(piece, cut(" " + u)))
+                out.append(b"".join(map(piece, cut(first))) + b"".join(map(units.__getitem__, rest)) + self.end)
+        return out
 
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
