@@ -36,7 +36,35 @@ ODD = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa0-\\u017f\\u2010-\\u2027]|<\\|")
 
 
 #: Blanks next to a space: there the cuts of the library depend on more than one space-separated unit.
-WIDE_GAP = re.compile("[ \\t\\n\\r\\xa0] | [\\t\\n\\r\\xa0]|^ | $")
+WIDE_GAPS = ("  ", " \n", "\n ", "\t", "\r", "\xa0")
+#: The library's cuts of texts without ODD characters: its letters, digits and blanks among the others are spelt out.
+LETTER, DIGIT, BLANK = "A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u017f", "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe", " \\t\\n\\r\\xa0"
+CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^{BLANK}{LETTER}{DIGIT}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+
+
+class Pieces(dict):
+    """Piece of text -> the bytes of its ids, found by the library's model when first asked for."""
+
+    def __init__(self, model, code: str):
+        from lodestar.llm.bpe import byte_letters
+
+        self.model, self.code, self.letters = model, code, dict(enumerate(byte_letters()))
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+        found = self[piece] = array.array(self.code, ids).tobytes()
+        return found
+
+
+class Units(dict):
+    """What follows a lone space -> the bytes of the ids of both."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self[unit] = b"".join(map(self.pieces.__getitem__, CUT.findall(" " + unit)))
+        return found
 
 
 class WordEncoder:
@@ -47,46 +75,31 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, end_id: int):
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
-        from lodestar.llm.bpe import byte_letters
-
-        self.tokenizer, self.cut = Tokenizer.from_file(path), regex.compile(public_tokenizers.PATTERN).findall
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model, self.letters = self.tokenizer.model, dict(enumerate(byte_letters()))
         self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
-        self.code = "H" if self.type.itemsize == 2 else "I"
-        self.end, self.pieces, self.units = np.array([end_id], self.type).tobytes(), {}, {}
+        self.end = np.array([end_id], self.type).tobytes()
+        self.forget()
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+    def forget(self) -> None:
+        self.pieces = Pieces(self.tokenizer.model, "H" if self.type.itemsize == 2 else "I")
+        self.units = Units(self.pieces)
 
-    def piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
-            found = self.pieces[piece] = array.array(self.code, ids).tobytes()
-        return found
+    def encode(self, text: str) -> bytes:
+        if ODD.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+        if text[:1] == " " or text[-1:] == " " or any(gap in text for gap in WIDE_GAPS):
+            return b"".join(map(self.pieces.__getitem__, CUT.findall(text)))
+        first, *rest = text.split(" ")
+        return b"".join(map(self.pieces.__getitem__, CUT.findall(first))) + b"".join(map(self.units.__getitem__, rest))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        if len(self.pieces) > CACHE or len(self.units) > CACHE:
-            self.pieces, self.units = {}, {}
-        units, cut, piece, out = self.units, self.cut, self.piece, []
-        for text in texts:
-            if ODD.search(text):
-                out.append(self.whole(text) + self.end)
-            elif WIDE_GAP.search(text):
-                out.append(b"".join(map(piece, cut(text))) + self.end)
-            else:
-                first, *rest = text.split(" ")
-                for u in set(rest):
-                    if u not in units:
-                        units[u] = b"".join(map(piece, cut(" " + u)))
-                out.append(b"".join(map(piece, cut(first))) + b"".join(map(units.__getitem__, rest)) + self.end)
-        return out
+        if len(self.units) > CACHE or len(self.pieces) > CACHE:
+            self.forget()
+        return [self.encode(t) + self.end for t in texts]
 
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
