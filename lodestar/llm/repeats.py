@@ -5,11 +5,12 @@
    lists the runs of windows with one anchor; tasks exchange each anchor once a block of documents.
 2. Documents meet the anchors that occur again, a chunk of documents at a time. Of each run with such an anchor the symbols are
    taken (a segment). Segments that repeat within the chunk are settled there: all their windows start earlier.
-3. The other segments are dealt by anchor. A task takes them in bounded groups, and the operator's own structure (suffix
-   array or suffix tree) finds the windows of a group that start earlier.
+3. The other segments are dealt by anchor. A task takes them in bounded groups. Of equal segments the first counts; an anchor that is left with
+   several segments goes to the operator's own structure (suffix array or suffix tree), which finds the windows that start earlier.
+   (The windows of one segment differ among themselves, as their one anchor lies at different places.)
 4. The marks return to their documents.
 
-Nothing depends on the number of copies: a passage is one row a chunk. Text moves twice, anchors and segments once.
+Nothing depends on the number of copies: a passage is one row a chunk. Texts move in compressed packs, a chunk's in one exchange.
 
 Order: smaller doc_id first (a null counts as the largest), then smaller start. Rows that share a doc_id are one document here: equal starts are
 no earlier ones. Null texts are empty ones.
@@ -32,12 +33,14 @@ BLOCK, GROUP_BYTES, PLACES = 1 << 20, 2 << 20, 24
 
 @dataclass(frozen=True)
 class Windows:
-    """window, gram: their lengths in symbols (gram a power of two). symbols: those of a text. group: what settles a group of segments."""
+    """window, gram: their lengths in symbols (gram a power of two). symbols: those of some texts, one after the other, and how many each has.
+    content: the bytes of some symbols of a text. read: the symbols of some contents. group: what settles a group of segments."""
 
     window: int
     gram: int
-    type: str
-    symbols: Callable[[str], np.ndarray]
+    symbols: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+    content: Callable[[bytes], Callable[[int, int], bytes]]
+    read: Callable[[list[bytes]], list[np.ndarray]]
     group: Callable
 
 
@@ -81,8 +84,8 @@ def runs(symbols: np.ndarray, sizes: np.ndarray, window: int, gram: int):
     return h[place[first]], doc, begin - starts[doc], at[last] - starts[doc]
 
 
-def blocks(rows: list[tuple], sizes: list[int], limit: int = BLOCK):
-    """Slices of rows of about ``limit`` symbols."""
+def blocks(sizes: list[int], limit: int = BLOCK):
+    """Slices of rows of about ``limit`` bytes."""
     at = total = 0
     for k, n in enumerate(sizes):
         total += n
@@ -97,19 +100,42 @@ def keyed(df: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("ord"), F.xxhash64("doc_id", "text").alias("row"), "text")
 
 
-def marks(docs: DataFrame, kind: Windows) -> DataFrame:
-    """(row, first, last) runs of windows that also start earlier; docs as from ``keyed``."""
-    chunks = max(8, 8 * docs.rdd.getNumPartitions())
-    docs = docs.withColumn("chunk", F.pmod("row", F.lit(chunks)).cast("int"))
+def encoded(texts: list[str]) -> list[bytes]:
+    return [t.encode("utf-8", "surrogatepass") for t in texts]
+
+
+def in_packs(docs: DataFrame) -> DataFrame:
+    """(chunk, blob): the documents of a chunk within a batch, compressed together."""
+    schema = pa.schema([("chunk", pa.int32()), ("blob", pa.binary())])
+
+    def run(batches):
+        for b in batches:
+            chunk = b.column(0).to_numpy(zero_copy_only=False)
+            rows = list(zip(*(b.column(k).to_pylist() for k in range(1, 5))))
+            order = np.argsort(chunk, kind="stable")
+            cuts = np.nonzero(np.diff(chunk[order]))[0] + 1
+            parts = np.split(order, cuts) if len(order) else []
+            yield common.batch(schema, [chunk[p[0]] for p in parts], [common.freeze([rows[i] for i in p.tolist()]) for p in parts])
+
+    return common.map_arrow(docs.select("chunk", "doc_id", "ord", "row", "text"), run, "chunk int, blob binary")
+
+
+def unpacked(table: pa.Table) -> list[tuple]:
+    """(doc_id, ord, row, text) of a chunk, by ord."""
+    return sorted((r for blob in table.column("blob") for r in common.thaw(blob.as_py())), key=lambda r: r[1:3])
+
+
+def marks(docs: DataFrame, packs: DataFrame, kind: Windows) -> DataFrame:
+    """(row, first, last) runs of windows that also start earlier; docs as from ``keyed``, with a chunk."""
 
     def anchors(batches):
         schema = pa.schema([("anchor", pa.int64()), ("chunk", pa.int32()), ("more", pa.binary())])
         for b in batches:
-            texts = [kind.symbols(t) for t in b.column(1).to_pylist()]
-            chunk, sizes = b.column(0).to_numpy(zero_copy_only=False), np.array([len(t) for t in texts])
-            for a, z in blocks(texts, sizes.tolist()):
-                anchor, doc, _, _ = runs(np.concatenate(texts[a:z]), sizes[a:z], kind.window, kind.gram)
-                order = np.argsort(anchor, kind="stable")
+            texts = encoded(b.column(1).to_pylist())
+            chunk = b.column(0).to_numpy(zero_copy_only=False)
+            for a, z in blocks([len(t) for t in texts]):
+                anchor, doc, _, _ = runs(*kind.symbols(texts[a:z]), kind.window, kind.gram)
+                order = np.argsort(anchor)
                 anchor, places = anchor[order].view(np.int64), chunk[a:z][doc[order]].astype(np.int32)
                 new = np.ones(len(anchor), bool)
                 new[1:] = anchor[1:] != anchor[:-1]
@@ -117,8 +143,7 @@ def marks(docs: DataFrame, kind: Windows) -> DataFrame:
                 size = np.diff(np.append(first, len(anchor)))
                 more = np.full(len(first), None, object)
                 for k in np.nonzero(size > 1)[0].tolist():
-                    rest = np.unique(places[first[k] + 1 : first[k] + size[k]])
-                    more[k] = rest.tobytes()
+                    more[k] = np.unique(places[first[k] + 1 : first[k] + size[k]]).tobytes()
                 yield common.batch(schema, anchor[first], places[first], more)
 
     def again(batches):
@@ -131,13 +156,12 @@ def marks(docs: DataFrame, kind: Windows) -> DataFrame:
                 continue
             more = b.column(2)
             has = ~np.array(more.is_null())
-            twin = np.zeros(len(anchor), bool)
-            twin[1:] = anchor[1:] == anchor[:-1]
+            twin = has.copy()
+            twin[1:] |= anchor[1:] == anchor[:-1]
             twin[:-1] |= anchor[1:] == anchor[:-1]
-            twin |= has
             out_c, out_a = [], []
             if last is not None and last == anchor[0]:
-                twin |= (anchor == last)
+                twin |= anchor == last
                 if waiting is not None:
                     out_c.append(np.array([waiting], np.int32))
                     out_a.append(np.array([last], np.int64))
@@ -152,24 +176,24 @@ def marks(docs: DataFrame, kind: Windows) -> DataFrame:
 
     segment_schema = pa.schema([("anchor", pa.int64()), ("ord", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("content", pa.binary())])
 
-    def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+    def cut(left, right):
         """The segments of a chunk whose anchors occur again; content is null where a run is settled here."""
         want = np.unique(right.column("anchor").to_numpy())
         out: list[tuple] = []
         if left.num_rows and len(want):
-            left = left.sort_by([("ord", "ascending")])
-            orders, names = left.column("ord").to_numpy(), left.column("row").to_numpy()
-            texts = [kind.symbols(t) for t in left.column("text").to_pylist()]
-            sizes, seen = [len(t) for t in texts], {}
-            for a, z in blocks(texts, sizes):
-                anchor, doc, first, last = runs(np.concatenate(texts[a:z]), np.array(sizes[a:z]), kind.window, kind.gram)
-                anchor = anchor.view(np.int64)
+            docs = unpacked(left)
+            texts, seen = encoded([r[3] for r in docs]), {}
+            for a, z in blocks([len(t) for t in texts]):
+                anchor, doc, first, last = runs(*kind.symbols(texts[a:z]), kind.window, kind.gram)
+                anchor, now, content = anchor.view(np.int64), -1, None
                 spot = np.minimum(np.searchsorted(want, anchor), len(want) - 1)
-                for k in np.nonzero(want[spot] == anchor)[0].tolist():
-                    d, f, e = int(doc[k]) + a, int(first[k]), int(last[k])
-                    content, here = texts[d][f : e + kind.window].tobytes(), (int(orders[d]), f)
-                    before = seen.setdefault(content, here)
-                    out.append((int(anchor[k]), here[0], int(names[d]), f, e, None if before < here else content))
+                hit = np.nonzero(want[spot] == anchor)[0]
+                for k, d, f, e in zip(anchor[hit].tolist(), doc[hit].tolist(), first[hit].tolist(), last[hit].tolist()):
+                    if d != now:
+                        now, content, (_, ord_, row, _) = d, kind.content(texts[a + d]), docs[a + d]
+                    part, here = content(f, e + kind.window), (ord_, f)
+                    settled = seen.setdefault(part, here) < here
+                    out.append((row if settled else k, ord_, row, f, e, None if settled else part))
         columns = list(zip(*out)) or [[]] * 6
         return pa.table([pa.array(c, t) for c, t in zip(columns, segment_schema.types)], schema=segment_schema)
 
@@ -185,7 +209,9 @@ def marks(docs: DataFrame, kind: Windows) -> DataFrame:
             return common.batch(schema, *(list(zip(*found)) or [[]] * 3))
 
         for b in batches:
-            for x in zip(*(c.to_pylist() for c in b.columns)):
+            settled = np.array(b.column(5).is_null())
+            yield common.batch(schema, *(b.column(k).filter(pa.array(settled)) for k in (2, 3, 4)))
+            for x in zip(*(c.filter(pa.array(~settled)).to_pylist() for c in b.columns)):
                 if held and size >= GROUP_BYTES and (x[0] != held[-1][0] or size >= 4 * GROUP_BYTES):
                     yield flush()
                 held.append(x)
@@ -193,15 +219,12 @@ def marks(docs: DataFrame, kind: Windows) -> DataFrame:
         if held:
             yield flush()
 
-    spark = docs.sparkSession
     listed = common.map_arrow(docs.select("chunk", "text"), anchors, "anchor long, chunk int, more binary").repartition("anchor").sortWithinPartitions("anchor")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
     wanted = listed.mapInArrow(again, "chunk int, anchor long")
-    parts = docs.select("chunk", "ord", "row", "text").groupBy("chunk").cogroup(wanted.groupBy("chunk"))
-    segments = common.written(parts.applyInArrow(cut, "anchor long, ord long, row long, first int, last int, content binary"), "segments")
-    dealt = segments.where("content is not null").repartition("anchor").sortWithinPartitions("anchor", "ord", "first")
-    settled = dealt.mapInArrow(settle, "row long, first int, last int")
-    return segments.where("content is null").select("row", "first", "last").union(settled)
+    segments = packs.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(cut, "anchor long, ord long, row long, first int, last int, content binary")
+    dealt = segments.repartition("anchor").sortWithinPartitions("anchor", "ord", "first")
+    return dealt.mapInArrow(settle, "row long, first int, last int")
 
 
 def group_marks(kind: Windows, rows: list[tuple], carry):
@@ -210,31 +233,39 @@ def group_marks(kind: Windows, rows: list[tuple], carry):
     Equal contents are one; those after the first are marked whole. carry holds what an anchor that a group's end
     cuts in two has shown so far.
     """
-    unique: dict[bytes, int] = {}
-    owner, twins, out = [], [], []
     carried, seen = carry if carry and carry[0] == rows[0][0] else (None, None)
-    for anchor, ord_, row, first, last, content in rows:
-        k = unique.setdefault(content, len(owner))
-        if k == len(owner):
-            owner.append((ord_, first, last - first + 1, row, anchor == carried))
-        elif (ord_, first) > owner[k][:2]:
-            out.append((row, first, last))
+    goes_on = rows[-1][0]
+    owner, out, twins, at = [], [], [], 0
+    while at < len(rows):  # an anchor at a time
+        anchor, end, unique, own = rows[at][0], at, {}, []
+        while end < len(rows) and rows[end][0] == anchor:
+            _, ord_, row, first, last, content = rows[end]
+            k = unique.setdefault(content, len(own))
+            if k == len(own):
+                own.append((ord_, first, last - first + 1, row, anchor == carried, content))
+            elif (ord_, first) > own[k][:2]:
+                out.append((row, first, last))
+            else:
+                twins.append((len(owner) + k, row, first))
+            end += 1
+        if len(own) > 1 or anchor == carried or anchor == goes_on:
+            owner += own
         else:
-            twins.append((k, row, first))
-    contents = [np.frombuffer(c, kind.type) for c in unique]
-    sizes = np.array([n for _, _, n, _, _ in owner], np.int64)
-    # order of each window's start among all
-    ords = np.array([o for o, *_ in owner], np.int64)
-    starts = np.array([f for _, f, *_ in owner], np.int64)
-    earlier, keys = kind.group(contents, sizes, ords, starts, np.array([c for *_, c in owner]), seen, rows[-1][0] == rows[0][0])
+            while twins and twins[-1][0] >= len(owner):
+                twins.pop()
+        at = end
+    if not owner:
+        return out, None
+    contents = kind.read([o[5] for o in owner])
+    sizes, ords, starts = (np.array([o[k] for o in owner], np.int64) for k in (2, 0, 1))
+    whole = goes_on == rows[0][0]
+    earlier, keys = kind.group(contents, sizes, ords, starts, np.array([o[4] for o in owner]), seen, whole)
     bounds = np.cumsum(sizes) - sizes
-    for k, (_, first, n, row, _) in enumerate(owner):
-        for a, z in true_runs(earlier[bounds[k] : bounds[k] + n]):
-            out.append((row, first + a, first + z))
+    for k, (_, first, n, row, _, _) in enumerate(owner):
+        out += [(row, first + a, first + z) for a, z in true_runs(earlier[bounds[k] : bounds[k] + n])]
     for k, row, first in twins:
-        for a, z in true_runs(earlier[bounds[k] : bounds[k] + owner[k][2]]):
-            out.append((row, first + a, first + z))
-    return out, (rows[-1][0], keys) if keys is not None else None
+        out += [(row, first + a, first + z) for a, z in true_runs(earlier[bounds[k] : bounds[k] + owner[k][2]])]
+    return out, (goes_on, keys) if keys is not None else None
 
 
 def true_runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -255,21 +286,29 @@ def not_first(label: np.ndarray, ords: np.ndarray, starts: np.ndarray) -> np.nda
 
 
 def apply(df: DataFrame, kind: Windows, finish: Callable, schema: str, arrow: pa.Schema) -> DataFrame:
-    """finish(text, covered) -> a row after doc_id, for every document; covered: whether each symbol is in a marked window."""
+    """finish(text as bytes, marks) -> a row after doc_id, for every document; marks: (first, last) window of each marked run."""
     docs = keyed(df)
-    gone = marks(docs, kind).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("gone"))
-    joined = docs.join(gone, "row", "left").select("doc_id", "text", "gone.first", "gone.last")
-
-    def run(batches):
-        for b in batches:
-            rows = []
-            for doc_id, text, first, last in zip(*(c.to_pylist() for c in b.columns)):
-                symbols = kind.symbols(text)
-                edge = np.zeros(len(symbols) + 1, np.int64)
-                if first:
-                    np.add.at(edge, np.array(first), 1)
-                    np.add.at(edge, np.array(last) + kind.window, -1)
-                rows.append((doc_id, *finish(text, np.cumsum(edge[:-1]) > 0)))
-            yield common.batch(arrow, *(list(zip(*rows)) or [[]] * len(arrow)))
-
-    return common.map_arrow(joined, run, schema)
+    chunks = max(8, 4 * docs.rdd.getNumPartitions())
+    docs = docs.withColumn("chunk", F.pmod("row", F.lit(chunks)).cast("int"))
+    packs = in_packs(docs)
+    gone = marks(docs, packs, kind).withColumn("chunk", F.pmod("row", F.lit(chunks)).cast("int"))
+
+    def run(left, right):
+        row, first, last = (right.column(k).to_numpy() for k in ("row", "first", "last"))
+        order = np.argsort(row)
+        row, first, last = row[order], first[order], last[order]
+        rows = []
+        for doc_id, _, name, text in unpacked(left) if left.num_rows else ():
+            a, z = np.searchsorted(row, name), np.searchsorted(row, name, "right")
+            rows.append((doc_id, *finish(text.encode("utf-8", "surrogatepass"), first[a:z], last[a:z])))
+        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * len(arrow), arrow.types)], schema=arrow)
+
+    return packs.groupBy("chunk").cogroup(gone.groupBy("chunk")).applyInArrow(run, schema)
+
+
+def covered(n: int, first: np.ndarray, last: np.ndarray, window: int) -> np.ndarray:
+    """Which of n symbols lie in a marked window."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, last + window, -1)
+    return np.cumsum(edge[:-1]) > 0

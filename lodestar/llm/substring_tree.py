@@ -15,28 +15,58 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm import common, repeats
 
-WINDOW, GRAM, PART, CACHE = 20, 8, 1 << 16, 400_000
+WINDOW, GRAM, PART = 20, 4, 1 << 16
+BASE = 0xD1342543DE82EF95
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of each word (between ASCII blanks) of a text."""
-    known = common.worker_cache("word-hashes", dict)
-    words = text.encode("utf-8", "surrogatepass").split()
-    try:
-        return np.array([known[w] for w in words], np.uint64)
-    except KeyError:
-        if len(known) > CACHE:
-            known.clear()
-        digest = xxhash.xxh64_intdigest
-        for w in words:
-            if w not in known:
-                known[w] = digest(w)
-        return np.array([known[w] for w in words], np.uint64)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE and its inverse to the powers 0..n-1, at least."""
+    size = 1 << max(21, (n - 1).bit_length())
+
+    def build():
+        one = np.full(size, BASE, np.uint64), np.full(size, INVERSE, np.uint64)
+        for x in one:
+            x[0] = 1
+        return tuple(np.cumprod(x) for x in one)
+
+    return common.worker_cache("powers", build, str(size))
+
+
+def hashed(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of each word between ASCII blanks: a polynomial modulo 2**64, mixed."""
+    if not raw:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    byte = np.frombuffer(raw, np.uint8)
+    word = np.zeros(len(byte) + 2, np.int8)
+    word[1:-1] = (byte != 32) & ((byte < 9) | (byte > 13))
+    edge = np.diff(word)
+    start, end = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+    up, down = powers(len(byte))
+    total = np.zeros(len(byte) + 1, np.uint64)
+    np.cumsum((byte.astype(np.uint64) + np.uint64(1)) * up[: len(byte)], out=total[1:])
+    return repeats.mixing((total[end] - total[start]) * down[start]), start
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of texts, one after the other, and how many each has."""
+    h, start = hashed(b"\n".join(texts))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return h, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+def content(text: bytes):
+    words = text.split()
+    return lambda a, z: b" ".join(words[a:z])
+
+
+def read(contents: list[bytes]) -> list[np.ndarray]:
+    h, sizes = word_hashes(contents)
+    return np.split(h, np.cumsum(sizes)[:-1])
 
 
 def prefix_parts(words: np.ndarray, at: np.ndarray, limit: int = PART):
@@ -103,17 +133,21 @@ def earlier_windows(contents, sizes, ords, starts, carried, seen, whole, window:
     return out, keys
 
 
-WORDS = repeats.Windows(WINDOW, GRAM, "u8", word_hashes, earlier_windows)
+WORDS = repeats.Windows(WINDOW, GRAM, word_hashes, content, read, earlier_windows)
 
 
 def dedup(df: DataFrame, kind: repeats.Windows = WORDS, texts: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept string: the words left, joined by a space]) of documents."""
     schema = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())]
 
-    def finish(text: str, covered: np.ndarray) -> tuple:
-        words = text.encode("utf-8", "surrogatepass").split()
-        kept = b" ".join([w for w, gone in zip(words, covered.tolist()) if not gone] if covered.any() else words)
-        row = len(covered), int(covered.sum()), hashlib.sha256(kept).hexdigest()
+    def finish(text: bytes, first: np.ndarray, last: np.ndarray) -> tuple:
+        words, removed = text.split(), 0
+        left = words
+        if len(first):
+            gone = repeats.covered(len(words), first, last, kind.window)
+            left, removed = [w for w, x in zip(words, gone.tolist()) if not x], int(gone.sum())
+        kept = b" ".join(left)
+        row = len(words), removed, hashlib.sha256(kept).hexdigest()
         return (*row, kept.decode("utf-8", "surrogatepass")) if texts else row
 
     fields, arrow = "doc_id long, n_words long, n_removed long, kept_sha256 string", schema

@@ -25,8 +25,17 @@ WINDOW, GRAM = 100, 32
 LANE = 128
 
 
-def octets(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+def octets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts, one after the other, and how many each has."""
+    return np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64)
+
+
+def content(text: bytes):
+    return lambda a, z: text[a:z]
+
+
+def read(contents: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(c, np.uint8) for c in contents]
 
 
 def leading(text: np.ndarray) -> np.ndarray:
@@ -40,7 +49,7 @@ def leading(text: np.ndarray) -> np.ndarray:
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffixes in order of their first ``depth`` bytes or more, the eight leading bytes of each position)."""
     n, first = len(text), leading(text)
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     new = np.ones(n, bool)
     new[1:] = first[order][1:] != first[order][:-1]
     place = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -58,7 +67,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         on = members + done
         second = np.where(on < n, rank[np.minimum(on, n - 1)] + 1, 0)
         key = rank[members] * (n + 1) + second
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         order[slots], key = members[by], key[by]
         new = np.ones(len(slots), bool)
         new[1:] = key[1:] != key[:-1]
@@ -140,16 +149,19 @@ def earlier_windows(contents, sizes, ords, starts, carried, seen, whole, window:
     return out, keys
 
 
-BYTES = repeats.Windows(WINDOW, GRAM, "u1", octets, earlier_windows)
+BYTES = repeats.Windows(WINDOW, GRAM, octets, content, read, earlier_windows)
 
 
 def dedup(df: DataFrame, kind: repeats.Windows = BYTES, texts: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept binary]) of documents."""
     schema = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
 
-    def finish(text: str, covered: np.ndarray) -> tuple:
-        kept = octets(text)[~covered].tobytes()
-        row = len(covered), int(covered.sum()), len(repeats.true_runs(covered)), hashlib.sha256(kept).hexdigest()
+    def finish(text: bytes, first: np.ndarray, last: np.ndarray) -> tuple:
+        kept, removed, spans = text, 0, 0
+        if len(first):
+            gone = repeats.covered(len(text), first, last, kind.window)
+            kept, removed, spans = np.frombuffer(text, np.uint8)[~gone].tobytes(), int(gone.sum()), len(repeats.true_runs(gone))
+        row = len(text), removed, spans, hashlib.sha256(kept).hexdigest()
         return (*row, kept) if texts else row
 
     fields, arrow = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", schema
