@@ -35,8 +35,10 @@ SHARD_BYTES, CACHE = 6 << 20, 600_000
 ODD = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa0-\\u017f\\u2010-\\u2027]|<\\|")
 
 
-#: Blanks next to a space: there the cuts of the library depend on more than one space-separated unit.
-WIDE_GAPS = ("  ", " \n", "\n ", "\t", "\r", "\xa0")
+#: Units that can't be cut alone: with a blank next to a space, or with ODD characters. A text that has one takes another way.
+UNFIT = re.compile(ODD.pattern + "|^$|^[\\n]|[\\n]$|[\\t\\r\\xa0]")
+
+
 #: The library's cuts of texts without ODD characters: its letters, digits and blanks among the others are spelt out.
 LETTER, DIGIT, BLANK = "A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u017f", "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe", " \\t\\n\\r\\xa0"
 CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^{BLANK}{LETTER}{DIGIT}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
@@ -56,6 +58,10 @@ class Pieces(dict):
         return found
 
 
+class Unfit(Exception):
+    pass
+
+
 class Units(dict):
     """What follows a lone space -> the bytes of the ids of both."""
 
@@ -63,6 +69,8 @@ class Units(dict):
         self.pieces = pieces
 
     def __missing__(self, unit: str) -> bytes:
+        if UNFIT.search(unit):
+            raise Unfit
         found = self[unit] = b"".join(map(self.pieces.__getitem__, CUT.findall(" " + unit)))
         return found
 
@@ -89,12 +97,15 @@ class WordEncoder:
         self.units = Units(self.pieces)
 
     def encode(self, text: str) -> bytes:
+        first, *rest = text.split(" ")
+        try:
+            if not UNFIT.search(first):
+                return b"".join(map(self.pieces.__getitem__, CUT.findall(first))) + b"".join(map(self.units.__getitem__, rest))
+        except Unfit:
+            pass
         if ODD.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
-        if text[:1] == " " or text[-1:] == " " or any(gap in text for gap in WIDE_GAPS):
-            return b"".join(map(self.pieces.__getitem__, CUT.findall(text)))
-        first, *rest = text.split(" ")
-        return b"".join(map(self.pieces.__getitem__, CUT.findall(first))) + b"".join(map(self.units.__getitem__, rest))
+        return b"".join(map(self.pieces.__getitem__, CUT.findall(text)))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         if len(self.units) > CACHE or len(self.pieces) > CACHE:
