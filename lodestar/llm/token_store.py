@@ -52,9 +52,12 @@ class Pieces(dict):
 
         self.model, self.code, self.letters = model, code, dict(enumerate(byte_letters()))
 
-    def __missing__(self, piece: str) -> bytes:
+    def fresh(self, piece: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
-        found = self[piece] = array.array(self.code, ids).tobytes()
+        return array.array(self.code, ids).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self[piece] = self.fresh(piece)
         return found
 
 
@@ -69,6 +72,9 @@ class Units(dict):
         self.pieces = pieces
 
     def __missing__(self, unit: str) -> bytes:
+        if unit.isalpha() and unit.isascii():  # one piece, which need not be kept twice
+            found = self[unit] = self.pieces.fresh(" " + unit)
+            return found
         if UNFIT.search(unit):
             raise Unfit
         found = self[unit] = b"".join(map(self.pieces.__getitem__, CUT.findall(" " + unit)))
