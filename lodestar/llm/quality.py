@@ -105,6 +105,16 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
     return df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
 
 
+def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs that are kept, with the columns of docs.
+
+    The row number makes the verdict's projection one that the optimizer does not push the filter through: pushed, each count would
+    be inlined into the condition, and computed again for each element.
+    """
+    judged = judge(docs, labels).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_row") >= 0)).select(*docs.columns)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     return judge(docs, common.table(spark, sf_dir, "labels")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
