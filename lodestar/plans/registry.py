@@ -1,8 +1,492 @@
-"""All queries of the package by name, each with its SQL."""
+"""All queries of the package by name, each with its SQL for DuckDB where SQL can express it."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def entry(spark, sf_dir):
-    return QUERIES["gazetteer_match"](spark, sf_dir)
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from lodestar.functions import geo
+from lodestar.functions import text as T
+from lodestar.operators import fit, joins, overlay
+from lodestar.operators.graph import component_ids
+from lodestar.plans import match
+from lodestar.plans.stand_ins import WITH, load
+from lodestar.sources import files
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    """Registers a function under its name, with its SQL after the stand-ins' WITH."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = f"{WITH}{sql}" if sql.lstrip().startswith(",") else f"{WITH} {sql}"
+        return f
+
+    return add
+
+
+# ---- SQL fragments for the oracle
+
+LOWER = "regexp_replace(lower(strip_accents({0})), '[^a-z0-9]', ' ', 'g')"
+NORM = "trim(regexp_replace(" + LOWER + ", ' +', ' ', 'g'))"
+ARTICLES = "[" + ", ".join(f"'{a}'" for a in T.ARTICLES) + "]"
+CORE = "array_to_string(list_filter(string_split(" + NORM + f", ' '), lambda w: NOT list_contains({ARTICLES}, w)), ' ')"
+SORTED = "array_to_string(list_sort(string_split({0}, ' ')), ' ')"
+LCS = "list_last(list_reduce(range(1, length({0})::BIGINT + 1), lambda row, i: list_reduce(range(1, length({1})::BIGINT + 1), lambda acc, j: list_append(acc, CASE WHEN {1}[j] = {0}[i] THEN row[j] + 1 ELSE greatest(row[j + 1], acc[j]) END), [0::BIGINT]), list_transform(range(0, length({1})::BIGINT + 1), lambda z: 0::BIGINT)))"
+
+
+def fold_sql(c: str) -> str:
+    for a, b in T.FOLDS:
+        c = f"replace({c}, '{a}', '{b}')"
+    for ch in "abcdefghijklmnopqrstuvwxyz0123456789 ":
+        c = f"regexp_replace({c}, '{ch}{{2,}}', '{ch}', 'g')"
+    return c
+
+
+#: Similarity of the distinct core pairs in a CTE named pairs(core, gcore), as a CTE sims(core, gcore, sim).
+SIMS = f"""s1 AS (SELECT core, gcore, {SORTED.format('core')} AS a, {SORTED.format('gcore')} AS b, {fold_sql('core')} AS f0, {fold_sql('gcore')} AS f1 FROM pairs),
+s2 AS (SELECT *, {SORTED.format('f0')} AS fa, {SORTED.format('f1')} AS fb, CASE WHEN a = '' OR b = '' THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * {LCS.format('a', 'b')} / (length(a) + length(b)) END AS r0 FROM s1),
+s3 AS (SELECT *, CASE WHEN core <> '' AND gcore <> '' AND NOT contains(core, ' ') AND length(core) >= 6 AND list_contains(string_split(gcore, ' '), core) THEN greatest(r0, 0.86::DOUBLE) ELSE r0 END AS r1 FROM s2),
+sims AS (SELECT core, gcore, CASE WHEN r1 >= 0.70 AND fa <> '' AND fb <> '' THEN greatest(r1, (r1 + 2.0::DOUBLE * {LCS.format('fa', 'fb')} / (length(fa) + length(fb))) / 2) ELSE r1 END AS sim FROM s3)"""
+NEAR = f""", t AS (SELECT id, x, y, {CORE.format('nom')} AS core FROM toponyms), g AS (SELECT id AS gid, municipi, gx, gy, {CORE.format('name')} AS gcore FROM gazetteer),
+c0 AS (SELECT id, gid, core, gcore, (x - gx) * (x - gx) + (y - gy) * (y - gy) AS d2 FROM t JOIN g ON (x - gx) * (x - gx) + (y - gy) * (y - gy) <= 90000),
+pairs AS (SELECT DISTINCT core, gcore FROM c0), {SIMS},
+cand AS (SELECT c0.*, sim, sim - sqrt(d2::DOUBLE) * 40 / 60000 AS combined FROM c0 JOIN sims USING (core, gcore)),
+places AS (SELECT gcore, count(DISTINCT coalesce(municipi, chr(1))) AS n FROM g GROUP BY 1)"""
+LADDER = NEAR + """,
+b AS (SELECT id, arg_max(struct_pack(gid := gid, gcore := gcore, sim := sim, d2 := d2), (combined, -gid)) AS best, arg_max(struct_pack(gid := gid, gcore := gcore, sim := sim, d2 := d2), (sim, -gid)) AS nm,
+ arg_max(struct_pack(gid := gid, gcore := gcore, sim := sim, d2 := d2), (sim, -gid)) FILTER ((d2 <= 625 AND sim >= 0.82) OR (d2 <= 1406 AND sim >= 0.85)) AS nr FROM cand GROUP BY id),
+l AS (SELECT b.*, n <= 1 AS u FROM b LEFT JOIN places ON places.gcore = b.nm.gcore),
+step AS (SELECT *, CASE WHEN u AND nm.sim >= 0.88 AND nm.d2 <= 22500 THEN 1 WHEN best.sim >= 0.90 AND best.d2 <= 15625 THEN 2 WHEN nr IS NOT NULL THEN 3 WHEN u AND nm.sim >= 0.70 THEN 4
+ WHEN best.sim >= 0.70 AND best.d2 <= 40000 THEN 5 WHEN best.d2 <= 1406 AND best.sim >= 0.45 THEN 6 ELSE 7 END AS k FROM l),
+first AS (SELECT t.id, CASE WHEN k IN (1, 2) THEN 'confirmat' WHEN k = 3 THEN 'probable' WHEN k IN (4, 5) THEN 'suggerit' WHEN k = 6 THEN 'posicional' ELSE 'sense' END AS decision,
+ CASE WHEN k IN (1, 4) THEN nm WHEN k IN (2, 5, 6) THEN best WHEN k = 3 THEN nr END AS m FROM t LEFT JOIN step USING (id)),
+fp AS (SELECT DISTINCT core, gcore FROM first JOIN t USING (id), (SELECT DISTINCT gcore FROM g) WHERE decision = 'sense' AND length(core) >= 5 AND length(gcore) >= ceil(length(core) * (0.92 / 1.08)) AND length(gcore) <= floor(length(core) / (0.92 / 1.08))),
+fq AS (SELECT core, gcore, """ + SORTED.format("core") + " AS a, " + SORTED.format("gcore") + """ AS b FROM fp),
+fs AS (SELECT core, gcore, 2.0::DOUBLE * """ + LCS.format("a", "b") + """ / (length(a) + length(b)) AS sim FROM fq),
+fb AS (SELECT first.id, fs.gcore, fs.sim, (SELECT min(gid) FROM g WHERE g.gcore = fs.gcore) AS gid FROM first JOIN t USING (id) JOIN fs USING (core) WHERE decision = 'sense' AND fs.sim >= 0.92),
+f1 AS (SELECT id, arg_max(struct_pack(gid := gid, gcore := gcore, sim := sim), (sim, -gid)) AS f FROM fb GROUP BY id),
+f2 AS (SELECT id, CASE WHEN n <= 1 AND f.sim >= 0.95 THEN 'confirmat' ELSE 'suggerit' END AS decision, f.gid AS gid, round_even(f.sim, 2) AS sim FROM f1 JOIN places ON places.gcore = f1.f.gcore),
+matched AS (SELECT first.id, coalesce(f2.decision, first.decision) AS decision, CASE WHEN f2.id IS NOT NULL THEN f2.gid ELSE m.gid END AS gid, CASE WHEN f2.id IS NOT NULL THEN f2.sim ELSE coalesce(round_even(m.sim, 2), 0.0) END AS sim,
+ CASE WHEN f2.id IS NULL THEN round_even(sqrt(m.d2::DOUBLE) * 40 / 1000, 2) END AS km FROM first LEFT JOIN f2 USING (id))"""
+FOLD = """, v AS (SELECT *, CASE WHEN action IN ('pick', 'ok', 'none', 'trash') THEN action WHEN action = 'undo' THEN '' END AS ve, CASE WHEN action = 'pick' THEN coalesce(grafia, '') WHEN action IN ('none', 'undo') THEN '' END AS ma FROM edits),
+folded AS (SELECT * FROM (SELECT id, nullif(arg_max(ve, seq) FILTER (ve IS NOT NULL), '') AS verdict, nullif(arg_max(ma, seq) FILTER (ma IS NOT NULL), '') AS match, nullif(arg_max(graf, seq) FILTER (graf IS NOT NULL), '') AS graf FROM v GROUP BY id) WHERE coalesce(verdict, match, graf) IS NOT NULL)"""
+
+
+def root(spark: SparkSession) -> str:
+    return files.work_dir(spark)
+
+
+# ---- matching
+
+
+@query(LADDER + " SELECT id, decision, gid, sim, km FROM matched")
+def gazetteer_match(spark, sf):
+    return match.match(load(spark, sf, "toponyms"), load(spark, sf, "gazetteer"))
+
+
+@query(None)
+def gazetteer_match_phonetic(spark, sf):
+    return match.match(load(spark, sf, "toponyms"), load(spark, sf, "gazetteer"), phonetic=True)
+
+
+@query(LADDER + """ SELECT id, rank, gid, round_even(sim, 2) AS sim, round_even(sqrt(d2::DOUBLE) * 40 / 1000, 2) AS km FROM (SELECT cand.*, row_number() OVER (PARTITION BY id ORDER BY combined DESC, gid)::INTEGER AS rank FROM cand JOIN matched USING (id) WHERE decision <> 'confirmat') WHERE rank <= 6""".replace("cand.*, row_number()", "cand.id, cand.gid, cand.sim, cand.d2, row_number()").replace("ORDER BY combined DESC, gid", "ORDER BY cand.combined DESC, cand.gid").replace("PARTITION BY id", "PARTITION BY cand.id").replace("cand JOIN matched USING (id)", "cand JOIN matched ON cand.id = matched.id"))
+def recheck_top6(spark, sf):
+    t, g = load(spark, sf, "toponyms"), load(spark, sf, "gazetteer")
+    return match.recheck(match.match(t, g), match.candidates(t, g))
+
+
+@query(LADDER + FOLD + f""", nm AS (SELECT gcore AS pcore, min(gid) AS pgid FROM g GROUP BY 1), f AS (SELECT id, verdict, {CORE.format("coalesce(match, '')")} AS pcore FROM folded),
+ j AS (SELECT m.id, m.decision, m.gid, f.verdict, f.pcore, nm.pgid, g.gcore FROM matched m LEFT JOIN g ON g.gid = m.gid LEFT JOIN f ON f.id = m.id LEFT JOIN nm ON nm.pcore = f.pcore WHERE verdict IS NULL OR verdict <> 'trash')
+ SELECT id, CASE WHEN verdict = 'none' THEN 'sense' ELSE decision END AS decision, CASE WHEN verdict = 'none' THEN NULL WHEN verdict = 'pick' AND pgid IS NOT NULL AND NOT coalesce(pcore = gcore, false) THEN pgid ELSE gid END AS gid,
+ CASE WHEN verdict = 'none' THEN 'revisat' WHEN verdict = 'pick' AND pgid IS NOT NULL AND pcore = gcore THEN 'revisat' WHEN verdict = 'pick' AND pgid IS NOT NULL THEN 'corregit' WHEN verdict = 'ok' AND gid IS NOT NULL THEN 'revisat' END AS review FROM j""")
+def review_axis(spark, sf):
+    t, g = load(spark, sf, "toponyms"), load(spark, sf, "gazetteer")
+    return match.review(match.match(t, g), overlay.fold(load(spark, sf, "edits")), g)
+
+
+@query(NEAR + " SELECT id, gid, round_even(sim, 6) AS sim, d2 FROM cand")
+def radius_join(spark, sf):
+    return match.candidates(load(spark, sf, "toponyms"), load(spark, sf, "gazetteer")).select("id", "gid", F.bround("sim", 6).alias("sim"), "d2")
+
+
+@query(f", t AS (SELECT id, x, y, {CORE.format('nom')} AS core FROM toponyms), g AS (SELECT id AS gid, gx, gy, {CORE.format('name')} AS core FROM gazetteer), p AS (SELECT id, gid, (x - gx) * (x - gx) + (y - gy) * (y - gy) AS d2 FROM t JOIN g USING (core)) SELECT id, arg_min(gid, (d2, gid)) AS gid, min(d2) AS d2 FROM p GROUP BY id")
+def nearest_same_name(spark, sf):
+    t = load(spark, sf, "toponyms").select("id", "x", "y", T.core(F.col("nom")).alias("core"))
+    g = load(spark, sf, "gazetteer").select(F.col("id").alias("gid"), "gx", "gy", T.core(F.col("name")).alias("core"))
+    d2 = (F.col("x") - F.col("gx")) * (F.col("x") - F.col("gx")) + (F.col("y") - F.col("gy")) * (F.col("y") - F.col("gy"))
+    return t.join(g, "core").groupBy("id").agg(F.min_by("gid", F.struct(d2, F.col("gid"))).alias("gid"), F.min(d2).alias("d2"))
+
+
+@query(f", n AS (SELECT DISTINCT {CORE.format('p_name')} AS core FROM part), pairs AS (SELECT a.core, b.core AS gcore FROM n a, n b WHERE a.core < b.core), {SIMS} SELECT core, gcore, round_even(sim, 6) AS sim FROM sims")
+def similarity(spark, sf):
+    n = load(spark, sf, "part").select(T.core(F.col("p_name")).alias("core")).distinct()
+    pairs = n.withColumn("k", F.lit(1)).join(n.select(F.col("core").alias("gcore"), F.lit(1).alias("k")), "k").where("core < gcore")
+    return pairs.select("core", "gcore", F.bround(match.similar(F.col("core"), F.col("gcore")), 6).alias("sim"))
+
+
+# ---- scalar functions
+
+
+def scalar(name: str, expr, sql: str, source: str = "documents", keys=("doc_id",)):
+    """A query of one expression over a text column, digested so that long texts stay out of the result."""
+
+    def f(spark, sf):
+        return load(spark, sf, source).select(*keys, F.md5(expr()).alias("digest"), F.length(expr()).alias("n"))
+
+    f.__name__ = name
+    query(f"SELECT {', '.join(keys)}, md5({sql}) AS digest, length({sql})::INTEGER AS n FROM {source}")(f)
+
+
+_FULL = "replace(replace(replace(replace(replace({0}, 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe'), 'ª', 'a'), 'º', 'o')"
+scalar("text_norm", lambda: T.norm(F.col("text")), NORM.format(_FULL.format("text")))
+scalar("text_core", lambda: T.core(F.col("text")), CORE.format(_FULL.format("text")))
+scalar("text_audit_norm", lambda: T.audit_norm(F.col("text")), "trim(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', ' ', 'g'), ' +', ' ', 'g'))")
+scalar("text_loose_norm", lambda: T.loose_norm(F.col("text")), "regexp_replace(lower(strip_accents(text)), '[^\\p{L}\\p{N} ]', '', 'g')")
+scalar("text_gcp_norm", lambda: T.gcp_norm(F.col("text")), "lower(strip_accents(text))")
+scalar("text_key", lambda: T.key(F.col("text")), "trim(regexp_replace(regexp_replace(translate(lower(text), 'âêîôûāēīōūãõ', 'aeiouaeiouao'), '[^a-z0-9]', ' ', 'g'), ' +', ' ', 'g'))")
+scalar("text_remap_key", lambda: T.remap_key(F.col("text")), "trim(regexp_replace(regexp_replace(translate(lower(text), 'âêîôû', 'aeiou'), '[^a-z0-9]', ' ', 'g'), ' +', ' ', 'g'))")
+scalar("text_macronize", lambda: T.macronize(F.col("text")), "translate(text, 'âêîôûãõÂÊÎÔÛÃÕ', 'āēīōūāōĀĒĪŌŪĀŌ')")
+scalar("text_title_first", lambda: T.title_first(F.col("text")), "regexp_replace(regexp_replace(translate(text, 'âêîôûãõ', 'aeiouao'), '^[Ss]o( |$)', 'Son\\1'), '^[Cc]a( |$)', 'Can\\1')")
+scalar("text_html_escape", lambda: T.html_escape(F.col("text")), "replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')")
+scalar("text_fold", lambda: T.fold(T.core(F.col("name"))), fold_sql(CORE.format("name")), "gazetteer", ("id",))
+QUERIES["id_parts"] = lambda spark, sf: load(spark, sf, "gazetteer").withColumn("win", F.concat(F.lit("B"), F.format_string("%02d", F.col("id") % 12), F.lit("_"), F.col("id").cast("string"))).select("id", F.md5(F.concat_ws("|", F.substring_index("win", "_", 1), F.left("win", F.lit(1)), F.format_string("t%04d", F.col("id")))).alias("digest"))
+ORACLE_SQL["id_parts"] = WITH + ", w AS (SELECT id, 'B' || printf('%02d', id % 12) || '_' || id AS win FROM gazetteer) SELECT id, md5(split_part(win, '_', 1) || '|' || win[1] || '|' || printf('t%04d', id)) AS digest FROM w"
+
+
+@query("SELECT t.id, round_even(CASE WHEN greatest(length(t.nom), length(g.name)) = 0 THEN 1.0 ELSE 1 - levenshtein(t.nom, g.name)::DOUBLE / greatest(length(t.nom), length(g.name)) END, 6) AS ratio FROM toponyms t JOIN gazetteer g ON g.id = t.id")
+def lev_ratio(spark, sf):
+    g = load(spark, sf, "gazetteer").select("id", "name")
+    return load(spark, sf, "toponyms").join(g, "id").select("id", F.bround(T.lev_ratio(F.col("nom"), F.col("name")), 6).alias("ratio"))
+
+
+_LL = ", ll AS (SELECT id, 2.3 + gx / 3840.0 AS lon, 39.2 + gy / 2849.0 AS lat FROM gazetteer)"
+
+
+@query(_LL.replace("3840.0", "3840.0::DOUBLE").replace("2849.0", "2849.0::DOUBLE").replace("2.3 +", "2.3::DOUBLE +").replace("39.2 +", "39.2::DOUBLE +") + """ SELECT id, round_even(2 * 6371000.0::DOUBLE * asin(sqrt(pow(sin(radians(39.6::DOUBLE - lat) / 2), 2) + cos(radians(lat)) * cos(radians(39.6::DOUBLE)) * pow(sin(radians(2.9::DOUBLE - lon) / 2), 2))), 3) AS haversine,
+ round_even((lon - 2.9::DOUBLE) * cos(radians(39.6::DOUBLE)) * 111320.0::DOUBLE, 3) AS east, round_even((lat - 39.6::DOUBLE) * 110540.0::DOUBLE, 3) AS north,
+ round_even(sqrt(pow((lon - 2.9::DOUBLE) * cos(radians(39.6::DOUBLE)) * 111320.0::DOUBLE, 2) + pow((lat - 39.6::DOUBLE) * 110540.0::DOUBLE, 2)), 3) AS planar,
+ round_even(sqrt(pow((lon - 2.9::DOUBLE) * cos(radians(39.5::DOUBLE)) * 111320.0::DOUBLE, 2) + pow((lat - 39.6::DOUBLE) * 111132.0::DOUBLE, 2)), 3) AS fixed,
+ NOT (lon BETWEEN 2.30 AND 3.55 AND lat BETWEEN 39.20 AND 40.10) AS outside FROM ll""")
+def metric_frames(spark, sf):
+    g = load(spark, sf, "gazetteer").select("id", (F.lit(2.3) + F.col("gx") / 3840.0).alias("lon"), (F.lit(39.2) + F.col("gy") / 2849.0).alias("lat"))
+    lon, lat, lon0, lat0 = F.col("lon"), F.col("lat"), F.lit(2.9), F.lit(39.6)
+    east, north = geo.local_metres(lon, lat, lon0, lat0)
+    three = lambda c, n: F.bround(c, 3).alias(n)
+    return g.select("id", three(geo.haversine(lon, lat, lon0, lat0), "haversine"), three(east, "east"), three(north, "north"), three(geo.planar_error(lon, lat, lon0, lat0), "planar"), three(geo.fixed_error(lon, lat, lon0, lat0), "fixed"), (~(lon.between(2.30, 3.55) & lat.between(39.20, 40.10))).alias("outside"))
+
+
+@query("SELECT id, ((w * 7 + 90) % 180) - 90 AS folded, least((w * 7 - h * 5 + 1800) % 180, 180 - (w * 7 - h * 5 + 1800) % 180) AS between, greatest(0, least(x - 60, 3840 - 120)) AS crop, floor(w / 7.0::DOUBLE + 0.5)::BIGINT AS half_up, round_even(w / 8.0::DOUBLE, 0) AS half_even FROM boxes")
+def angles_and_crops(spark, sf):
+    w, h, x = F.col("w"), F.col("h"), F.col("x")
+    return load(spark, sf, "boxes").select("id", geo.fold_angle(w * 7).alias("folded"), geo.angle_between(w * 7, h * 5).alias("between"), geo.clamp(x - 60, 120, 3840).alias("crop"), geo.half_up(w / 7.0).alias("half_up"), F.bround(w / 8.0, 0).alias("half_even"))
+
+
+# ---- overlay, relational core
+
+
+@query(FOLD + " SELECT id, verdict, match, graf FROM folded")
+def overlay_fold(spark, sf):
+    return overlay.fold(load(spark, sf, "edits"))
+
+
+@query(FOLD + """, d AS (SELECT t.id, CASE WHEN verdict IN ('ok', 'pick') THEN 'confirmat' WHEN verdict = 'trash' THEN 'sense' WHEN graf IS NOT NULL THEN 'suggerit' ELSE 'posicional' END AS decision FROM toponyms t LEFT JOIN folded f ON f.id = t.id / 10 % 150),
+ e AS (SELECT unnest(['confirmat', 'probable', 'suggerit', 'posicional', 'sense']) AS decision) SELECT e.decision, count(d.id) AS n FROM e LEFT JOIN d USING (decision) GROUP BY 1""".replace("t.id / 10 % 150", "(t.id // 10) % 150"))
+def decision_counts(spark, sf):
+    f = overlay.fold(load(spark, sf, "edits")).withColumnRenamed("id", "k")
+    t = load(spark, sf, "toponyms").withColumn("k", F.expr("(id div 10) % 150")).join(f, "k", "left")
+    d = t.select("id", F.when(F.col("verdict").isin("ok", "pick"), "confirmat").when(F.col("verdict") == "trash", "sense").when(F.col("graf").isNotNull(), "suggerit").otherwise("posicional").alias("decision"))
+    return files.enumeration(spark, "decision", ["confirmat", "probable", "suggerit", "posicional", "sense"]).join(d.groupBy("decision").agg(F.count("*").alias("n")), "decision", "left").select("decision", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+@query(""", k AS (SELECT user_id AS id, max(CASE WHEN event_type = 'signup' THEN props END) AS p, max(CASE WHEN event_type = 'view' THEN props END) AS gr, bool_or(event_type = 'click') AS o, bool_or(event_type = 'error' AND event_id % 3 = 0) AS nn, bool_or(event_type = 'purchase' AND event_id % 7 = 0) AS di FROM events GROUP BY 1)
+ SELECT id, CASE WHEN di THEN 'trash' WHEN nn THEN 'none' WHEN o THEN 'ok' WHEN p IS NOT NULL THEN 'pick' END AS verdict, p AS match, gr AS graf FROM k""")
+def legacy_fold(spark, sf):
+    e = load(spark, sf, "events")
+    one = lambda cond, value=None: e.where(cond).select(F.col("user_id").alias("id"), *([F.col(value).alias("value")] if value else []))
+    return overlay.legacy_fold({"pick": one("event_type = 'signup'", "props"), "graf": one("event_type = 'view'", "props"), "ok": one("event_type = 'click'"), "none": one("event_type = 'error' and event_id % 3 = 0"), "discard": one("event_type = 'purchase' and event_id % 7 = 0")})
+
+
+@query("SELECT t.id, t.nom, g.municipi, coalesce(g.tipus, 'altre') AS tipus, count(*) FILTER (g.id IS NULL) OVER () AS missing FROM toponyms t LEFT JOIN gazetteer g ON g.id = t.id + CASE WHEN t.id % 70 = 0 THEN 100000000 ELSE 0 END")
+def publish_join(spark, sf):
+    t = load(spark, sf, "toponyms").select("id", "nom", (F.col("id") + F.when(F.col("id") % 70 == 0, 100000000).otherwise(0)).alias("k"))
+    j = t.join(load(spark, sf, "gazetteer").select(F.col("id").alias("k"), "municipi", F.col("tipus").alias("gt")), "k", "left").withColumn("gone", F.col("gt").isNull())
+    missing = j.agg(F.count_if("gone").alias("missing"))
+    return j.join(F.broadcast(missing.withColumn("one", F.lit(True))), F.lit(True)).select("id", "nom", "municipi", F.coalesce("gt", F.lit("altre")).alias("tipus"), "missing")
+
+
+@query("SELECT name, arg_min(id, (CASE tipus WHEN 'STANDARD' THEN 1 WHEN 'ECONOMY' THEN 2 WHEN 'PROMO' THEN 3 ELSE 4 END, id)) AS id FROM gazetteer GROUP BY name")
+def preference_lookup(spark, sf):
+    return joins.preferred(load(spark, sf, "gazetteer"), "name", "tipus", ["STANDARD", "ECONOMY", "PROMO"], F.col("id")).select("name", "id")
+
+
+@query("SELECT t.id, u.gid FROM toponyms t JOIN (SELECT name, min(id) AS gid FROM gazetteer GROUP BY name HAVING count(*) = 1) u ON u.name = t.nom")
+def unique_name_join(spark, sf):
+    g = load(spark, sf, "gazetteer").select(F.col("id").alias("gid"), F.col("name").alias("nom"))
+    return joins.unique_join(load(spark, sf, "toponyms"), g, "nom").select("id", "gid")
+
+
+@query("SELECT id, name FROM gazetteer WHERE tipus IN ('STANDARD', 'PROMO') AND contains(lower(name || ' ' || municipi), 'ring') AND (gx % 7 BETWEEN 1 AND 3) AND gx >= 100 AND gx < 3000")
+def facet_filter(spark, sf):
+    facets = {"tipus": F.col("tipus").isin("STANDARD", "PROMO"), "text": F.contains(F.lower(F.concat_ws(" ", "name", "municipi")), F.lit("ring")), "km": (F.col("gx") % 7).between(1, 3), "area": (F.col("gx") >= 100) & (F.col("gx") < 3000)}
+    out = load(spark, sf, "gazetteer")
+    for condition in facets.values():
+        out = out.where(condition)
+    return out.select("id", "name")
+
+
+@query(", m AS (SELECT id, unnest(list_distinct([tipus, CASE WHEN id % 4 = 0 THEN 'Vila' ELSE tipus END])) AS tipus FROM gazetteer) SELECT tipus, count(*) AS n FROM m GROUP BY 1")
+def multivalue_count(spark, sf):
+    both = F.array_distinct(F.array("tipus", F.when(F.col("id") % 4 == 0, "Vila").otherwise(F.col("tipus"))))
+    return load(spark, sf, "gazetteer").select(F.explode(both).alias("tipus")).groupBy("tipus").agg(F.count("*").alias("n"))
+
+
+@query(FOLD + " SELECT id, nom FROM toponyms WHERE id NOT IN (SELECT id FROM folded WHERE verdict = 'trash')")
+def anti_discards(spark, sf):
+    trash = overlay.fold(load(spark, sf, "edits")).where("verdict = 'trash'")
+    return load(spark, sf, "toponyms").join(trash, "id", "left_anti").select("id", "nom")
+
+
+# ---- aggregation, ranking
+
+
+@query("SELECT name, count(DISTINCT coalesce(CASE WHEN id % 9 <> 0 THEN municipi END, chr(1))) AS places FROM gazetteer GROUP BY name")
+def distinct_incl_null(spark, sf):
+    g = load(spark, sf, "gazetteer").withColumn("municipi", F.when(F.col("id") % 9 != 0, F.col("municipi")))
+    return g.groupBy("name").agg(F.countDistinct(F.coalesce("municipi", F.lit("\u0001"))).alias("places"))
+
+
+@query("SELECT name, count(*) AS n, array_to_string(list_sort(list(id)), ',') AS ids FROM gazetteer GROUP BY name HAVING count(*) > 1")
+def dup_groups(spark, sf):
+    return load(spark, sf, "gazetteer").groupBy("name").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids")).where("n > 1")
+
+
+@query("SELECT CASE WHEN l_quantity < 5 THEN '<5' WHEN l_quantity < 10 THEN '5-10' WHEN l_quantity < 20 THEN '10-20' ELSE '20+' END AS bin, count(*) AS n, floor(100.0::DOUBLE * count(*) / sum(count(*)) OVER () + 0.5)::BIGINT AS percent FROM lineitem GROUP BY 1")
+def km_histogram(spark, sf):
+    q = F.col("l_quantity")
+    n = load(spark, sf, "lineitem").groupBy(F.when(q < 5, "<5").when(q < 10, "5-10").when(q < 20, "10-20").otherwise("20+").alias("bin")).agg(F.count("*").alias("n"))
+    return n.select("bin", "n", geo.half_up(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy())).alias("percent"))
+
+
+@query("SELECT l_returnflag, round_even(quantile_cont(l_extendedprice, 0.5), 4) AS median, round_even(quantile_cont(l_extendedprice, 0.9), 4) AS p90, min(l_quantity) AS least, max(l_quantity) AS most FROM lineitem GROUP BY 1")
+def percentiles(spark, sf):
+    p = lambda q: F.bround(F.percentile("l_extendedprice", q), 4)
+    return load(spark, sf, "lineitem").groupBy("l_returnflag").agg(p(0.5).alias("median"), p(0.9).alias("p90"), F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"))
+
+
+@query("SELECT win, list_sort(list(h))[count(*) // 2 + 1] AS upper_median, round_even(stddev_pop(w::DOUBLE), 6) AS deviation FROM boxes GROUP BY win")
+def upper_median(spark, sf):
+    hs = F.sort_array(F.collect_list("h"))
+    return load(spark, sf, "boxes").groupBy("win").agg(F.element_at(hs, F.expr("int(count(1) div 2 + 1)")).alias("upper_median"), F.bround(F.stddev_pop(F.col("w").cast("double")), 6).alias("deviation"))
+
+
+@query("SELECT win, greatest(0, min(x) - 12) AS x0, greatest(0, min(y) - 12) AS y0, max(x + w) + 12 AS x1, max(y + h) + 12 AS y1, round_even(avg(x::DOUBLE), 0)::BIGINT AS cx, round_even(avg(y::DOUBLE), 0)::BIGINT AS cy, count(*) AS n FROM boxes GROUP BY win")
+def extent(spark, sf):
+    b = load(spark, sf, "boxes")
+    return b.groupBy("win").agg(F.greatest(F.lit(0).cast("long"), F.min("x") - 12).alias("x0"), F.greatest(F.lit(0).cast("long"), F.min("y") - 12).alias("y0"), (F.max(F.col("x") + F.col("w")) + 12).alias("x1"), (F.max(F.col("y") + F.col("h")) + 12).alias("y1"), F.bround(F.avg("x"), 0).cast("long").alias("cx"), F.bround(F.avg("y"), 0).cast("long").alias("cy"), F.count("*").alias("n"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice, rank FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber)::INTEGER AS rank FROM lineitem) WHERE rank <= 3")
+def topk_per_key(spark, sf):
+    rank = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.col("l_extendedprice").desc(), "l_linenumber"))
+    return load(spark, sf, "lineitem").withColumn("rank", rank).where("rank <= 3").select("l_orderkey", "l_linenumber", "l_extendedprice", "rank")
+
+
+@query("SELECT tipus, floor(gx / 40.0)::BIGINT AS cx, floor(gy / 40.0)::BIGINT AS cy, min(id) AS id FROM gazetteer GROUP BY 1, 2, 3")
+def keep_first_cell(spark, sf):
+    g = load(spark, sf, "gazetteer").withColumns({"cx": F.floor(F.col("gx") / 40), "cy": F.floor(F.col("gy") / 40)})
+    return joins.best_of(g, ["tipus", "cx", "cy"], F.col("id")).select("tipus", "cx", "cy", "id")
+
+
+@query("SELECT id, row_number() OVER (ORDER BY CASE tipus WHEN 'PROMO' THEN 1 WHEN 'LARGE' THEN 2 ELSE 3 END, CASE WHEN municipi = 'Brand#1' THEN 1 ELSE 0 END, length(name), name, id)::INTEGER AS place FROM gazetteer QUALIFY place <= 16")
+def rank_sort(spark, sf):
+    order = [F.when(F.col("tipus") == "PROMO", 1).when(F.col("tipus") == "LARGE", 2).otherwise(3), (F.col("municipi") == "Brand#1").cast("int"), F.length("name"), F.col("name"), F.col("id")]
+    top = load(spark, sf, "gazetteer").orderBy(*order).limit(16)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*order))).select("id", "place")
+
+
+@query("SELECT batch, count(*) AS n, array_to_string(list(id ORDER BY id), ',') AS ids FROM (SELECT id, win, (row_number() OVER (PARTITION BY win ORDER BY id) - 1) // 12 AS chunk, win * 1000 + (row_number() OVER (PARTITION BY win ORDER BY id) - 1) // 12 AS batch FROM boxes) GROUP BY batch")
+def montage_batches(spark, sf):
+    chunk = F.floor((F.row_number().over(Window.partitionBy("win").orderBy("id")) - 1) / 12)
+    b = load(spark, sf, "boxes").withColumn("batch", F.col("win") * 1000 + chunk)
+    return b.groupBy("batch").agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("id")), ",").alias("ids"))
+
+
+# ---- space and graphs
+
+_NEIGHBOURS = ", e AS (SELECT a.id AS src, b.id AS dst FROM boxes a JOIN boxes b ON a.id < b.id AND abs(a.x - b.x) < 115 AND abs(a.y - b.y) < 115)"
+
+
+def _neighbours(spark, sf, radius=115):
+    b = load(spark, sf, "boxes")
+    other = b.select(F.col("id").alias("dst"), F.col("x").alias("gx"), F.col("y").alias("gy"))
+    return joins.grid_join(b.select(F.col("id").alias("src"), "x", "y"), other, radius, chebyshev=True).where("src < dst").select("src", "dst")
+
+
+@query(_NEIGHBOURS + " SELECT src, dst FROM e")
+def neighbour_pairs(spark, sf):
+    return _neighbours(spark, sf)
+
+
+@query(_NEIGHBOURS + ", r(node, reach) AS (SELECT src, src FROM e UNION SELECT dst, dst FROM e UNION SELECT CASE WHEN r.reach = e.src THEN r.node ELSE r.node END, CASE WHEN r.reach = e.src THEN e.dst ELSE e.src END FROM r JOIN e ON r.reach IN (e.src, e.dst)) SELECT node, min(reach) AS component FROM r GROUP BY node")
+def components(spark, sf):
+    return component_ids(_neighbours(spark, sf), root(spark))
+
+
+_IOU = ", p AS (SELECT a.id AS id, b.id AS over, greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS common, a.w * a.h AS area, b.w * b.h AS area2 FROM boxes a JOIN boxes b ON a.id < b.id AND abs(a.x - b.x) < 300 AND abs(a.y - b.y) < 300)"
+
+
+def _overlaps(spark, sf):
+    b = load(spark, sf, "boxes")
+    other = b.select(F.col("id").alias("over"), F.col("x").alias("gx"), F.col("y").alias("gy"), F.col("w").alias("w2"), F.col("h").alias("h2"))
+    p = joins.grid_join(b, other, 300, chebyshev=True).where("id < over")
+    common = geo.overlap(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h"), F.col("gx"), F.col("gy"), F.col("gx") + F.col("w2"), F.col("gy") + F.col("h2"))
+    return p.select("id", "over", common.alias("common"), (F.col("w") * F.col("h")).alias("area"), (F.col("w2") * F.col("h2")).alias("area2"))
+
+
+@query(_IOU + " SELECT id, over, common, round_even(common / (area + area2 - common)::DOUBLE, 6) AS iou, round_even(common / least(area, area2)::DOUBLE, 6) AS inside FROM p WHERE common > 0")
+def iou_pairs(spark, sf):
+    p = _overlaps(spark, sf).where("common > 0")
+    return p.select("id", "over", "common", F.bround(F.col("common") / (F.col("area") + F.col("area2") - F.col("common")), 6).alias("iou"), F.bround(F.col("common") / F.least("area", "area2"), 6).alias("inside"))
+
+
+@query(None)
+def greedy_keep(spark, sf):
+    b = load(spark, sf, "boxes")
+    order = [F.col("score").desc(), (F.col("w") * F.col("h")).desc(), F.col("id")]
+    ranked = b.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    clash = _overlaps(spark, sf).where("common > 0.45 * (area + area2 - common) or common > 0.60 * least(area, area2)").select("id", "over")
+    return joins.greedy_keep(ranked, clash, root(spark))
+
+
+@query(f""", p AS (SELECT t.id AS old_id, g.id AS new_id, (t.x - g.gx) * (t.x - g.gx) + (t.y - g.gy) * (t.y - g.gy) AS d2, t.nom = g.name AS same FROM toponyms t JOIN gazetteer g ON (t.x - g.gx) * (t.x - g.gx) + (t.y - g.gy) * (t.y - g.gy) <= 160000),
+ q AS (SELECT *, CASE WHEN same THEN 1 WHEN d2 <= 6400 THEN 2 END AS tier FROM p), c AS (SELECT * FROM q WHERE tier IS NOT NULL QUALIFY row_number() OVER (PARTITION BY old_id ORDER BY tier, d2, new_id) = 1)
+ SELECT old_id, new_id, tier, d2 FROM c QUALIFY row_number() OVER (PARTITION BY new_id ORDER BY tier, d2, old_id) = 1""")
+def remap_two_tier(spark, sf):
+    old = load(spark, sf, "toponyms").select(F.col("id").alias("old_id"), F.col("nom").alias("key"), "x", "y")
+    new = load(spark, sf, "gazetteer").select(F.col("id").alias("new_id"), F.col("name").alias("nkey"), "gx", "gy")
+    return joins.remap(old, new, 400, 80)
+
+
+@query("SELECT a.id AS a, b.id AS b FROM gazetteer a JOIN gazetteer b ON a.id < b.id AND a.tipus = b.tipus AND (a.gx - b.gx) * (a.gx - b.gx) + (a.gy - b.gy) * (a.gy - b.gy) <= 1600 AND 1 - levenshtein(a.name, b.name)::DOUBLE / greatest(length(a.name), length(b.name)) >= 0.6")
+def near_dup_pairs(spark, sf):
+    g = load(spark, sf, "gazetteer")
+    a, b = g.select(F.col("id").alias("a"), "tipus", "name", F.col("gx").alias("x"), F.col("gy").alias("y")), g.select(F.col("id").alias("b"), F.col("tipus").alias("t2"), F.col("name").alias("n2"), "gx", "gy")
+    pairs = joins.grid_join(a, b, 40).where("a < b and tipus = t2")
+    return pairs.where(T.lev_ratio(F.col("name"), F.col("n2")) >= 0.6).select("a", "b")
+
+
+@query("SELECT win, round_even(degrees(atan2(sum(sin(2 * radians((w * 7 % 180)::DOUBLE))), sum(cos(2 * radians((w * 7 % 180)::DOUBLE))))) / 2, 6) AS axis FROM boxes GROUP BY win")
+def circular_mean(spark, sf):
+    a = 2 * F.radians((F.col("w") * 7 % 180).cast("double"))
+    return load(spark, sf, "boxes").groupBy("win").agg(F.bround(F.degrees(F.atan2(F.sum(F.sin(a)), F.sum(F.cos(a)))) / 2, 6).alias("axis"))
+
+
+@query(None)
+def bin_pack(spark, sf):
+    """Runs of sizes put into bins in order; a new bin where the next would pass 80."""
+    sizes = load(spark, sf, "boxes").groupBy("win").agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "h"))), lambda x: x["h"]).alias("hs"))
+    step = lambda a, n: F.struct(F.when(a["fill"] + n > 80, a["bin"] + 1).otherwise(a["bin"]).alias("bin"), F.when(a["fill"] + n > 80, n).otherwise(a["fill"] + n).alias("fill"))
+    start = F.struct(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("fill"))
+    return sizes.select("win", F.aggregate("hs", start, step)["bin"].alias("last_bin"))
+
+
+@query(", s AS (SELECT win, x, id, lead(x) OVER (PARTITION BY win ORDER BY x, id) - x AS gap, row_number() OVER (PARTITION BY win ORDER BY x, id) AS k, count(*) OVER (PARTITION BY win) AS n FROM boxes) SELECT win, arg_max(x, (gap, -k)) AS cut_after, max(gap) AS gap FROM s WHERE gap IS NOT NULL AND k >= 0.35 * n AND k <= 0.65 * n GROUP BY win")
+def gap_split(spark, sf):
+    w = Window.partitionBy("win").orderBy("x", "id")
+    s = load(spark, sf, "boxes").select("win", "x", (F.lead("x").over(w) - F.col("x")).alias("gap"), F.row_number().over(w).cast("long").alias("k"), F.count("*").over(Window.partitionBy("win")).alias("n"))
+    s = s.where("gap is not null and k >= 0.35 * n and k <= 0.65 * n")
+    return s.groupBy("win").agg(F.max_by("x", F.struct(F.col("gap"), -F.col("k"))).alias("cut_after"), F.max("gap").alias("gap"))
+
+
+# ---- fits
+
+_POINTS = ", cp AS (SELECT id, x, y, 1000 + 3 * x - 2 * y + id % 7 AS lon, 500 - x + 4 * y + id % 5 AS lat FROM boxes WHERE id < 190)"
+
+
+def _points(spark, sf):
+    return load(spark, sf, "boxes").where("id < 190").select("id", "x", "y", (1000 + 3 * F.col("x") - 2 * F.col("y") + F.col("id") % 7).alias("lon"), (500 - F.col("x") + 4 * F.col("y") + F.col("id") % 5).alias("lat"))
+
+
+@query(_POINTS + ", s AS (SELECT covar_pop(x::DOUBLE, lon::DOUBLE) AS xt, covar_pop(y::DOUBLE, lon::DOUBLE) AS yt, var_pop(x::DOUBLE) AS xx, var_pop(y::DOUBLE) AS yy, covar_pop(x::DOUBLE, y::DOUBLE) AS xy FROM cp) SELECT round_even((xt * yy - yt * xy) / (xx * yy - xy * xy), 6) AS a, round_even((yt * xx - xt * xy) / (xx * yy - xy * xy), 6) AS b FROM s")
+def affine_fit(spark, sf):
+    return fit.affine(fit.normal_sums(_points(spark, sf)), "lon").select(F.bround("a_lon", 6).alias("a"), F.bround("b_lon", 6).alias("b"))
+
+
+@query(_POINTS + ", q AS (SELECT f.id AS fold, covar_pop(c.x::DOUBLE, c.lon::DOUBLE) AS xt, covar_pop(c.y::DOUBLE, c.lon::DOUBLE) AS yt, var_pop(c.x::DOUBLE) AS xx, var_pop(c.y::DOUBLE) AS yy, covar_pop(c.x::DOUBLE, c.y::DOUBLE) AS xy, avg(c.x::DOUBLE) AS mx, avg(c.y::DOUBLE) AS my, avg(c.lon::DOUBLE) AS mt FROM cp f JOIN cp c ON c.id <> f.id GROUP BY f.id), w AS (SELECT *, (xt * yy - yt * xy) / (xx * yy - xy * xy) AS a, (yt * xx - xt * xy) / (xx * yy - xy * xy) AS b FROM q) SELECT fold AS id, round_even(abs(mt + a * (x - mx) + b * (y - my) - lon), 4) AS error FROM w JOIN cp ON cp.id = fold")
+def loo_error(spark, sf):
+    """Each control point left out: folds come from the total sums less the point's own, so no pair of points ever meets."""
+    p = _points(spark, sf)
+    total, own = fit.normal_sums(p), fit.normal_sums(p, "id")
+    names = [c for c in total.columns]
+    rest = own.join(F.broadcast(total.select(*[F.col(c).alias(f"t_{c}") for c in names])), F.lit(True)).select("id", *[(F.col(f"t_{c}") - F.col(c)).alias(c) for c in names])
+    f = fit.affine(rest, "lon").select("id", "a_lon", "b_lon", "c_lon")
+    return p.join(f, "id").select("id", F.bround(F.abs(F.col("a_lon") * F.col("x") + F.col("b_lon") * F.col("y") + F.col("c_lon") - F.col("lon")), 4).alias("error"))
+
+
+@query(", k AS (SELECT unnest(range(0, 8)) AS i), l AS (SELECT unnest(range(0, 6)) AS j) SELECT least(i * 512, 3840 - 640)::BIGINT AS gx, least(j * 512, 2849 - 640)::BIGINT AS gy, i::BIGINT AS col, j::BIGINT AS row FROM k, l WHERE i * 512 < 3840 - 640 + 512 AND j * 512 < 2849 - 640 + 512")
+def tile_grid(spark, sf):
+    return files.tile_grid(spark, 3840, 2849, 640, 512)
+
+
+# ---- audit and lint
+
+_AUDIT = "SELECT id, array_to_string(list_filter([CASE WHEN nom = '' THEN 'empty' END, CASE WHEN nom <> '' AND regexp_matches(nom, '[0-9]') THEN 'has_digit' END, CASE WHEN nom <> '' AND regexp_matches(nom, '[^a-zA-Z '' -]') THEN 'odd_char' END, CASE WHEN nom <> '' AND length(nom) <= 3 THEN 'very_short' END, CASE WHEN nom <> '' AND regexp_matches(nom, '^[a-z]') THEN 'lower_start' END, CASE WHEN nom <> '' AND regexp_matches(nom, '^[-'']|[-'']$') THEN 'dangling_edge' END, CASE WHEN nom <> '' AND NOT contains(nom, ' ') AND length(nom) <= 4 THEN 'short_single' END], lambda z: z IS NOT NULL), ',') AS flags FROM w"
+_NAMES = ", w AS (SELECT id, CASE WHEN id % 130 = 0 THEN '' WHEN id % 90 = 0 THEN 'P1 ' || nom WHEN id % 80 = 0 THEN '-' || nom WHEN id % 60 = 0 THEN substr(nom, 1, 3) WHEN id % 50 = 0 THEN upper(nom) ELSE nom END AS nom FROM toponyms) "
+
+
+def _flagged(spark, sf):
+    n, k = F.col("nom"), F.col("id")
+    w = load(spark, sf, "toponyms").withColumn("nom", F.when(k % 130 == 0, "").when(k % 90 == 0, F.concat(F.lit("P1 "), n)).when(k % 80 == 0, F.concat(F.lit("-"), n)).when(k % 60 == 0, F.substring(n, 1, 3)).when(k % 50 == 0, F.upper(n)).otherwise(n))
+    return w.select("id", files.audit_flags(F.col("nom")).alias("flags"))
+
+
+@query(_NAMES + _AUDIT)
+def audit_flags(spark, sf):
+    return _flagged(spark, sf).select("id", F.array_join("flags", ",").alias("flags"))
+
+
+@query(_NAMES + ", fl AS (" + _AUDIT + ") SELECT flag, count(*) AS n, min(id) AS example FROM (SELECT id, unnest(string_split(flags, ',')) AS flag FROM fl WHERE flags <> '') GROUP BY flag")
+def audit_summary(spark, sf):
+    return _flagged(spark, sf).select("id", F.explode("flags").alias("flag")).groupBy("flag").agg(F.count("*").alias("n"), F.min("id").alias("example"))
+
+
+@query("SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1))) AS href FROM pages")
+def page_links(spark, sf):
+    return load(spark, sf, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)))).alias("href"))
+
+
+@query("SELECT page_id, len(regexp_extract_all(html, '<script[ >]'))::INTEGER AS scripts, len(regexp_extract_all(html, '<style[ >]'))::INTEGER AS styles, len(regexp_extract_all(html, ' on[a-z]+='))::INTEGER AS handlers, regexp_matches(html, 'target=\"_blank\"') AND NOT regexp_matches(html, 'noopener') AS opener FROM pages")
+def page_lint(spark, sf):
+    n = lambda p: F.size(F.regexp_extract_all("html", F.lit(f"({p})"), F.lit(1)))
+    return load(spark, sf, "pages").select("page_id", n("<script[ >]").alias("scripts"), n("<style[ >]").alias("styles"), n(" on[a-z]+=").alias("handlers"), (F.col("html").rlike('target="_blank"') & ~F.col("html").rlike("noopener")).alias("opener"))
+
+
+@query(", l AS (SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href=\"(/[^\"#]*)\"', 1))) AS path FROM pages), o AS (SELECT DISTINCT regexp_replace(url, '^[a-z]+://[^/]*', '') AS path FROM pages) SELECT page_id, path FROM l WHERE path NOT IN (SELECT path FROM o WHERE path IS NOT NULL)")
+def dead_links(spark, sf):
+    p = load(spark, sf, "pages")
+    links = p.select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="(/[^"#]*)"'), F.lit(1)))).alias("path"))
+    return links.join(p.select(F.regexp_replace("url", "^[a-z]+://[^/]*", "").alias("path")), "path", "left_anti").select("page_id", "path")
+
+
+@query("SELECT page_id, tag, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, ' class=\"([^\"]*)\"', 1)) AS tag FROM pages) GROUP BY 1, 2 HAVING count(*) > 1")
+def dup_ids(spark, sf):
+    """Attribute values used more than once in a page (the test pages have no id attributes, so class stands in)."""
+    tags = load(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(' class="([^"]*)"'), F.lit(1))).alias("tag"))
+    return tags.groupBy("page_id", "tag").agg(F.count("*").alias("n")).where("n > 1")
+
+
+@query("SELECT page_id, url, regexp_matches(url, '^https://([a-z0-9-]+\\.)*example\\.com(/|$)') OR starts_with(url, 'data:') AS admitted FROM pages")
+def csp_admits(spark, sf):
+    policy = files.policy("default-src 'self'; img-src data: https://*.example.com https://example.com")
+    return load(spark, sf, "pages").select("page_id", "url", files.admits(policy["img-src"], F.col("url")).alias("admitted"))
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gazetteer_match(spark, sf_dir)

@@ -1,0 +1,132 @@
+"""Sources and sinks: JSON documents, keyed maps, tiles, policies; and small relations made from constants."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_OWN: list[str] = []
+
+
+def work_dir(spark: SparkSession) -> str:
+    """A fresh folder below the one that driver and executors share; a temporary one only where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not _OWN:
+            _OWN.append("file://" + tempfile.mkdtemp(prefix="lodestar-"))
+        base = _OWN[0]
+    return f"{base.rstrip('/')}/lodestar/work-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def json_records(spark: SparkSession, path: str, field: str, schema: str) -> DataFrame:
+    """The records of one array field of a JSON document. A missing file is an empty table; a corrupt one fails."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    doc = spark.read.schema(f"{field} ARRAY<STRUCT<{schema}>>").option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return doc.select(F.inline(field))
+
+
+def json_map(spark: SparkSession, path: str, value_schema: str) -> DataFrame:
+    """(id, value fields) of a JSON object that maps ids to records."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], f"id STRING, {value_schema}")
+    text = spark.read.text(path, wholetext=True)
+    parsed = text.select(F.from_json("value", f"MAP<STRING, STRUCT<{value_schema}>>", {"mode": "FAILFAST"}).alias("m"))
+    return parsed.select(F.explode("m").alias("id", "v")).select("id", "v.*")
+
+
+def either_root(spark: SparkSession, path: str, field: str, schema: str) -> DataFrame:
+    """Records of ``field`` at the root or under ``result``."""
+    kind = f"ARRAY<STRUCT<{schema}>>"
+    doc = spark.read.schema(f"result STRUCT<{field} {kind}>, {field} {kind}").option("multiLine", True).json(path)
+    return doc.select(F.inline(F.coalesce(F.col(f"result.{field}"), F.col(field))))
+
+
+def tolerant_json(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, one row with the number of unreadable ones) of JSON lines."""
+    rows = spark.read.schema(f"{schema}, _bad STRING").option("columnNameOfCorruptRecord", "_bad").json(path)
+    return rows.where("_bad is null").drop("_bad"), rows.agg(F.count("_bad").alias("n_bad"))
+
+
+def spotter_tiles(spark: SparkSession, path: str) -> DataFrame:
+    """(file, k, xs, ys, text, score) of per-tile files that map an index to columns."""
+    schema = "polygon_x MAP<STRING, ARRAY<DOUBLE>>, polygon_y MAP<STRING, ARRAY<DOUBLE>>, text MAP<STRING, STRING>, score MAP<STRING, DOUBLE>"
+    tiles = spark.read.schema(schema).option("multiLine", True).json(path).withColumn("file", F.input_file_name())
+    keys = tiles.withColumn("k", F.explode(F.map_keys("polygon_x")))
+    return keys.select("file", "k", F.col("polygon_x")[F.col("k")].alias("xs"), F.col("polygon_y")[F.col("k")].alias("ys"), F.col("text")[F.col("k")].alias("text"), F.col("score")[F.col("k")].alias("score"))
+
+
+def enumeration(spark: SparkSession, name: str, values: list[str]) -> DataFrame:
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+
+def tile_grid(spark: SparkSession, width: int, height: int, patch: int, stride: int) -> DataFrame:
+    """(col, row, gx, gy) of tiles; the last one of a row or column is moved back to the edge."""
+    def along(size: int) -> Column:
+        return F.sequence(F.lit(0).cast("long"), F.lit(max(0, -(-(size - patch) // stride))).cast("long"))
+
+    grid = spark.range(1).select(F.explode(along(width)).alias("col"), F.lit(0).alias("_")).select("col", F.explode(along(height)).alias("row"))
+    return grid.select(F.least(F.col("col") * stride, F.lit(width - patch)).cast("long").alias("gx"), F.least(F.col("row") * stride, F.lit(height - patch)).cast("long").alias("gy"), "col", "row")
+
+
+def audit_flags(nom: Column) -> Column:
+    """The names of the rules that a name breaks, in their order; an empty name breaks one only."""
+    full = nom != ""
+    rules = [("empty", ~full), ("has_digit", full & nom.rlike("[0-9]")), ("odd_char", full & nom.rlike("[^a-zA-Z ' -]")), ("very_short", full & (F.length(nom) <= 3)), ("lower_start", full & nom.rlike("^[a-z]")), ("dangling_edge", full & nom.rlike("^[-']|[-']$")), ("short_single", full & ~F.contains(nom, F.lit(" ")) & (F.length(nom) <= 4))]
+    return F.array_compact(F.array(*[F.when(c, k) for k, c in rules]))
+
+
+def policy(line: str) -> dict[str, list[str]]:
+    """Directive -> sources of a content policy."""
+    return {words[0]: words[1:] for part in line.split(";") if (words := part.split())}
+
+
+def admits(sources: list[str], url: Column) -> Column:
+    """Whether a source list lets a URL in: a path of its own for 'self', a scheme, a host, a wildcard host, a prefix."""
+    import re
+
+    tests = [F.lit(False)]
+    for s in sources:
+        if s == "'self'":
+            tests.append(url.rlike("^/[^/]|^/$") | url.rlike("^[^:]*$"))
+        elif s.endswith(":"):
+            tests.append(F.startswith(url, F.lit(s)))
+        elif "//*." in s:
+            scheme, host = s.split("//*.", 1)
+            tests.append(url.rlike(f"^{re.escape(scheme)}//([a-z0-9-]+\\.)+{re.escape(host)}(/|$)"))
+        else:
+            tests.append(url.rlike(f"^{re.escape(s)}(/|$)"))
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
+
+
+def write_document(df: DataFrame, path: str, field: str, **header: str) -> None:
+    """One JSON document with a header and the rows as an array; for results that one file can hold."""
+    doc = df.agg(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in header.items()], F.collect_list(F.struct(*df.columns)).alias(field))).alias("value"))
+    doc.write.mode("overwrite").text(path)
+
+
+def write_versioned(df: DataFrame, base: str) -> str:
+    """Writes a new version below base and returns its path; a reader moves to it only when it is complete."""
+    path = f"{base.rstrip('/')}/v-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
+def write_gcp_csv(points: DataFrame, path: str) -> None:
+    """Control points for a GIS: y negated, trusted ones enabled."""
+    points.select(F.col("lon").alias("mapX"), F.col("lat").alias("mapY"), F.col("x").alias("sourceX"), (-F.col("y")).alias("sourceY"), F.col("trusted").cast("int").alias("enable"), F.lit(0).alias("dX"), F.lit(0).alias("dY"), F.lit(0).alias("residual")).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_windows(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").partitionBy("w").json(path)
