@@ -28,7 +28,7 @@ TOKENIZER = "word_bpe_49k.json"
 NONE = np.int64(1) << 62
 WIDE = 64
 #: Words kept in a worker's memory; beyond it the cache starts anew.
-CACHE = 400_000
+CACHE = 250_000
 
 
 def byte_letters() -> list[str]:
@@ -199,7 +199,7 @@ class SegmentTreeBPE:
 
 
 def model(path: str) -> SegmentTreeBPE:
-    return common.worker_cache(("bpe", path), lambda: SegmentTreeBPE(path))
+    return common.worker_cache("bpe", path, lambda: SegmentTreeBPE(path))
 
 
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:

@@ -24,7 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where none is set, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = worker_cache("shared_dir", lambda: "file://" + tempfile.mkdtemp(prefix="lodestar-"))
+        path = sys.__dict__.setdefault("_lodestar_shared", None) or "file://" + tempfile.mkdtemp(prefix="lodestar-")
+        sys._lodestar_shared = path
     return path.rstrip("/")
 
 
@@ -50,12 +51,19 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
-def worker_cache(key, build: Callable, version: str = ""):
-    """build(), once per process and version (the last is kept): functions travel by value, so module globals would not last."""
+def worker_cache(owner: str, key, build: Callable, version: str = ""):
+    """build(), once per process and version (the last is kept): functions travel by value, so module globals would not last.
+
+    A worker keeps what one owner (an operator) needs; the next owner's first call lets go of it.
+    """
     kept = sys.__dict__.setdefault("_lodestar_cache", {})
-    if key not in kept or kept[key][0] != version:
-        kept[key] = version, build()
-    return kept[key][1]
+    if owner not in kept:
+        kept.clear()
+        kept[owner] = {}
+    own = kept[owner]
+    if key not in own or own[key][0] != version:
+        own[key] = version, build()
+    return own[key][1]
 
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:

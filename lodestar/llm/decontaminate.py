@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lodestar.llm import common
 
 MASKS = ("111111", "11101011", "110110101", "1010110011")
-WINDOW, SIMILAR, BLOCK_WORDS, CACHE = 20, 0.8, 2_000_000, 400_000
+WINDOW, SIMILAR, BLOCK_WORDS, CACHE = 20, 0.8, 2_000_000, 250_000
 FOLDS = 1 << 22
 
 
@@ -131,8 +131,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, simi
         def leaks(texts, sent=sent, version=uuid.uuid4().hex):
             import pandas as pd
 
-            seeds = common.worker_cache("seeds", lambda: Seeds(sent.value), version)
-            ids = common.worker_cache("seed-words", Words)
+            seeds = common.worker_cache("decontaminate", "seeds", lambda: Seeds(sent.value), version)
+            ids = common.worker_cache("decontaminate", "words", Words)
             return pd.Series([[{"item_id": i, "agreeing": n} for i, n in sorted(seeds.leaks(ids.ids(t or ""), window, similar).items())] for t in texts])
 
         udf = F.pandas_udf(leaks, "array<struct<item_id:bigint,agreeing:bigint>>")

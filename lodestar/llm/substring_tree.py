@@ -34,7 +34,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             x[0] = 1
         return tuple(np.cumprod(x) for x in one)
 
-    return common.worker_cache("powers", build, str(size))
+    return common.worker_cache("substring", "powers", build, str(size))
 
 
 def hashed(raw: bytes) -> tuple[np.ndarray, np.ndarray]:

@@ -218,7 +218,7 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> Non
     """Writes the shards of documents (doc_id, text) under path, in ascending order of doc_id."""
 
     def run(batches):
-        encoder = common.worker_cache(("words", tokenizer, end_id), lambda: WordEncoder(tokenizer, end_id))
+        encoder = common.worker_cache("tokens", (tokenizer, end_id), lambda: WordEncoder(tokenizer, end_id))
         part, number, keys, payloads, size = TaskContext.get().partitionId(), 0, [], [], 0
         schema = pa.schema([("content", pa.binary())])
         for b in batches:
