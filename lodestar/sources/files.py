@@ -52,7 +52,8 @@ def either_root(spark: SparkSession, path: str, field: str, schema: str) -> Data
 
 def tolerant_json(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, one row with the number of unreadable ones) of JSON lines."""
-    rows = spark.read.schema(f"{schema}, _bad STRING").option("columnNameOfCorruptRecord", "_bad").json(path)
+    parsed = F.from_json("value", f"{schema}, _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = spark.read.text(path).select(parsed.alias("r")).select("r.*")
     return rows.where("_bad is null").drop("_bad"), rows.agg(F.count("_bad").alias("n_bad"))
 
 
