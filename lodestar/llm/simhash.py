@@ -180,7 +180,8 @@ def near_duplicates(df: DataFrame, bits: int = BITS, words: int = WORDS) -> Data
     found = common.written(links(fps, bits), "links")
     parts = component_ids(found, common.fresh_path(spark, "components")).select(F.col("node").alias("fp"), F.col("component"))
     named = first.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    roots = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    # written, so that both sides of the join below are plain exchanges, whose large partitions AQE splits
+    roots = common.written(named.groupBy("component").agg(F.min("first").alias("component_id")), "roots")
     classes = common.written(named.join(roots, "component").select("fp", "component_id"), "classes")
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
