@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm import common
 
-BUCKETS, TRUSTED, THRESHOLD = 1 << 15, 20_000, -0.06
+BUCKETS, TRUSTED, SMOOTH, THRESHOLD = 1 << 15, 20_000, 60.0, -0.06
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 BLANKS = "[ \\t\\n\\x0B\\f\\r]"
 
@@ -79,14 +79,14 @@ def ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted:
     w, n = F.col("_words"), F.size("_words")
     grams = F.concat(F.transform(w, lambda x: bucket(x, buckets=buckets)), F.transform(upto(0, n - 2), lambda i: bucket(F.get(w, i), F.get(w, i + 1), buckets=buckets)))
     counts = rows.select(F.col("_good").isNotNull().cast("long").alias("target"), F.explode(grams).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("target").alias("target")).collect()
-    raw, target = [1] * buckets, [1] * buckets
+    raw, target = [0] * buckets, [0] * buckets
     for b, r, t in counts:
-        raw[b] += r
-        target[b] += t
-    if sum(target) == buckets:
+        raw[b], target[b] = r, t
+    n, m = sum(raw), sum(target)
+    if not m:
         return [0.0] * buckets
-    shift = math.log(sum(raw)) - math.log(sum(target))
-    return [math.log(t) - math.log(r) + shift for r, t in zip(raw, target)]
+    # both multinomials over as many n-grams as the target has, with the same additive smoothing: little evidence leaves a ratio near 1
+    return [math.log(t + SMOOTH) - math.log(m * r / n + SMOOTH) for r, t in zip(raw, target)]
 
 
 def scored(df: DataFrame, table: list[float]) -> DataFrame:
