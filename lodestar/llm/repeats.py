@@ -34,7 +34,7 @@ BLOCK, GROUP_BYTES, PLACES = 1 << 20, 2 << 20, 24
 @dataclass(frozen=True)
 class Windows:
     """window, gram: their lengths in symbols (gram a power of two). symbols: those of some texts, one after the other, and how many each has.
-    content: the bytes of some symbols of a text. read: the symbols of some contents. group: what settles a group of segments."""
+    content: the bytes of some symbols of a text. read: the symbols of some contents. group: what settles a group of segments. merge: of the windows that two groups have shown."""
 
     window: int
     gram: int
@@ -42,6 +42,7 @@ class Windows:
     content: Callable[[bytes], Callable[[int, int], bytes]]
     read: Callable[[list[bytes]], list[np.ndarray]]
     group: Callable
+    merge: Callable
 
 
 def mixing(x: np.ndarray) -> np.ndarray:
@@ -258,14 +259,16 @@ def group_marks(kind: Windows, rows: list[tuple], carry):
         return out, None
     contents = kind.read([o[5] for o in owner])
     sizes, ords, starts = (np.array([o[k] for o in owner], np.int64) for k in (2, 0, 1))
-    whole = goes_on == rows[0][0]
-    earlier, keys = kind.group(contents, sizes, ords, starts, np.array([o[4] for o in owner]), seen, whole)
+    open_ = np.arange(len(owner)) >= len(owner) - len(own)  # segments of the last anchor, which may go on in the next group
+    earlier, keys = kind.group(contents, sizes, ords, starts, np.array([o[4] for o in owner]), seen, open_)
+    if seen is not None and carried == goes_on:
+        keys = kind.merge(seen, keys)
     bounds = np.cumsum(sizes) - sizes
     for k, (_, first, n, row, _, _) in enumerate(owner):
         out += [(row, first + a, first + z) for a, z in true_runs(earlier[bounds[k] : bounds[k] + n])]
     for k, row, first in twins:
         out += [(row, first + a, first + z) for a, z in true_runs(earlier[bounds[k] : bounds[k] + owner[k][2]])]
-    return out, (goes_on, keys) if keys is not None else None
+    return out, (goes_on, keys)
 
 
 def true_runs(flags: np.ndarray) -> list[tuple[int, int]]:

@@ -106,8 +106,12 @@ def subtree(words: np.ndarray, part: np.ndarray, depth: int, window: int) -> tup
     return part, node
 
 
-def earlier_windows(contents, sizes, ords, starts, carried, seen, whole, window: int = WINDOW):
-    """(which windows of the contents start earlier, windows of the last anchor if the group is all of one)."""
+def merged(a: set, b: set) -> set:
+    return a | b
+
+
+def earlier_windows(contents, sizes, ords, starts, carried, seen, open_, window: int = WINDOW):
+    """(which windows of the contents start earlier: here, or among the windows seen if carried; windows of the open contents)."""
     words = np.concatenate(contents)
     lengths = sizes + window - 1
     begin = np.cumsum(lengths) - lengths
@@ -121,19 +125,14 @@ def earlier_windows(contents, sizes, ords, starts, carried, seen, whole, window:
         suffixes, node = subtree(words, part, depth, window)
         mine = index[suffixes]
         out[mine] = repeats.not_first(node, ords[owner[mine]], starts[owner[mine]] + offset[mine])
-    keys = None
-    if whole or seen is not None:
-        rows = np.lib.stride_tricks.sliding_window_view(words, window)
-        own = {rows[i].tobytes(): k for k, i in enumerate(at.tolist())} if whole else {}
-        if seen is not None:
-            for k in np.nonzero(carried[owner])[0].tolist():
-                out[k] |= rows[at[k]].tobytes() in seen
-        if whole:
-            keys = {*own, *(seen or ())}
-    return out, keys
-
-
-WORDS = repeats.Windows(WINDOW, GRAM, word_hashes, content, read, earlier_windows)
+    rows = np.lib.stride_tricks.sliding_window_view(words, window)
+    if seen is not None:
+        for k in np.nonzero(carried[owner])[0].tolist():
+            out[k] |= rows[at[k]].tobytes() in seen
+    return out, {rows[i].tobytes() for i in at[open_[owner]].tolist()}
+
+
+WORDS = repeats.Windows(WINDOW, GRAM, word_hashes, content, read, earlier_windows, merged)
 
 
 def dedup(df: DataFrame, kind: repeats.Windows = WORDS, texts: bool = True) -> DataFrame:

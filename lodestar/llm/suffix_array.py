@@ -120,8 +120,12 @@ def window_bytes(text: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     return rows.view(f"S{window + 1}").ravel()
 
 
-def earlier_windows(contents, sizes, ords, starts, carried, seen, whole, window: int = WINDOW):
-    """(which windows of the contents start earlier, sorted windows of the last anchor if the group is all of one)."""
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.unique(np.concatenate([a, b]))
+
+
+def earlier_windows(contents, sizes, ords, starts, carried, seen, open_, window: int = WINDOW):
+    """(which windows of the contents start earlier: here, or among the sorted windows seen if carried; sorted windows of the open contents)."""
     text = np.concatenate(contents)
     lengths = sizes + window - 1
     begin = np.cumsum(lengths) - lengths
@@ -138,18 +142,15 @@ def earlier_windows(contents, sizes, ords, starts, carried, seen, whole, window:
     labels = np.empty(len(at), np.int64)
     labels[mine[keep]] = label[keep]
     out = repeats.not_first(labels, ords[owner], starts[owner] + offset)
-    keys = None
-    if whole or seen is not None:
-        windows = window_bytes(text, at, window)
-        if seen is not None:
-            spot = np.minimum(np.searchsorted(seen, windows), len(seen) - 1)
-            out |= (seen[spot] == windows) & carried[owner]
-        if whole:
-            keys = np.unique(np.concatenate([windows, *([] if seen is None else [seen])]))
-    return out, keys
-
-
-BYTES = repeats.Windows(WINDOW, GRAM, octets, content, read, earlier_windows)
+    if seen is not None:
+        mine = np.nonzero(carried[owner])[0]
+        windows = window_bytes(text, at[mine], window)
+        spot = np.minimum(np.searchsorted(seen, windows), len(seen) - 1)
+        out[mine] |= seen[spot] == windows
+    return out, np.unique(window_bytes(text, at[open_[owner]], window))
+
+
+BYTES = repeats.Windows(WINDOW, GRAM, octets, content, read, earlier_windows, merged)
 
 
 def dedup(df: DataFrame, kind: repeats.Windows = BYTES, texts: bool = True) -> DataFrame:
