@@ -157,3 +157,13 @@ def dedup(df: DataFrame, kind: repeats.Windows = WORDS, texts: bool = True) -> D
 
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(common.table(spark, sf_dir, "documents"), texts=False)
+
+
+ORACLE_SQL = f"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - {WINDOW} + 2)) AS s FROM w),
+k AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(ws[s:s + {WINDOW} - 1], ' ') ORDER BY doc_id, s) AS r FROM p),
+g AS (SELECT doc_id, list(i) AS gone FROM (SELECT DISTINCT doc_id, unnest(range(s, s + {WINDOW})) AS i FROM k WHERE r > 1) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(coalesce(gone, []), i)), ' ')) AS kept_sha256 FROM w LEFT JOIN g USING (doc_id)
+"""
