@@ -488,5 +488,68 @@ def csp_admits(spark, sf):
     return load(spark, sf, "pages").select("page_id", "url", files.admits(policy["img-src"], F.col("url")).alias("admitted"))
 
 
+# ---- sets of rows and keys
+
+
+@query(", a AS (SELECT id, nom, 0 AS track FROM toponyms WHERE id % 3 <> 0), b AS (SELECT id, nom, 1 AS track FROM toponyms WHERE id % 4 = 0) SELECT * FROM a UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.nom = b.nom)")
+def union_tracks(spark, sf):
+    """Two tracks as one; a name that the first has is left out of the second."""
+    t = load(spark, sf, "toponyms").select("id", "nom")
+    a, b = t.where("id % 3 <> 0").withColumn("track", F.lit(0)), t.where("id % 4 = 0").withColumn("track", F.lit(1))
+    return a.unionByName(b.join(a, "nom", "left_anti"))
+
+
+@query("SELECT coalesce(e.id, t.id) AS id, CASE WHEN t.id IS NULL THEN 'edits' WHEN e.id IS NULL THEN 'toponyms' ELSE 'both' END AS side FROM (SELECT DISTINCT id FROM edits) e FULL JOIN (SELECT DISTINCT id FROM toponyms) t ON e.id = t.id")
+def key_sets(spark, sf):
+    """Each key and the sides that have it: intersection and both differences in one join."""
+    e = load(spark, sf, "edits").select("id").distinct().withColumn("e", F.lit(True))
+    t = load(spark, sf, "toponyms").select("id").distinct().withColumn("t", F.lit(True))
+    return e.join(t, "id", "full").select("id", F.when(F.col("t").isNull(), "edits").when(F.col("e").isNull(), "toponyms").otherwise("both").alias("side"))
+
+
+@query("SELECT municipi FROM gazetteer WHERE gx < 1900 EXCEPT SELECT municipi FROM toponyms t JOIN gazetteer g ON g.id = t.id WHERE t.x > 3000")
+def except_places(spark, sf):
+    g = load(spark, sf, "gazetteer")
+    far = load(spark, sf, "toponyms").where("x > 3000").select("id").join(g, "id").select("municipi")
+    return g.where("gx < 1900").select("municipi").subtract(far)
+
+
+@query("SELECT tipus, count(*) AS total, count(*) FILTER (WHERE gx < 1900) AS west, greatest(2, CAST(100 AS DOUBLE) * count(*) FILTER (WHERE gx < 1900) / count(*)) AS bar FROM gazetteer GROUP BY tipus")
+def conditional_totals(spark, sf):
+    """Counts under conditions and a share in percent, at least 2 for a bar to be seen."""
+    west = F.count_if(F.col("gx") < 1900)
+    return load(spark, sf, "gazetteer").groupBy("tipus").agg(F.count("*").alias("total"), west.alias("west"), F.greatest(F.lit(2.0), F.lit(100.0) * west / F.count("*")).alias("bar"))
+
+
+@query("SELECT id, name FROM gazetteer WHERE contains(lower(name), 'al') ORDER BY name, id LIMIT 80")
+def name_search(spark, sf):
+    """The first 80 names with a piece of text; the limit is the feature."""
+    return load(spark, sf, "gazetteer").where(F.contains(F.lower("name"), F.lit("al"))).select("id", "name").orderBy("name", "id").limit(80)
+
+
+@query(", n AS (SELECT id AS g, unnest([id, id + 1, id + 1000000000]) AS box FROM boxes WHERE id % 5 = 0) SELECT g, count(*) AS n, CAST(round_even(avg(x), 0) AS BIGINT) AS cx, CAST(round_even(avg(y), 0) AS BIGINT) AS cy, greatest(0, min(x) - 20) AS x0, max(x + w) + 20 AS x1 FROM n JOIN boxes b ON b.id = n.box GROUP BY g")
+def box_members(spark, sf):
+    """Lists of box numbers looked up (missing ones ignored): centre and extent with a margin."""
+    b = load(spark, sf, "boxes")
+    n = b.where("id % 5 = 0").select(F.col("id").alias("g"), F.explode(F.array("id", F.col("id") + 1, F.col("id") + 1000000000)).alias("id"))
+    centre = [F.bround(F.avg(c)).cast("long").alias(f"c{c}") for c in "xy"]
+    return n.join(b, "id").groupBy("g").agg(F.count("*").alias("n"), *centre, F.greatest(F.lit(0), F.min("x") - 20).alias("x0"), (F.max(F.col("x") + F.col("w")) + 20).alias("x1"))
+
+
+@query("SELECT count(*) AS n_in, count(g.name) AS n_found, count(*) - count(g.name) AS n_missing FROM toponyms t LEFT JOIN (SELECT DISTINCT name FROM gazetteer) g ON g.name = t.nom")
+def reconciliation(spark, sf):
+    names = load(spark, sf, "gazetteer").select(F.col("name").alias("nom")).distinct().withColumn("found", F.lit(1))
+    out = load(spark, sf, "toponyms").join(names, "nom", "left")
+    return out.agg(F.count("*").alias("n_in"), F.count("found").alias("n_found"), (F.count("*") - F.count("found")).alias("n_missing"))
+
+
+@query(", d AS (SELECT name FROM gazetteer GROUP BY name HAVING count(DISTINCT municipi) > 1) SELECT g.id, g.name FROM gazetteer g JOIN d ON d.name = g.name WHERE gx > 1500")
+def far_homonyms(spark, sf):
+    """Rows far out whose name stands in several places."""
+    g = load(spark, sf, "gazetteer")
+    several = g.groupBy("name").agg(F.countDistinct("municipi").alias("n")).where("n > 1").select("name")
+    return g.where("gx > 1500").join(several, "name", "left_semi").select("id", "name")
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gazetteer_match(spark, sf_dir)
