@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from lodestar.llm import common
 TOKENIZER = "word_bpe_49k.json"
 NONE = np.int64(1) << 62
 WIDE = 64
-#: Words kept in a worker's memory; beyond it the cache starts anew.
-CACHE = 250_000
+#: Words kept in a worker's memory; beyond it the cache starts anew. Texts are cut into words in slices of about SLICE characters.
+CACHE, SLICE = 125_000, 1 << 20
 
 
 def byte_letters() -> list[str]:
@@ -183,6 +184,18 @@ class SegmentTreeBPE:
 
     def encode_batch(self, texts: list[str]) -> list[tuple[str, str]]:
         """(ids joined by a space, decoded text) of each text."""
+        return list(self.encode_each(texts))
+
+    def encode_each(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """As encode_batch, one by one: only the words of one slice of texts are in memory."""
+        first = size = 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= SLICE or k + 1 == len(texts):
+                yield from self.encode_slice(texts[first : k + 1])
+                first, size = k + 1, 0
+
+    def encode_slice(self, texts: list[str]) -> Iterator[tuple[str, str]]:
         parts = []
         for text in texts:
             pieces = self.specials.split(text) if "<|" in text else [text]
@@ -195,7 +208,8 @@ class SegmentTreeBPE:
         self.learn({w for w in seen if w not in self.special})
         for name, i in self.special.items():
             self.ids[name], self.text[name] = str(i), name
-        return [(" ".join(map(self.ids.__getitem__, words)), " ".join(map(self.text.__getitem__, words))) for words in parts]
+        for words in parts:
+            yield " ".join(map(self.ids.__getitem__, words)), " ".join(map(self.text.__getitem__, words))
 
 
 def model(path: str) -> SegmentTreeBPE:
@@ -234,8 +248,8 @@ def round_trip(df: DataFrame, path: str) -> DataFrame:
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
         for b in batches:
-            found = model(path).encode_batch(b.column(1).to_pylist())
-            yield common.batch(schema, b.column(0), [a.count(" ") + 1 if a else 0 for a, _ in found], [sha(a) for a, _ in found], [sha(t) for _, t in found])
+            found = [(a.count(" ") + 1 if a else 0, sha(a), sha(t)) for a, t in model(path).encode_each(b.column(1).to_pylist())]
+            yield common.batch(schema, b.column(0), *([x[k] for x in found] for k in range(3)))
 
     return common.map_arrow(common.documents(df), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

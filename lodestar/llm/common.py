@@ -48,7 +48,24 @@ def small_batches(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     small_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        yield from fn(batches)
+        let_go()
+
+    return df.mapInArrow(run, schema)
+
+
+def let_go() -> None:
+    """Gives freed memory back to the system: between tasks a worker waits beside the JVM, whose memory counts with its own."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def worker_cache(owner: str, key, build: Callable, version: str = ""):
@@ -59,6 +76,7 @@ def worker_cache(owner: str, key, build: Callable, version: str = ""):
     kept = sys.__dict__.setdefault("_lodestar_cache", {})
     if owner not in kept:
         kept.clear()
+        let_go()
         kept[owner] = {}
     own = kept[owner]
     if key not in own or own[key][0] != version:
