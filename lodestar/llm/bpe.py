@@ -251,7 +251,7 @@ def round_trip(df: DataFrame, path: str) -> DataFrame:
             found = [(a.count(" ") + 1 if a else 0, sha(a), sha(t)) for a, t in model(path).encode_each(b.column(1).to_pylist())]
             yield common.batch(schema, b.column(0), *([x[k] for x in found] for k in range(3)))
 
-    return common.map_arrow(common.documents(df), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return common.map_arrow(common.documents(df), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", tidy=True)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:

@@ -46,8 +46,11 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, tidy: bool = False) -> DataFrame:
+    """df through fn; with ``tidy``, a worker gives memory back after each task, at some CPU time for taking it again."""
     small_batches(df.sparkSession)
+    if not tidy:
+        return df.mapInArrow(fn, schema)
 
     def run(batches):
         yield from fn(batches)

@@ -58,7 +58,7 @@ def fingerprints(df: DataFrame, words: int = WORDS) -> DataFrame:
         for b in batches:
             yield common.batch(schema, b.column(0), np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64).view(np.int64))
 
-    return common.map_arrow(common.documents(df), run, "doc_id long, fp long")
+    return common.map_arrow(common.documents(df), run, "doc_id long, fp long", tidy=True)
 
 
 def segment_rows(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,9 +153,9 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
 
     spark = fps.sparkSession
     distinct = fps.select("fp").distinct()
-    rows = common.map_arrow(distinct, enter, "key long, fp long, probe boolean")
+    rows = common.map_arrow(distinct, enter, "key long, fp long, probe boolean", tidy=True)
     # A key is hot if over BLOCK entries (and over 1/HOT_KEYS of them) stand there or one bit away: the list is short by its definition.
-    owners = common.map_arrow(distinct, lambda it: (common.batch(pa.schema([("key", pa.int64())]), k[~p]) for k, _, p in (segment_rows(b.column(0).to_numpy(zero_copy_only=False)) for b in it)), "key long")
+    owners = common.map_arrow(distinct, lambda it: (common.batch(pa.schema([("key", pa.int64())]), k[~p]) for k, _, p in (segment_rows(b.column(0).to_numpy(zero_copy_only=False)) for b in it)), "key long", tidy=True)
     counts = common.written(owners.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK // 4), "hot")
     total = counts.agg(F.sum("n")).first()[0] or 0
     hot = counts.where(F.col("n") > max(BLOCK // 4, total // HOT_KEYS))

@@ -53,7 +53,8 @@ class Pieces(dict):
         self.model, self.code, self.letters = model, code, dict(enumerate(byte_letters()))
 
     def fresh(self, piece: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+        raw = piece if piece.isascii() else piece.encode().decode("latin-1")  # a character a byte
+        ids = [t.id for t in self.model.tokenize(raw.translate(self.letters))]
         return array.array(self.code, ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
