@@ -1,6 +1,6 @@
 """BPE encoding and decoding by a segment tree over the ranks of adjacent pairs.
 
-Each leaf holds ``rank << 20 | position`` of the pair that starts there, or NONE; an inner node holds the
+Each leaf holds ``rank << 40 | position`` of the pair that starts there, or NONE; an inner node holds the
 minimum of its children, so that the root is the leftmost pair of lowest rank. A merge rewrites three leaves
 and their paths. Words of up to ``WIDE`` symbols are merged many at a time in numpy, one tree a row;
 longer ones one by one.
@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from lodestar.llm import common
 
 TOKENIZER = "word_bpe_49k.json"
-NONE = np.int64(1) << 62
+NONE, PLACE = np.int64(1) << 62, (1 << 40) - 1
 WIDE = 64
 #: Words kept in a worker's memory; beyond it the cache starts anew. Texts are cut into words in slices of about SLICE characters.
 CACHE, SLICE = 125_000, 1 << 20
@@ -88,7 +89,7 @@ class SegmentTreeBPE:
 
         def leaf(r, p, q):
             rank = self.ranks(ids[r, p], ids[r, q])
-            return np.where(rank == NONE, NONE, rank << 20 | p)
+            return np.where(rank == NONE, NONE, rank << 40 | p)
 
         tree = [np.full((n, width), NONE)]
         for p in range(width - 1):
@@ -99,7 +100,7 @@ class SegmentTreeBPE:
         r = np.arange(n)
         while len(r := r[tree[-1][r, 0] < NONE]):
             root = tree[-1][r, 0]
-            p, rank = root & 0xFFFFF, root >> 20
+            p, rank = root & PLACE, root >> 40
             q = after[r, p]
             far = after[r, q]
             ids[r, p], ids[r, q] = self.new[rank], -2
@@ -122,13 +123,14 @@ class SegmentTreeBPE:
     def merge_long(self, row: bytes) -> list[int]:
         n = len(row)
         width = 1 << (n - 1).bit_length()
-        ids = [int(self.inner[b]) for b in row[:-1]] + [int(self.last[row[-1]])]
-        after, before, none = list(range(1, n + 1)), list(range(-1, n)), int(NONE)
-        tree = [none] * (2 * width)
+        ids = array("q", self.inner[np.frombuffer(row, np.uint8)].tobytes())
+        ids[-1] = int(self.last[row[-1]])
+        after, before, none = array("q", range(1, n + 1)), array("q", range(-1, n)), int(NONE)
+        tree = array("q", [none]) * (2 * width)
 
         def put(p: int, q: int) -> None:
             rank = self.pair.get(ids[p] << 32 | ids[q]) if q < n else None
-            tree[width + p] = none if rank is None else rank << 20 | p
+            tree[width + p] = none if rank is None else rank << 40 | p
 
         def lift(p: int) -> None:
             i = (width + p) >> 1
@@ -142,7 +144,7 @@ class SegmentTreeBPE:
         for i in range(width - 1, 0, -1):
             tree[i] = min(tree[2 * i], tree[2 * i + 1])
         while tree[1] < none:
-            p, rank = tree[1] & 0xFFFFF, tree[1] >> 20
+            p, rank = tree[1] & PLACE, tree[1] >> 40
             q = after[p]
             ids[p], ids[q] = int(self.new[rank]), -2
             after[p] = after[q]
@@ -163,8 +165,6 @@ class SegmentTreeBPE:
         groups: dict[int, list[int]] = {}
         for i, w in enumerate(words):
             if len(w) > WIDE:
-                if len(w) >= 1 << 20:
-                    raise ValueError("a word of 2**20 bytes or more")
                 out[i] = self.merge_long(w)
             else:
                 groups.setdefault(max(2, 1 << (len(w) - 1).bit_length()), []).append(i)

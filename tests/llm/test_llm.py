@@ -383,6 +383,15 @@ def test_bpe_columns_and_odd(spark, odd, empty):
         assert r.decoded == bpe.SegmentTreeBPE(path).encode_batch([r.text or ""])[0][1] if len(r.text or "") < 100 else True
 
 
+def test_bpe_has_no_longest_word():
+    from tokenizers import Tokenizer
+
+    path, word = bpe.tokenizer_path(), "abcde" * 210_000
+    assert len(word) > 1 << 20
+    ids, _ = bpe.SegmentTreeBPE(path).encode_batch([word])[0]
+    assert ids == " ".join(map(str, Tokenizer.from_file(path).encode(word, add_special_tokens=False).ids))
+
+
 # ---- pipeline
 
 
