@@ -50,6 +50,23 @@ def mixing(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def leads(h: np.ndarray, width: int) -> np.ndarray:
+    """Where the smallest (leftmost) of each ``width`` neighbours in h lies. A position has PLACES bits: longer arrays are taken in overlapping stretches."""
+    out = np.empty(len(h) - width + 1, np.int64)
+    stretch = (1 << PLACES) - width + 1
+    for a in range(0, len(out), stretch):
+        part = h[a : a + stretch + width - 1]
+        low = (part & np.uint64(2**64 - (1 << PLACES))) | np.arange(len(part), dtype=np.uint64)
+        step = 1
+        while 2 * step <= width:
+            low = np.minimum(low[:-step], low[step:])
+            step *= 2
+        if step < width:
+            low = np.minimum(low[: step - width], low[width - step :])
+        out[a : a + stretch] = (low & np.uint64((1 << PLACES) - 1)).astype(np.int64) + a
+    return out
+
+
 def runs(symbols: np.ndarray, sizes: np.ndarray, window: int, gram: int):
     """(anchor, document, first, last) of each run of windows with one anchor; symbols holds documents of the given sizes one after the other."""
     n = len(symbols)
@@ -60,13 +77,7 @@ def runs(symbols: np.ndarray, sizes: np.ndarray, window: int, gram: int):
         h = h[:-step] * np.uint64(0x9FB21C651E98DF25 + 2 * step) + h[step:]
         step *= 2
     h = mixing(h)
-    low = (h & np.uint64(2**64 - (1 << PLACES))) | np.arange(len(h), dtype=np.uint64)
-    width, step = window - gram + 1, 1
-    while 2 * step <= width:
-        low = np.minimum(low[:-step], low[step:])
-        step *= 2
-    if step < width:
-        low = np.minimum(low[: step - width], low[width - step :])
+    lead = leads(h, window - gram + 1)
     ends = np.cumsum(sizes)
     starts = ends - sizes
     inside = np.zeros(n + 1, np.int32)
@@ -74,7 +85,7 @@ def runs(symbols: np.ndarray, sizes: np.ndarray, window: int, gram: int):
     inside[starts[long]] += 1
     np.add.at(inside, ends[long] - window + 1, -1)
     at = np.nonzero(np.cumsum(inside[: n - window + 1]))[0]
-    place = (low[at] & np.uint64((1 << PLACES) - 1)).astype(np.int64)
+    place = lead[at]
     new = np.ones(len(at), bool)
     new[1:] = (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)
     first = np.nonzero(new)[0]

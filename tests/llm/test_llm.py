@@ -188,6 +188,16 @@ def test_repeats(spark, docs, texts, monkeypatch, small_groups):
         assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (len(s), sum(gone), hashlib.sha256(kept).hexdigest())
 
 
+@pytest.mark.parametrize("kind", [suffix_array.BYTES, substring_tree.WORDS])
+def test_repeats_in_texts_longer_than_a_position_has_bits(monkeypatch, kind):
+    from lodestar.llm import repeats
+
+    symbols, sizes = np.random.default_rng(7).integers(0, 200, 5000).astype(np.uint8), np.array([4000, 10, 990])
+    want = repeats.runs(symbols, sizes, kind.window, kind.gram)
+    monkeypatch.setattr(repeats, "PLACES", 8)
+    assert all((a == b).all() for a, b in zip(repeats.runs(symbols, sizes, kind.window, kind.gram), want))
+
+
 def test_repeats_odd(odd, empty):
     for module in (suffix_array, substring_tree):
         assert module.dedup(odd).count() == len(ODD) and module.dedup(empty).count() == 0
