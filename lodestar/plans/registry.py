@@ -342,17 +342,21 @@ def components(spark, sf):
 _IOU = ", p AS (SELECT a.id AS id, b.id AS over, greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS common, a.w * a.h AS area, b.w * b.h AS area2 FROM boxes a JOIN boxes b ON a.id < b.id AND abs(a.x - b.x) < 300 AND abs(a.y - b.y) < 300)"
 
 
-def _overlaps(spark, sf):
+def _overlaps(spark, sf, cell=300):
+    """Pairs of boxes of any size that overlap: each box goes to every cell it covers, a pair counts in the cell where its common part begins."""
     b = load(spark, sf, "boxes")
-    other = b.select(F.col("id").alias("over"), F.col("x").alias("gx"), F.col("y").alias("gy"), F.col("w").alias("w2"), F.col("h").alias("h2"))
-    p = joins.grid_join(b, other, 300, chebyshev=True).where("id < over")
+    cells = lambda c, n: F.sequence(F.floor(F.col(c) / cell), F.floor((F.col(c) + F.col(n)) / cell))
+    spread = b.withColumn("_cx", F.explode(cells("x", "w"))).withColumn("_cy", F.explode(cells("y", "h")))
+    other = spread.select("_cx", "_cy", F.col("id").alias("over"), F.col("x").alias("gx"), F.col("y").alias("gy"), F.col("w").alias("w2"), F.col("h").alias("h2"))
+    p = spread.join(other, ["_cx", "_cy"]).where("id < over").where((F.col("_cx") == F.floor(F.greatest("x", "gx") / cell)) & (F.col("_cy") == F.floor(F.greatest("y", "gy") / cell)))
     common = geo.overlap(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h"), F.col("gx"), F.col("gy"), F.col("gx") + F.col("w2"), F.col("gy") + F.col("h2"))
-    return p.select("id", "over", common.alias("common"), (F.col("w") * F.col("h")).alias("area"), (F.col("w2") * F.col("h2")).alias("area2"))
+    near = (F.abs(F.col("x") - F.col("gx")) < 300) & (F.abs(F.col("y") - F.col("gy")) < 300)
+    return p.select("id", "over", common.alias("common"), (F.col("w") * F.col("h")).alias("area"), (F.col("w2") * F.col("h2")).alias("area2"), near.alias("near")).where("common > 0")
 
 
 @query(_IOU + " SELECT id, over, common, round_even(common / (area + area2 - common)::DOUBLE, 6) AS iou, round_even(common / least(area, area2)::DOUBLE, 6) AS inside FROM p WHERE common > 0")
 def iou_pairs(spark, sf):
-    p = _overlaps(spark, sf).where("common > 0")
+    p = _overlaps(spark, sf).where("near")  # the SQL's own bound; greedy_keep has none
     return p.select("id", "over", "common", F.bround(F.col("common") / (F.col("area") + F.col("area2") - F.col("common")), 6).alias("iou"), F.bround(F.col("common") / F.least("area", "area2"), 6).alias("inside"))
 
 

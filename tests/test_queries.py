@@ -84,6 +84,20 @@ def test_greedy_keep_takes_boxes_in_order(spark, tmp_path):
     assert sorted(r.id for r in got.collect()) == kept
 
 
+def test_greedy_keep_sees_overlaps_of_wide_boxes(spark, con):
+    boxes = con.sql(f"{registry.WITH} SELECT id, x, y, w, h, score FROM boxes").fetchall()
+
+    def clash(p, q):
+        common = max(0, min(p[1] + p[3], q[1] + q[3]) - max(p[1], q[1])) * max(0, min(p[2] + p[4], q[2] + q[4]) - max(p[2], q[2]))
+        return common > 0.45 * (p[3] * p[4] + q[3] * q[4] - common) or common > 0.60 * min(p[3] * p[4], q[3] * q[4])
+
+    kept = []
+    for r in sorted(boxes, key=lambda r: (-r[5], -r[3] * r[4], r[0])):
+        if not any(clash(r, k) for k in kept):
+            kept.append(r)
+    assert sorted(r.id for r in registry.QUERIES["greedy_keep"](spark, SF).collect()) == sorted(r[0] for r in kept)
+
+
 def test_fits():
     rng = np.random.default_rng(4)
     xy = rng.uniform(0, 4000, (15, 2))
