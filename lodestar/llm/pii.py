@@ -34,13 +34,14 @@ BASE = (
 )
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 CREDENTIAL = r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
+KEY_PREFIXES = "AKIA|ASIA|ghp_|gho_|sk-|xox[bap]-"
 #: kind, guard (texts without it have none), pattern.
 GENERATORS = (
-    ("secret", r"[A-Za-z0-9+/_-]{12}", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,64}+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}+"),
+    ("secret", r"[A-Za-z0-9+/_-]{12}", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|(?:" + KEY_PREFIXES + r"))[A-Za-z0-9+/_-]{12,}+={0,2}+"),
     ("number", r"[0-9](?:[^0-9]{0,2}[0-9]){6}", r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+"),
     ("credential", CREDENTIAL + r"[\"']?[\x20]{0,2}[:=]", r"(?i)(?<=(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[\x20]{0,2}[:=][\x20]{0,2}[\"']?)(?<=[\"':=\x20])[^\s\"',;:=]{6,}+"),
 )
-KEY_PREFIX = "^(?:AKIA|ASIA|ghp_|gho_|sk-|xox[bap]-)"
+KEY_PREFIX = f"^(?:{KEY_PREFIXES})"
 SIZES = {"generator": 3, "length": 6, "digits": 4, "cases": 3, "hexadecimal": 2, "assigned": 2, "named": 2, "groups": 3, "luhn": 2}
 #: PRIOR is the weight of one unlabelled case at every feature vector, so that formats never seen are not selected.
 ROUNDS, RATE, PRECISION, PRIOR = 24, 0.5, 0.95, 0.02

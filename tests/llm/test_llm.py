@@ -84,6 +84,13 @@ def test_pii_redacts_and_leaves_clean_texts(spark, docs, texts):
             assert r.text == texts[r.doc_id]
 
 
+def test_pii_proposes_long_keys_and_published_prefixes(spark):
+    keys = ["q" * 80 + "7" + "q" * 9, "ghp_" + "abCDefGHij" * 4, "xoxb-" + "qwertyuiop" * 3]
+    df = spark.createDataFrame([(i, f"see {k} here") for i, k in enumerate(keys)], "doc_id long, text string")
+    for r in pii.with_spans(df).collect():
+        assert (4, 4 + len(keys[r.doc_id]), keys[r.doc_id]) in {(s.start, s.end, s.value) for s in r._more if s.kind == "secret"}
+
+
 def test_pii_odd(odd, empty):
     assert pii.find(odd).count() == len(ODD) and pii.redact(odd).columns == odd.columns[:2] + [c for c in odd.columns[2:] if c != "spans"]
     assert pii.find(empty).count() == 0
