@@ -41,8 +41,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of bounded bytes, however long the texts are."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    """Arrow batches of bounded bytes, however long the texts are. Every operator sets these same two values, so that no plan made earlier is changed by a later one."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
@@ -97,10 +97,10 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def packed(df: DataFrame, limit: int, name: str) -> DataFrame:
-    """(pack, blob) of documents (doc_id, text), written: packs of about ``limit`` bytes of text in the order of the scan."""
+    """(pack, size, blob) of documents (doc_id, text), written: packs of about ``limit`` characters of text in the order of the scan; size is their number."""
     from pyspark import TaskContext
 
-    schema = pa.schema([("pack", pa.int64()), ("blob", pa.binary())])
+    schema = pa.schema([("pack", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
 
     def run(batches):
         part, number, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
@@ -110,12 +110,12 @@ def packed(df: DataFrame, limit: int, name: str) -> DataFrame:
                 texts.append(text)
                 size += len(text)
                 if size >= limit:
-                    yield batch(schema, [part << 24 | number], [freeze((ids, texts))])
+                    yield batch(schema, [part << 24 | number], [size], [freeze((ids, texts))])
                     number, ids, texts, size = number + 1, [], [], 0
         if ids:
-            yield batch(schema, [part << 24 | number], [freeze((ids, texts))])
+            yield batch(schema, [part << 24 | number], [size], [freeze((ids, texts))])
 
-    return written(map_arrow(documents(df), run, "pack long, blob binary"), name)
+    return written(map_arrow(documents(df), run, "pack long, size long, blob binary"), name)
 
 
 def freeze(rows) -> bytes:

@@ -232,7 +232,6 @@ def marks(docs: DataFrame, packs: DataFrame, kind: Windows) -> DataFrame:
             yield flush()
 
     listed = common.map_arrow(docs.select("chunk", "text"), anchors, "anchor long, chunk int, more binary").repartition("anchor").sortWithinPartitions("anchor")
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
     wanted = listed.mapInArrow(again, "chunk int, anchor long")
     segments = packs.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(cut, "anchor long, ord long, row long, first int, last int, content binary")
     dealt = segments.repartition("anchor").sortWithinPartitions("anchor", "ord", "first")

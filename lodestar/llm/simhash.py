@@ -168,7 +168,6 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     rows = rows.select(F.when(F.col("blocks") > 1, F.xxhash64("key", "pair")).otherwise(F.col("key")).alias("key"), "fp", "probe")
     small = rows.repartition("key").sortWithinPartitions("key")
     common.small_batches(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
     return small.mapInArrow(compare, "src long, dst long")
 
 

@@ -359,18 +359,50 @@ def test_language_model(spark, texts):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_language_model_probabilities_sum_to_one():
-    model, rng = language_model.MaxEnt(), np.random.default_rng(3)
-    rows = rng.integers(0, language_model.FEATURES, (4000, 3))
-    model.learn(rows, rows[:, 0] % language_model.CLASSES)
-    p = np.exp(model.log_p(rows))
-    assert np.allclose(p.sum(1), 1, atol=1e-4) and (p.argmax(1) == rows[:, 0] % language_model.CLASSES).mean() > 0.3
-
-
-def test_changes_are_added_in_a_tree(spark, monkeypatch, texts):
-    monkeypatch.setattr(language_model, "FAN", 2)
-    packs = common.packed(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5), 1 << 16, "p")
-    assert np.isfinite(language_model.train(packs)).all()
+def test_language_model_is_a_softmax_over_the_vocabulary(spark):
+    """The score against the sum over every word, by plain loops over the weights of the same model."""
+    rng = random.Random(8)
+    names = [f"w{k}" for k in range(300)]
+    texts = [" ".join(rng.choices(names, [1 / (k + 1) for k in range(300)], k=80)) for _ in range(60)]
+    counts = Counter(w for t in texts for w in language_model.tokens(t))
+    h = {w: int(language_model.hashes([w])[0]) for w in [*counts, b"never seen"]}
+    frequent = sorted(counts, key=lambda w: (-counts[w], h[w] - (1 << 64) if h[w] >> 63 else h[w]))[: language_model.OWN]
+    voc = language_model.Vocabulary([h[w] for w in frequent])
+    packs = common.packed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 1 << 12, "p").select("pack", "blob")
+    model = language_model.train(packs, voc, sum(counts.values()), 1 << 20)
+    member = {w: int(voc.members(np.array([x], np.uint64))[0]) for w, x in h.items()}
+    room = Counter()
+    for w in counts:
+        if w not in frequent:
+            room[member[w]] += counts[w] + 1
+    past = language_model.histories(np.array([h[w] for w in language_model.tokens(texts[0])], np.uint64), np.array([81]))
+    for k in (0, 1, 40, 80):
+        total = 0.0
+        for m in range(language_model.SIDE**2):
+            p = 1.0
+            for spots, bias, y in model.both(past[k : k + 1], np.array([m])):
+                z = [sum(float(model.w[r, c]) for r in (*spots[0], bias[0])) for c in range(language_model.SIDE)]
+                p *= math.exp(z[y[0]]) / sum(map(math.exp, z))
+            assert math.log10(p) == pytest.approx(model.log10(past[k : k + 1], np.array([m]))[0], abs=1e-4)
+            # all words of a member, and the unknown word where members are shared
+            inside = 1.0 if m < len(frequent) or m >= language_model.OWN else 0.0
+            if m >= language_model.OWN:
+                words = [w for w in counts if member[w] == m and w not in frequent]
+                inside = (sum(counts[w] + 1 for w in words) + 1) / (room[m] + 1)
+            total += p * inside
+        assert total == pytest.approx(1, abs=1e-3)
+
+
+def test_language_model_scores_do_not_depend_on_partitions(spark, docs):
+    some = docs.select("doc_id", "text")
+    one = {r.doc_id: r.score for r in language_model.score(some.coalesce(1)).collect()}
+    six = {r.doc_id: r.score for r in language_model.score(some.repartition(6, "text")).collect()}
+    assert one.keys() == six.keys() and all(one[i] == pytest.approx(six[i], rel=2e-3) for i in one)
+
+
+def test_language_model_counts_grow_with_the_corpus():
+    rows = [language_model.rows_for(n) for n in (0, 10**6, 10**8, 10**10, 10**15)]
+    assert rows == sorted(rows) and rows[0] == language_model.LEAST_ROWS and rows[-1] == language_model.MOST_ROWS and len(set(rows)) == 4
 
 
 def test_language_model_odd(odd, empty):
