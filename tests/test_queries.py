@@ -72,6 +72,19 @@ def test_grid_join_and_components(spark, tmp_path):
     assert {r.node: r.component for r in found.collect()} == label
 
 
+def test_components_of_a_descending_chain_take_few_rounds(spark, tmp_path, monkeypatch):
+    from lodestar.operators import graph
+
+    n, saved, rounds = 256, graph._saved, []
+    monkeypatch.setattr(graph, "_saved", lambda df, root, made=None: rounds.append(1) or saved(df, root, made))
+    chain = [(0, n), *((k, k - 1) for k in range(n, 1, -1))]
+    found = component_ids(spark.createDataFrame(chain, "src long, dst long"), f"file://{tmp_path}")
+    assert {r.component for r in found.collect()} == {0} and found.count() == n + 1
+    assert len(rounds) < 30
+    assert component_ids(spark.createDataFrame([], "src long, dst long"), f"file://{tmp_path}").count() == 0
+    assert component_ids(spark.createDataFrame([(1, 1), (None, 2)], "src long, dst long"), f"file://{tmp_path}").count() == 0
+
+
 def test_greedy_keep_takes_boxes_in_order(spark, tmp_path):
     rng = random.Random(3)
     n, clash = 40, {tuple(sorted(rng.sample(range(40), 2))) for _ in range(60)}
