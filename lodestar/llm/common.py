@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -21,23 +22,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set, as in tests."""
+    """The folder that driver and executors share. Where none is set it is a temporary one, on a local master only, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = sys.__dict__.setdefault("_lodestar_shared", None) or "file://" + tempfile.mkdtemp(prefix="lodestar-")
         sys._lodestar_shared = path
     return path.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lodestar/{name}-{uuid.uuid4().hex}"
+    """A path of its own below the shared folder; see ``scratch`` for what removes it."""
+    path = f"{shared_dir(spark)}/lodestar/{name}-{uuid.uuid4().hex}"
+    for made in sys.__dict__.setdefault("_lodestar_scratch", []):
+        made.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Removes the folders made inside, but for those whose path is put in the set that it gives: what later plans still read."""
+    stack, made, keep = sys.__dict__.setdefault("_lodestar_scratch", []), [], set()
+    stack.append(made)
+    try:
+        yield keep
+    finally:
+        stack.remove(made)
+        for path in made:
+            if path not in keep:
+                remove(spark, path)
+
+
+def ranged(spark: SparkSession, path: str, start: int, length: int) -> bytes:
+    """Some bytes of a file in any store that Spark reaches, without the others."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        stream.seek(start)
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, length))
+    finally:
+        stream.close()
+
+
+def set_aside(df: DataFrame, *names: str) -> DataFrame:
+    """df's rows as one struct ``_row`` and some of its columns beside it, so that no name that an operator adds clashes with the caller's."""
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    return df.select(F.struct(*[quoted(c) for c in df.columns]).alias("_row"), *[quoted(n).alias(n) for n in names])
+
+
+def put_back(df: DataFrame, columns: list[str], *more) -> DataFrame:
+    """The caller's columns, then more."""
+    return df.select(*[F.col("_row").getField(c).alias(c) for c in columns], *more)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts the lineage and outlives any executor."""
-    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -98,21 +98,29 @@ def scored(df: DataFrame, table: list[float]) -> DataFrame:
     return df.withColumn("llr", F.when(n > 0, (one + two) / (2 * n - 1)).otherwise(F.lit(0.0)))
 
 
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, llr, base_failed and kept; columns of docs with these names are replaced."""
-    df = scored(base_counts(docs), ratios(docs, labels)).drop("_words")
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr", "base_failed", "kept")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """(_row, text, then RESULTS): docs set aside as ``_row``."""
+    df = scored(base_counts(common.set_aside(docs, "text")), ratios(docs, labels)).drop("_words")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
 
 
-def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are kept, with the columns of docs.
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, llr, base_failed and kept; only columns of docs with these very names are replaced."""
+    return common.put_back(_judged(docs, labels, threshold), [c for c in docs.columns if c not in RESULTS], *RESULTS)
+
+
+def clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that are kept, with all columns of docs as they were, whatever their names.
 
     The row number makes the verdict's projection one that the optimizer does not push the filter through: pushed, each count would
     be inlined into the condition, and computed again for each element.
     """
-    judged = judge(docs, labels).withColumn("_row", F.monotonically_increasing_id())
-    return judged.where(F.col("kept") & (F.col("_row") >= 0)).select(*docs.columns)
+    judged = _judged(docs, labels, threshold).withColumn("_at", F.monotonically_increasing_id())
+    return common.put_back(judged.where(F.col("kept") & (F.col("_at") >= 0)), docs.columns)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
