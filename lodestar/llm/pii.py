@@ -5,8 +5,9 @@ propose further spans, which may overlap the base ones and each other: long mixe
 word for a credential. Each candidate is described by a few small features of its format and its context. Boosted trees are
 fitted to the contingency table of all candidates of the corpus (features by weak label: the candidate stands after a credential
 word, has a published key prefix, or covers a base span); the table has at most the product of the features' sizes, whatever
-the corpus. A candidate is selected at or above the score at which the weak labels reach ``PRECISION``; spans that the model
-adds never remove a base span.
+the corpus. One candidate in ``HOLD_OUT``, by hash of its value, is kept from the trees: the threshold is the lowest score at or above which the weak
+labels of those reach ``PRECISION``. Spans that the model adds never remove a base span. The patterns run once: their spans are written beside the rows, the model is fitted to that
+table and selects from it.
 
 The patterns are written without backtracking (possessive), so that long runs of digits or letters take linear time and no
 recursion; each finds what the plain pattern finds.
@@ -44,7 +45,7 @@ GENERATORS = (
 KEY_PREFIX = f"^(?:{KEY_PREFIXES})"
 SIZES = {"generator": 3, "length": 6, "digits": 4, "cases": 3, "hexadecimal": 2, "assigned": 2, "named": 2, "groups": 3, "luhn": 2}
 #: PRIOR is the weight of one unlabelled case at every feature vector, so that formats never seen are not selected.
-ROUNDS, RATE, PRECISION, PRIOR = 24, 0.5, 0.95, 0.02
+ROUNDS, RATE, PRECISION, PRIOR, HOLD_OUT = 24, 0.5, 0.95, 0.02, 5
 
 SPAN = "array<struct<kind:string,start:int,end:int,value:string,before:string>>"
 
@@ -142,7 +143,7 @@ class Boosted:
     """Boosted trees of depth two on small whole-number features, by weighted least squares on the logistic gradient."""
 
     def __init__(self, names: list[str]):
-        self.names, self.trees, self.bias, self.threshold = names, [], 0.0, math.inf
+        self.names, self.trees, self.bias, self.threshold, self.precision, self.recall = names, [], 0.0, math.inf, math.nan, 0.0
 
     def fit(self, rows: list[tuple[tuple[int, ...], int, int]]) -> Boosted:
         """rows: (features, number of candidates, of them with label 1)."""
@@ -159,14 +160,24 @@ class Boosted:
             tree = self.grow(rows, stats, list(range(len(rows))), 2)
             self.trees.append(tree)
             score = [s + RATE * self.leaf(tree, x) for s, (x, _, _) in zip(score, rows)]
+        return self
+
+    def score(self, x: tuple[int, ...]) -> float:
+        return self.bias + RATE * sum(self.leaf(t, x) for t in self.trees)
+
+    def calibrate(self, rows: list[tuple[tuple[int, ...], int, int]]) -> Boosted:
+        """Sets the lowest threshold at which those at or above it, among candidates the trees have not seen, reach PRECISION; none is selected if nothing does.
+
+        precision and recall are those of the weak labels there.
+        """
         seen = taken = 0
-        best = math.inf
-        ranked = sorted(zip(score, rows), key=lambda r: -r[0])
-        for k, (s, (_, n, y)) in enumerate(ranked):
+        good = sum(y for _, _, y in rows)
+        self.threshold, self.precision, self.recall = math.inf, math.nan, 0.0
+        ranked = sorted(((self.score(x), n, y) for x, n, y in rows), key=lambda r: -r[0]) if self.trees else []
+        for k, (s, n, y) in enumerate(ranked):
             seen, taken = seen + n, taken + y
-            if (k + 1 == len(ranked) or ranked[k + 1][0] < s) and taken >= PRECISION * seen:
-                best = s
-        self.threshold = best - 1e-9
+            if (k + 1 == len(ranked) or ranked[k + 1][0] < s - 1e-9) and taken and taken >= PRECISION * seen:
+                self.threshold, self.precision, self.recall = s - 1e-9, taken / seen, taken / good
         return self
 
     def grow(self, rows, stats, at: list[int], depth: int):
@@ -199,7 +210,7 @@ class Boosted:
 
     def selected(self) -> list[tuple[int, ...]]:
         """Not for the hot path: every feature vector that the model selects."""
-        return [x for x in itertools.product(*(range(SIZES[n]) for n in self.names)) if self.bias + RATE * sum(self.leaf(t, x) for t in self.trees) >= self.threshold]
+        return [x for x in itertools.product(*(range(SIZES[n]) for n in self.names)) if self.score(x) >= self.threshold]
 
     def column(self, x: dict[str, Column]) -> Column:
         """Whether a candidate with these features is selected."""
@@ -210,16 +221,18 @@ class Boosted:
         total = F.lit(self.bias)
         for tree in self.trees:
             total = total + F.lit(RATE) * part(tree)
-        return total >= self.threshold if self.trees else F.lit(False)
+        return total >= self.threshold if self.trees and self.threshold < math.inf else F.lit(False)
 
 
 def fit(df: DataFrame) -> Boosted:
-    """The model of a corpus; df has ``_base`` and ``_more``."""
+    """The model of a corpus; df has ``_base`` and ``_more``. Trees are grown on four fifths of the candidates by hash of the value, the threshold is set on the others."""
     names = list(SIZES)
     rows = df.where(F.size("_more") > 0).select("_base", F.explode("_more").alias("x"))
-    table = rows.select(*[c.alias(n) for n, c in features(F.col("x")).items()], weak_label(F.col("x"), F.col("_base")).alias("label"))
-    counts = table.groupBy(*names).agg(F.count("*").alias("n"), F.sum("label").alias("y")).collect()
-    return Boosted(names).fit([(tuple(r[n] for n in names), r.n, r.y) for r in counts])
+    held = (F.pmod(F.xxhash64("x.value"), F.lit(HOLD_OUT)) == 0).alias("held")
+    table = rows.select(*[c.alias(n) for n, c in features(F.col("x")).items()], weak_label(F.col("x"), F.col("_base")).alias("label"), held)
+    counts = table.groupBy(*names, "held").agg(F.count("*").alias("n"), F.sum("label").alias("y")).collect()
+    cases = lambda held: [(tuple(r[n] for n in names), r.n, r.y) for r in counts if r.held == held]
+    return Boosted(names).fit(cases(False)).calibrate(cases(True))
 
 
 def rank(x: Column) -> Column:
@@ -233,13 +246,12 @@ def by_start(spans: Column) -> Column:
     return F.array_sort(F.array_distinct(keyed))
 
 
-def find(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with base_spans and spans, each an array of structs (start, rank, end, kind) by start, then kind as listed."""
-    given = df.select(text_col)
-    model = fit(with_spans(given, text_col))
-    out = with_spans(df, text_col)
+def _found(df: DataFrame) -> DataFrame:
+    """df with base_spans and spans in place of its ``_base`` and ``_more``, by the model that fits them. df is written once, so that the patterns run once."""
+    df = common.written(df, "candidates")
+    model = fit(df)
     described = F.transform("_more", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), *[c.alias(f"f_{n}") for n, c in features(x).items()]))
-    out = out.withColumn("_more", F.when(F.size("_more") > 0, F.filter(described, lambda x: model.column({n: x[f"f_{n}"] for n in SIZES}))))
+    out = df.withColumn("_more", F.when(F.size("_more") > 0, F.filter(described, lambda x: model.column({n: x[f"f_{n}"] for n in SIZES}))))
 
     def bare(x: Column) -> Column:
         return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
@@ -249,10 +261,17 @@ def find(df: DataFrame, text_col: str = "text") -> DataFrame:
     return out.withColumn("base_spans", by_start(plain)).withColumn("spans", by_start(F.concat(plain, chosen))).drop("_base", "_more")
 
 
+def find(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """df with base_spans and spans, each an array of structs (start, rank, end, kind) by start, then kind as listed; only columns of these very names are replaced."""
+    aside = with_spans(common.set_aside(df, text_col), text_col).drop(text_col)
+    return common.put_back(_found(aside), [c for c in df.columns if c not in ("base_spans", "spans")], "base_spans", "spans")
+
+
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with each span of its texts replaced by its kind in brackets; of overlapping spans the first names the gap, which covers them all."""
-    out = find(df, text_col)
-    text = F.col(text_col).cast("string")
+    """df with each span of its texts replaced by its kind in brackets; of overlapping spans the first names the gap, which covers them all. All other columns stay."""
+    out = _found(with_spans(common.set_aside(df, text_col), text_col).drop(text_col))
+    given = F.col("_row").getField(text_col)
+    text = given.cast("string")
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
 
     def add(a: Column, x: Column) -> Column:
@@ -261,7 +280,8 @@ def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(F.greatest(a["at"], x["end"]).alias("at"), F.when(fresh, F.concat(a["done"], piece)).otherwise(a["done"]).alias("done"))
 
     new = F.aggregate("spans", begin, add, lambda a: F.concat(a["done"], F.substring(text, a["at"] + 1, F.length(text))))
-    return out.withColumn(text_col, F.when(F.size("spans") > 0, new).otherwise(F.col(text_col))).drop("base_spans", "spans")
+    out = out.withColumn("_text", F.when(F.size("spans") > 0, new).otherwise(text))
+    return out.select(*[F.col("_text" if c == text_col else "_row." + f"`{c}`").alias(c) for c in df.columns])
 
 
 def joined(spans: Column) -> Column:
@@ -270,6 +290,6 @@ def joined(spans: Column) -> Column:
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find(docs).drop("text")
+    found = _found(with_spans(docs).drop("text"))
     counts = [F.size(F.filter("base_spans", of_kind(k))).cast("long").alias(f"n_{k}") for k, _ in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
