@@ -9,10 +9,12 @@ into a document if on such a diagonal some window of min(``WINDOW``, length of t
 Words are cut at the six ASCII blanks, lower-cased and bared of what is no letter or digit; bare marks are no words.
 
 The seeds of the benchmark go to every task in blocks of at most ``BLOCK_WORDS`` words, so that what is sent has a
-bound; a larger benchmark takes more passes over the documents. Nothing is dropped.
+bound; a larger benchmark takes more passes over the documents, each written. Nothing is dropped.
 
-Defined results: a null text is the empty one; items without a word, or shorter than the smallest seed, leak nowhere (they cannot be
-told from chance); repeated items are found under each of their ids; rows without doc_id are judged like any other.
+Items of ten words or fewer have seeds of their own length that together leave out every set of words which may differ, so that none is missed: below five words the
+whole item must be there, of five to nine words one may differ, of ten two. Of longer ones at least 0.95 of all patterns of substitutions that count as a leak are found (``tests/llm`` takes the share by length).
+
+Defined results: a null text is the empty one; items without a word leak nowhere; an item without id is named null, first in the list; repeated items are found under each of their ids; rows without doc_id are judged like any other.
 """
 
 from __future__ import annotations
@@ -68,15 +70,31 @@ def seed_hashes(ids: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def masks_for(length: int, masks=MASKS) -> tuple[str, ...]:
+    """The seeds of items with so many words. Those too short for the general ones to be found whatever is substituted have masks of their own length that leave
+    out every set of words that ``SIMILAR`` lets differ: none below five words, one below ten, two at ten."""
+    if length >= 11:
+        return masks
+    if length < 5:
+        return ("1" * length,)
+    step = 1 if length < 7 else 2
+    groups = [range(k, min(k + step, length)) for k in range(0, length, step)]
+    out = [set(g) for g in groups] if length < 10 else [{*a, *b} for k, a in enumerate(groups) for b in groups[k + 1 :]]
+    return tuple("".join("0" if k in gone else "1" for k in range(length)) for gone in out)
+
+
 class Seeds:
     """The seeds of some benchmark items, to be looked up."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], masks=MASKS):
-        self.items, self.masks = items, masks
+        self.items = items
+        of = {n: masks_for(n, masks) for n in {len(ids) for _, ids in items}}
+        self.masks = sorted({m for some in of.values() for m in some}, key=lambda m: (len(m), m))
+        salt = {m: k for k, m in enumerate(self.masks)}
         rows = []
-        for m, mask in enumerate(masks):
-            for k, (_, ids) in enumerate(items):
-                h = seed_hashes(ids, mask, m)
+        for k, (_, ids) in enumerate(items):
+            for mask in of[len(ids)]:
+                h = seed_hashes(ids, mask, salt[mask])
                 rows.append(np.stack([h, np.full(len(h), k, np.uint64), np.arange(len(h), dtype=np.uint64)], 1))
         rows = np.concatenate(rows) if rows else np.empty((0, 3), np.uint64)
         rows = rows[np.argsort(rows[:, 0], kind="stable")]
@@ -84,17 +102,20 @@ class Seeds:
         self.seen = np.zeros(FOLDS, bool)
         self.seen[self.hash >> np.uint64(42)] = True
 
-    def hits(self, ids: np.ndarray) -> set[tuple[int, int]]:
-        """(item, diagonal) of each seed that ids and an item share."""
-        out: set[tuple[int, int]] = set()
+    def hits(self, ids: np.ndarray) -> list[tuple[int, int]]:
+        """Distinct (item, diagonal) of the seeds that ids and an item share."""
+        found = [np.empty((0, 2), np.int64)]
         for m, mask in enumerate(self.masks):
             h = seed_hashes(ids, mask, m)
             at = np.nonzero(self.seen[h >> np.uint64(42)])[0]
+            if not len(at):
+                continue
             low, high = np.searchsorted(self.hash, h[at]), np.searchsorted(self.hash, h[at], "right")
-            for p, a, b in zip(at.tolist(), low.tolist(), high.tolist()):
-                for k in range(a, b):
-                    out.add((int(self.item[k]), p - int(self.at[k])))
-        return out
+            n = high - low
+            spot = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            if len(spot):
+                found.append(np.unique(np.stack([self.item[spot], np.repeat(at, n) - self.at[spot]], 1), axis=0))
+        return list(map(tuple, np.unique(np.concatenate(found), axis=0).tolist())) if len(found) > 1 else []
 
     def leaks(self, ids: np.ndarray, window: int = WINDOW, similar: float = SIMILAR) -> dict[int, int]:
         """item_id -> most agreeing words in a window, of the items that leak into ids."""
@@ -119,30 +140,39 @@ def agreeing(ids: np.ndarray, item: np.ndarray, diagonal: int, window: int) -> i
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similar: float = SIMILAR, block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with leaked_items (array<struct<item_id, agreeing>>, sorted by item_id; empty if clean), its other columns unchanged."""
-    common.small_batches(docs.sparkSession)
+    others = [c for c in docs.columns if c != "leaked_items"]
+    return common.put_back(_leaks(docs, benchmark, window, similar, block_words), others, "leaked_items")
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similar: float = SIMILAR, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(_row, text, leaked_items). With several blocks of the benchmark each pass is written, so that a worker holds the seeds of one block."""
+    spark = docs.sparkSession
+    common.small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     words = items.agg(F.sum(F.size(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"))).alias("n")).first()[0] or 0
     blocks = max(1, -(-words // block_words))
-    found = F.array().cast("array<struct<item_id:bigint,agreeing:bigint>>")
+    out = common.set_aside(docs, "text").withColumn("text", F.col("text").cast("string"))
     for k in range(blocks):
         part = [(r.item_id, Words().ids(r.text)) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
-        sent = docs.sparkSession.sparkContext.broadcast([(i, ids) for i, ids in part if len(ids) >= min(map(len, MASKS))])
+        sent = spark.sparkContext.broadcast([(i, ids) for i, ids in part if len(ids)])
 
         def leaks(texts, sent=sent, version=uuid.uuid4().hex):
             import pandas as pd
 
             seeds = common.worker_cache("decontaminate", "seeds", lambda: Seeds(sent.value), version)
             ids = common.worker_cache("decontaminate", "words", Words)
-            return pd.Series([[{"item_id": i, "agreeing": n} for i, n in sorted(seeds.leaks(ids.ids(t or ""), window, similar).items())] for t in texts])
+            return pd.Series([[{"item_id": i, "agreeing": n} for i, n in sorted(seeds.leaks(ids.ids(t or ""), window, similar).items(), key=lambda x: (x[0] is not None, x))] for t in texts])
 
-        udf = F.pandas_udf(leaks, "array<struct<item_id:bigint,agreeing:bigint>>")
-        found = udf(F.col("text").cast("string")) if blocks == 1 else F.concat(found, udf(F.col("text").cast("string")))
-    return docs.withColumn("leaked_items", found if blocks == 1 else F.array_sort(found))
+        found = F.pandas_udf(leaks, "array<struct<item_id:bigint,agreeing:bigint>>")("text")
+        out = out.withColumn("leaked_items", found if not k else F.concat("leaked_items", found))
+        if blocks > 1:
+            out = common.written(out, "leaks")
+    return out if blocks == 1 else out.withColumn("leaked_items", F.array_sort("leaked_items"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs into which no item leaks, with the columns of docs."""
-    return find_leaks(docs, benchmark).where(F.size("leaked_items") == 0).select(*docs.columns)
+    """The rows of docs into which no item leaks, with all columns of docs as they were, whatever their names."""
+    return common.put_back(_leaks(docs, benchmark).where(F.size("leaked_items") == 0), docs.columns)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
