@@ -29,8 +29,8 @@ from lodestar.llm import common
 TOKENIZER = "word_bpe_49k.json"
 NONE, PLACE = np.int64(1) << 62, (1 << 40) - 1
 WIDE = 64
-#: Words kept in a worker's memory; beyond it the cache starts anew. Texts are cut into words in slices of about SLICE characters.
-CACHE, SLICE = 125_000, 1 << 20
+#: Words and characters of words kept in a worker's memory; beyond either the cache starts anew. Texts are cut into words in slices of about SLICE characters.
+CACHE, CACHE_CHARS, SLICE = 125_000, 4 << 20, 1 << 20
 
 
 def byte_letters() -> list[str]:
@@ -63,6 +63,7 @@ class SegmentTreeBPE:
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.ids: dict[str, str] = {}
         self.text: dict[str, str] = {}
+        self.held = 0
 
     def split(self, text: str) -> list[str]:
         """The words of a text without special tokens: NFC, lower case by the character, then the pattern."""
@@ -179,6 +180,7 @@ class SegmentTreeBPE:
         """The ids and the decoded text of words that the cache lacks."""
         new = [w for w in words if w not in self.ids]
         for w, ids in zip(new, self.merge([w.encode("utf-8", "surrogatepass") for w in new])):
+            self.held += len(w)
             self.ids[w] = " ".join(map(str, ids))
             self.text[w] = " ".join([self.names[i] for i in ids])
 
@@ -200,8 +202,8 @@ class SegmentTreeBPE:
         for text in texts:
             pieces = self.specials.split(text) if "<|" in text else [text]
             parts.append([x for k, piece in enumerate(pieces) for x in ([piece] if k % 2 else self.split(piece))])
-        if len(self.ids) > CACHE:
-            self.ids, self.text = {}, {}
+        if len(self.ids) > CACHE or self.held > CACHE_CHARS:
+            self.ids, self.text, self.held = {}, {}, 0
         seen: set[str] = set()
         for words in parts:
             seen.update(words)
@@ -242,7 +244,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "token_ids", text_col: str =
 
 
 def round_trip(df: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_text, decoded) of documents, both ways in one pass over the texts."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of documents, both ways in one pass over the texts: the digests of the ids and of the decoded text."""
 
     def run(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])

@@ -5,6 +5,9 @@ entries give each one's first id and number of ids. The hash is a cascade of bit
 the first level where no other key falls on it, and the number of set bits before that one is its slot. A slot
 names an entry and keeps a 32-bit fingerprint of its key, so that absent keys are told (wrongly once in 2**32).
 
+``index`` maps keys to shards (one row a shard: its file and its smallest and largest key, as shards hold ascending ranges). ``lookup``
+opens only the shards that may hold a key; ``fetch`` reads one document by ranges: a shard's tables and the document's own ids.
+
 Shards are written by Spark's own writer, one row a file, and so to any store that Spark reaches; the last
 byte of a file is that writer's line end. A lost task writes its files anew; the commit keeps one copy.
 
@@ -27,10 +30,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm import common
+from lodestar.llm.bpe import byte_letters
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 MAGIC, HEAD = b"LSTOK1\0\0", "<8sqqqqqq"
-SHARD_BYTES, CACHE = 6 << 20, 600_000
+SHARD_BYTES, CACHE, UNIT = 6 << 20, 600_000, 64
 #: Scripts for which the word pattern here is known to agree with the library's; other texts go to it whole.
 ODD = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa0-\\u017f\\u2010-\\u2027]|<\\|")
 
@@ -48,8 +52,6 @@ class Pieces(dict):
     """Piece of text -> the bytes of its ids, found by the library's model when first asked for."""
 
     def __init__(self, model, code: str):
-        from lodestar.llm.bpe import byte_letters
-
         self.model, self.code, self.letters = model, code, dict(enumerate(byte_letters()))
 
     def fresh(self, piece: str) -> bytes:
@@ -58,7 +60,9 @@ class Pieces(dict):
         return array.array(self.code, ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        found = self[piece] = self.fresh(piece)
+        found = self.fresh(piece)
+        if len(piece) <= UNIT:
+            self[piece] = found
         return found
 
 
@@ -74,11 +78,13 @@ class Units(dict):
 
     def __missing__(self, unit: str) -> bytes:
         if unit.isalpha() and unit.isascii():  # one piece, which need not be kept twice
-            found = self[unit] = self.pieces.fresh(" " + unit)
-            return found
-        if UNFIT.search(unit):
+            found = self.pieces.fresh(" " + unit)
+        elif UNFIT.search(unit):
             raise Unfit
-        found = self[unit] = b"".join(map(self.pieces.__getitem__, CUT.findall(" " + unit)))
+        else:
+            found = b"".join(map(self.pieces.__getitem__, CUT.findall(" " + unit)))
+        if len(unit) <= UNIT:  # longer ones are not kept, so that CACHE entries are a bound in bytes too
+            self[unit] = found
         return found
 
 
@@ -191,7 +197,7 @@ def pack(part: int, number: int, keys: list, payloads: list[bytes], width: int)
 class Shard:
     """A shard's bytes, opened: ``get(keys)`` takes constant time a key."""
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes, payload: bool = True):
         magic, self.part, self.number, self.width, n, slots, levels = struct.unpack_from(HEAD, raw)
         if magic != MAGIC:
             raise ValueError("not a token shard")
@@ -202,7 +208,7 @@ class Shard:
         at += 16 * slots
         self.index = PerfectHash.load(memoryview(raw)[at : at + levels])
         self.n_ids = int(self.entries[:, 3].sum())
-        self.ids = np.frombuffer(raw, f"<u{self.width}", self.n_ids, at + levels)
+        self.ids = np.frombuffer(raw, f"<u{self.width}", self.n_ids, at + levels) if payload else None
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The entry of each key, -1 where the shard has none."""
@@ -262,9 +268,38 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, "doc_id long, part long, number long, before long, n_tokens long, ids_crc32 long")
 
 
+def index(spark: SparkSession, path: str) -> DataFrame:
+    """(file, least, most): the keys that each shard under path spans; made when first asked for, beside the shards, and kept."""
+    place = f"{path.rstrip('/')}/_index"
+    p = spark._jvm.org.apache.hadoop.fs.Path(place + "/_SUCCESS")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        schema = pa.schema([("file", pa.string()), ("least", pa.int64()), ("most", pa.int64())])
+
+        def run(batches):
+            for b in batches:
+                for name, raw in zip(b.column(0).to_pylist(), b.column(1)):
+                    shard = Shard(raw.as_py())
+                    keys = shard.entries[shard.entries[:, 1] == 1, 0]
+                    if len(keys):
+                        yield common.batch(schema, [name], [keys[0]], [keys[-1]])
+
+        common.small_batches(spark)
+        spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, least long, most long").sort("least").write.mode("overwrite").parquet(place)
+    return spark.read.schema("file string, least long, most long").parquet(place)
+
+
+def shards_of(spark: SparkSession, path: str, keys: list[int]) -> list[str]:
+    """The files that may hold some of the keys: at most one a key, but where a key's repeats end one shard and begin the next."""
+    wanted = spark.createDataFrame([(int(k),) for k in sorted(set(keys))], "key long")
+    return sorted(r.file for r in index(spark, path).join(F.broadcast(wanted), F.expr("key between least and most")).select("file").distinct().collect())
+
+
 def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
-    """(doc_id, ids) of a short list of keys, from the shards under path."""
+    """(doc_id, ids) of a short list of keys, from those shards under path that may hold them."""
     want = np.array(sorted(set(keys)), np.int64)
+    files = shards_of(spark, path, keys)
+    if not files:
+        return spark.createDataFrame([], "doc_id long, ids array<int>")
 
     def run(batches):
         for b in batches:
@@ -274,7 +309,23 @@ def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
                 hit = [(int(k), shard.tokens(e).tolist()) for k, e in zip(want, entry) if e >= 0 and shard.entries[e, 0] == k]
                 yield common.batch(pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))]), [k for k, _ in hit], [i for _, i in hit])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "doc_id long, ids array<int>")
+    common.small_batches(spark)
+    found = spark.read.format("binaryFile").load(files).select("content").mapInArrow(run, "doc_id long, ids array<int>")
+    return found.groupBy("doc_id").agg(F.first("ids").alias("ids"))
+
+
+def fetch(spark: SparkSession, path: str, key: int) -> list[int] | None:
+    """The ids of one document, by ranged reads of its shard: the header, the tables before the payload, then its ids. None if no shard has the key."""
+    for file in shards_of(spark, path, [key]):
+        head = common.ranged(spark, file, 0, struct.calcsize(HEAD))
+        _, _, _, width, n, slots, levels = struct.unpack(HEAD, head)
+        payload = len(head) + 32 * n + 16 * slots + levels
+        tables = Shard(head + common.ranged(spark, file, len(head), payload - len(head)), payload=False)
+        entry = int(tables.find(np.array([key], np.int64))[0])
+        if entry >= 0 and tables.entries[entry, 0] == key:
+            _, _, start, size = tables.entries[entry].tolist()
+            return np.frombuffer(common.ranged(spark, file, payload + start * width, size * width), f"<u{width}").tolist()
+    return None
 
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,5 +335,9 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     write(common.table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
     rows = common.written(read(spark, path), "token-rows")
     shards = rows.groupBy("part", "number").agg(F.sum("n_tokens").alias("n"))
-    bases = shards.select("part", "number", (F.sum("n").over(Window.orderBy("part", "number")) - F.col("n")).alias("base"))
+    # prefix sums of whole parts first (a row for each range partition), then within each part
+    parts = shards.groupBy("part").agg(F.sum("n").alias("all"))
+    parts = parts.select("part", (F.sum("all").over(Window.orderBy("part")) - F.col("all")).alias("before_part"))
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy("number")) - F.col("n")
+    bases = shards.join(parts, "part").select("part", "number", (F.col("before_part") + inside).alias("base"))
     return rows.join(bases, ["part", "number"]).select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")

@@ -121,6 +121,7 @@ class BundleReader:
             at += packed
         _, length = struct.unpack_from("<II", raw, at)
         self.rows = list(struct.iter_unpack("<qIII", raw[at + 8 : at + 8 + length]))
+        self.places: dict[int, tuple[int, int]] | None = None
 
     def frame(self, k: int) -> bytes:
         at, packed, size = self.frames[k]
@@ -136,10 +137,12 @@ class BundleReader:
 
     def get(self, page_id: int):
         """The record of a page id, from its one frame; None if the bundle has none."""
-        for name, f, offset, _ in self.rows:
-            if name == page_id:
-                return (page_id, *parse(self.frame(f), offset)[:3])
-        return None
+        if self.places is None:
+            self.places = {name: (f, offset) for name, f, offset, _ in reversed(self.rows)}
+        if page_id not in self.places:
+            return None
+        f, offset = self.places[page_id]
+        return (page_id, *parse(self.frame(f), offset)[:3])
 
 
 def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
@@ -190,6 +193,38 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long")
 
 
+def index(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, file, frame, packed, size, offset): where each record lies (its frame's first byte, packed and unpacked size, the record's offset in it). Made when
+    first asked for, beside the bundles and sorted by page_id, and kept; a filter on page_id reads few row groups of it."""
+    place = f"{path.rstrip('/')}/_index"
+    names = "page_id long, file string, frame long, packed long, size long, offset long"
+    p = spark._jvm.org.apache.hadoop.fs.Path(place + "/_SUCCESS")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        schema = pa.schema([("page_id", pa.int64()), ("file", pa.string()), *((k, pa.int64()) for k in ("frame", "packed", "size", "offset"))])
+
+        def run(batches):
+            for b in batches:
+                for name, raw in zip(b.column(0).to_pylist(), b.column(1)):
+                    reader = BundleReader(raw.as_py())
+                    rows = [(page_id, name, *reader.frames[f], offset) for page_id, f, offset, _ in reader.rows if page_id != NO_ID]
+                    if rows:
+                        yield common.batch(schema, *zip(*rows))
+
+        common.small_batches(spark)
+        spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, names).sort("page_id").write.mode("overwrite").parquet(place)
+    return spark.read.schema(names).parquet(place)
+
+
+def fetch(spark: SparkSession, path: str, page_id: int):
+    """(page_id, WARC headers, HTTP headers, payload) of a page, reading one frame of one bundle; None if there is none."""
+    import zstandard
+
+    for r in index(spark, path).where(F.col("page_id") == page_id).limit(1).collect():
+        frame = zstandard.ZstdDecompressor().decompress(common.ranged(spark, r.file, r.frame, r.packed), max_output_size=r.size)
+        return (page_id, *parse(frame, r.offset)[:3])
+    return None
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.fresh_path(spark, "warc")
     write(common.table(spark, sf_dir, "pages"), path)
