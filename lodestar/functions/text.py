@@ -10,8 +10,8 @@ ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüýÿñçāēīōūÀÁ
 BARE = "aaaaaaeeeeiiiiooooouuuuyyncaeiouAAAAAAEEEEIIIIOOOOOUUUUYNCAEIOU"
 #: Letters that become several.
 LIGATURES = {"ß": "ss", "æ": "ae", "œ": "oe", "Æ": "AE", "Œ": "OE", "ª": "a", "º": "o"}
-#: Words that a core name leaves out (our own list; a parameter wherever it is used).
-ARTICLES = ("a", "al", "d", "de", "del", "der", "die", "das", "el", "els", "en", "es", "la", "las", "le", "les", "lo", "los", "of", "sa", "ses", "the")
+#: Words that a core name leaves out (fixed values; a parameter wherever it is used).
+ARTICLES = ("de", "del", "dels", "des", "la", "el", "els", "les", "es", "sa", "ses", "sos", "s", "d", "l", "na", "en", "lo", "y", "i", "los", "las")
 #: Spellings taken as the same sound, replaced in this order (fixed values).
 FOLDS = (("ny", "n"), ("ll", "y"), ("tx", "x"), ("itj", "x"), ("ig", "x"), ("ss", "s"), ("v", "b"), ("h", ""))
 
@@ -37,14 +37,27 @@ def audit_norm(c: Column) -> Column:
     return squeeze(F.regexp_replace(F.lower(F.regexp_replace(without_accents(c), "[^\\x00-\\x7F]", "")), "[^a-z0-9]+", " "))
 
 
+def bare_letters(texts):
+    """A pandas function: texts decomposed (NFD) without their combining marks; ASCII ones as they are."""
+    import unicodedata
+
+    return texts.map(lambda s: s if s is None or s.isascii() else "".join(ch for ch in unicodedata.normalize("NFD", s) if unicodedata.category(ch) != "Mn"))
+
+
+def without_marks(c: Column) -> Column:
+    """Any script's letters without combining marks. Letters beyond ASCII that the table of ``without_accents`` leaves go through an Arrow function; other texts never leave the JVM."""
+    plain = without_accents(c)
+    return F.when(plain.rlike("[^\\x00-\\x7F]"), F.pandas_udf(bare_letters, "string")(plain)).otherwise(plain)
+
+
 def loose_norm(c: Column) -> Column:
     """Marks dropped, lower case; letters, digits and spaces stay as they are."""
-    return F.regexp_replace(F.lower(without_accents(c)), "[^\\p{L}\\p{N} ]", "")
+    return F.regexp_replace(F.lower(without_marks(c)), "[^\\p{L}\\p{N} ]", "")
 
 
 def gcp_norm(c: Column) -> Column:
     """Lower case without marks; punctuation stays."""
-    return F.lower(without_accents(c))
+    return F.lower(without_marks(c))
 
 
 def key(c: Column) -> Column:
@@ -84,10 +97,43 @@ def lev_ratio(a: Column, b: Column) -> Column:
     return F.when(longest == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / longest)
 
 
+#: Circumflex, macron and tilde vowels of both cases and their bare forms (fixed values).
+MARKED, UNMARKED = "âêîôûāēīōūãẽĩõũ", "aeiouaeiouaeiou"
+
+
 def title_first(c: Column) -> Column:
-    """First word so -> Son and ca -> Ca n'; other words lose circumflex and tilde marks."""
-    plain = F.translate(c, "âêîôûãõ", "aeiouao")
-    return F.regexp_replace(F.regexp_replace(plain, "^[Ss]o(?= |$)", "Son"), "^[Cc]a(?= |$)", "Can")
+    """A name with its words a space apart: a first word so or ca (whatever its marks, dots and commas) becomes Son or Can; the others lose circumflex, macron and tilde marks in lower case."""
+    words = F.filter(F.split(c, "(?U)\\s+"), lambda w: w != "")
+    plain = lambda w: F.translate(w, MARKED, UNMARKED)
+    head = plain(F.btrim(F.lower(F.get(words, F.lit(0))), F.lit(".,")))
+    return F.array_join(F.transform(words, lambda w, i: F.when((i == 0) & (head == "so"), "Son").when((i == 0) & (head == "ca"), "Can").otherwise(plain(w))), " ")
+
+
+#: The towns that a name alone can place, and the heads of castle names (fixed values).
+CITIES = ("mallorca", "palma", "alcudia", "alcvdia")
+CASTLES = ("castell", "castillo")
+
+
+def kind_of(key: Column) -> Column:
+    """The class that a key tells: a city by itself or by its first word, a castle by its first word, else altre."""
+    head = F.substring_index(key, " ", 1)
+    return F.when(head.isin(*CITIES) | key.isin(*CITIES), "Ciutat").when(head.isin(*CASTLES), "Castell").otherwise("altre")
+
+
+def natural(c: Column, width: int = 12) -> Column:
+    """A sort key: folded, with each number padded, so that 2 comes before 10. Empty and null give null, to be put last either way."""
+    padded = F.regexp_replace(norm(c), "([0-9]+)", "0" * width + "$1")
+    return F.nullif(F.regexp_replace(padded, "0*([0-9]{" + str(width) + "})", "$1"), F.lit(""))
+
+
+def km_text(c: Column) -> Column:
+    """One decimal and the unit; nothing for null."""
+    return F.when(c.isNull(), "").otherwise(F.concat(F.format_string("%.1f", c), F.lit(" km")))
+
+
+def grouped(c: Column) -> Column:
+    """A whole number with dots between thousands."""
+    return F.translate(F.format_number(c, 0), ",", ".")
 
 
 def html_escape(c: Column) -> Column:

@@ -39,8 +39,21 @@ def preferred(df: DataFrame, key: str, kind: str, preference: list[str], *tie: C
     return best_of(df, [key], F.when(place == 0, len(preference) + 1).otherwise(place), *tie)
 
 
-def remap(old: DataFrame, new: DataFrame, near: int, blind: int) -> DataFrame:
-    """(old_id, new_id, tier, d2): nearest new row with the same key within near, else the nearest at all within blind; one old row a new one.
+def resolve(names: DataFrame, rows: DataFrame, key: str, kind: str, preference: list[str], *tie: Column) -> DataFrame:
+    """names with the columns of the row that ``preferred`` picks for its key. A name without any row fails the query, naming it."""
+    found = preferred(rows, key, kind, preference, *tie).withColumn("_found", F.lit(True))
+    return names.join(found, key, "left").withColumn("_ok", F.when(F.col("_found"), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("no row for "), F.coalesce(F.col(key), F.lit("a null name")))).cast("boolean"))).where("_ok").drop("_found", "_ok")
+
+
+def required(df: DataFrame, *columns: str) -> DataFrame:
+    """df; the query fails where one of the columns is null."""
+    for c in columns:
+        df = df.where(F.when(F.col(c).isNotNull(), F.lit(True)).otherwise(F.raise_error(F.lit(f"a row lacks {c}")).cast("boolean")))
+    return df
+
+
+def claims(old: DataFrame, new: DataFrame, near: int, blind: int) -> DataFrame:
+    """(old_id, new_id, tier, d2): for each old row the nearest new row with the same key within near (tier 1), else the nearest at all within blind (tier 2).
 
     old: old_id, key, x, y; new: new_id, nkey, gx, gy.
     """
@@ -48,14 +61,45 @@ def remap(old: DataFrame, new: DataFrame, near: int, blind: int) -> DataFrame:
     d2 = (F.col("x") - F.col("gx")) * (F.col("x") - F.col("gx")) + (F.col("y") - F.col("gy")) * (F.col("y") - F.col("gy"))
     tier = F.when(F.col("key") == F.col("nkey"), 1).when(F.col("d2") <= blind * blind, 2)
     ranked = pairs.withColumn("d2", d2).withColumn("tier", tier).where("tier is not null")
-    chosen = best_of(ranked, ["old_id"], F.col("tier"), F.col("d2"), F.col("new_id"))
-    return best_of(chosen, ["new_id"], F.col("tier"), F.col("d2"), F.col("old_id")).select("old_id", "new_id", "tier", "d2")
+    return best_of(ranked, ["old_id"], F.col("tier"), F.col("d2"), F.col("new_id")).select("old_id", "new_id", "tier", "d2")
+
+
+def remap(old: DataFrame, new: DataFrame, near: int, blind: int) -> DataFrame:
+    """The claims that hold: of several on one new row that of the best tier, then the nearest, then the smallest old id."""
+    return best_of(claims(old, new, near, blind), ["new_id"], F.col("tier"), F.col("d2"), F.col("old_id"))
+
+
+def remap_report(old: DataFrame, new: DataFrame, near: int, blind: int) -> DataFrame:
+    """(old_id, new_id, tier, d2, winner) of all old rows: the claims with the old row that holds the new one, and rows without a claim (nulls)."""
+    first = F.first("old_id").over(Window.partitionBy("new_id").orderBy("tier", "d2", "old_id"))
+    made = claims(old, new, near, blind).withColumn("winner", first)
+    return old.select("old_id").join(made, "old_id", "left")
+
+
+def overlap_conflicts(boxes: DataFrame, overlap, iou: float, inside: float) -> DataFrame:
+    """(id, over) where the later box (id) of a pair, by rank, overlaps the earlier one by over ``iou`` of both or over ``inside`` of the smaller, and its centre is within its own reach.
+
+    boxes: id, poly, area, x, y, reach, rank; overlap gives the common area of two polygons. A later box looks in the cells of its own size class around its centre, so a wide one does not widen the search of
+    the others: reaches are rounded up to powers of two, and the earlier boxes stand in the cells of every class that occurs.
+    """
+    size = F.ceil(F.log2(F.greatest(F.col("reach"), F.lit(1.0)))).cast("int")
+    late = boxes.withColumn("_k", size)
+    classes = late.select("_k").distinct()  # as many rows as there are powers of two among the reaches
+    cell = lambda c, k: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col(k)))
+    around = F.explode(F.array(*[F.struct((cell("x", "_k") + i).alias("cx"), (cell("y", "_k") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    late = late.withColumn("_c", around).select("id", "poly", "area", "x", "y", "reach", "rank", "_k", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy"))
+    early = boxes.join(F.broadcast(classes)).withColumns({"_cx": cell("x", "_k"), "_cy": cell("y", "_k")})
+    early = early.select("_k", "_cx", "_cy", F.col("id").alias("over"), F.col("poly").alias("poly2"), F.col("area").alias("area2"), F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("rank").alias("rank2"))
+    dx, dy = F.col("x") - F.col("x2"), F.col("y") - F.col("y2")
+    pairs = late.join(early, ["_k", "_cx", "_cy"]).where(F.col("rank2") < F.col("rank")).where(dx * dx + dy * dy <= F.col("reach") * F.col("reach"))
+    p = pairs.withColumn("common", overlap(F.col("poly"), F.col("poly2")))
+    return p.where((F.col("common") > iou * (F.col("area") + F.col("area2") - F.col("common"))) | (F.col("common") > inside * F.least("area", "area2"))).select("id", "over")
 
 
 def greedy_keep(boxes: DataFrame, conflicts: DataFrame, root: str) -> DataFrame:
     """Ids kept when boxes are taken in order of rank and one is dropped if it conflicts with a kept one.
 
-    boxes: id, rank (smaller first, no ties); conflicts: id, over (the ids of a pair, either way). Rounds: a box without an undecided
+    boxes: id, rank (a value or struct, smaller first, no ties); conflicts: id, over (the ids of a pair, either way). Rounds: a box without an undecided
     conflicting box before it is kept, its conflicts are dropped. Each round is written under root.
     """
     from lodestar.operators.graph import _saved

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import geo
 from lodestar.functions import text as T
-from lodestar.operators import fit, joins, overlay
+from lodestar.operators import fit, joins, overlay, windows
 from lodestar.operators.graph import component_ids
 from lodestar.plans import match
-from lodestar.plans.stand_ins import WITH, load
+from lodestar.plans.stand_ins import CURATED, WITH, curated, load
 from lodestar.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,10 +54,11 @@ SIMS = f"""s1 AS (SELECT core, gcore, {SORTED.format('core')} AS a, {SORTED.form
 s2 AS (SELECT *, {SORTED.format('f0')} AS fa, {SORTED.format('f1')} AS fb, CASE WHEN a = '' OR b = '' THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * {LCS.format('a', 'b')} / (length(a) + length(b)) END AS r0 FROM s1),
 s3 AS (SELECT *, CASE WHEN core <> '' AND gcore <> '' AND NOT contains(core, ' ') AND length(core) >= 6 AND list_contains(string_split(gcore, ' '), core) THEN greatest(r0, 0.86::DOUBLE) ELSE r0 END AS r1 FROM s2),
 sims AS (SELECT core, gcore, CASE WHEN r1 >= 0.70 AND fa <> '' AND fb <> '' THEN greatest(r1, (r1 + 2.0::DOUBLE * {LCS.format('fa', 'fb')} / (length(fa) + length(fb))) / 2) ELSE r1 END AS sim FROM s3)"""
-NEAR = f""", t AS (SELECT id, x, y, {CORE.format('nom')} AS core FROM toponyms), g AS (SELECT id AS gid, municipi, gx, gy, {CORE.format('name')} AS gcore FROM gazetteer),
-c0 AS (SELECT id, gid, core, gcore, (x - gx) * (x - gx) + (y - gy) * (y - gy) AS d2 FROM t JOIN g ON (x - gx) * (x - gx) + (y - gy) * (y - gy) <= 90000),
-pairs AS (SELECT DISTINCT core, gcore FROM c0), {SIMS},
-cand AS (SELECT c0.*, sim, sim - sqrt(d2::DOUBLE) * 40 / 60000 AS combined FROM c0 JOIN sims USING (core, gcore)),
+NEAR = f""", t AS (SELECT id, x, y, {CORE.format('nom')} AS core, {CORE.format("coalesce(graf, '')")} AS core2 FROM toponyms), g AS (SELECT id AS gid, municipi, gx, gy, {CORE.format('name')} AS gcore FROM gazetteer),
+c0 AS (SELECT id, gid, core, core2, gcore, (x - gx) * (x - gx) + (y - gy) * (y - gy) AS d2 FROM t JOIN g ON (x - gx) * (x - gx) + (y - gy) * (y - gy) <= 90000),
+pairs AS (SELECT core, gcore FROM c0 UNION SELECT core2, gcore FROM c0), {SIMS},
+c1 AS (SELECT id, gid, c0.core, c0.gcore, d2, greatest(a.sim, b.sim) AS sim FROM c0 JOIN sims a ON a.core = c0.core AND a.gcore = c0.gcore JOIN sims b ON b.core = c0.core2 AND b.gcore = c0.gcore),
+cand AS (SELECT *, sim - sqrt(d2::DOUBLE) * 40 / 60000 AS combined FROM c1),
 places AS (SELECT gcore, count(DISTINCT coalesce(municipi, chr(1))) AS n FROM g GROUP BY 1)"""
 LADDER = NEAR + """,
 b AS (SELECT id, arg_max(struct_pack(gid := gid, gcore := gcore, sim := sim, d2 := d2), (combined, -gid)) AS best, arg_max(struct_pack(gid := gid, gcore := gcore, sim := sim, d2 := d2), (sim, -gid)) AS nm,
@@ -77,6 +78,16 @@ matched AS (SELECT first.id, coalesce(f2.decision, first.decision) AS decision,
  CASE WHEN f2.id IS NULL THEN round_even(sqrt(m.d2::DOUBLE) * 40 / 1000, 2) END AS km FROM first LEFT JOIN f2 USING (id))"""
 FOLD = """, v AS (SELECT *, CASE WHEN action IN ('pick', 'ok', 'none', 'trash') THEN action WHEN action = 'undo' THEN '' END AS ve, CASE WHEN action = 'pick' THEN coalesce(grafia, '') WHEN action IN ('none', 'undo') THEN '' END AS ma FROM edits),
 folded AS (SELECT * FROM (SELECT id, nullif(arg_max(ve, seq) FILTER (ve IS NOT NULL), '') AS verdict, nullif(arg_max(ma, seq) FILTER (ma IS NOT NULL), '') AS match, nullif(arg_max(graf, seq) FILTER (graf IS NOT NULL), '') AS graf FROM v GROUP BY id) WHERE coalesce(verdict, match, graf) IS NOT NULL)"""
+#: The curation of toponyms and what becomes of matches under it, as a CTE reviewed(id, decision, gid, sim, km, review).
+PICKED = f""", cur AS ({CURATED}), pk AS (SELECT cur.id, core, core2, gcore, gid, (x - gx) * (x - gx) + (y - gy) * (y - gy) AS d2 FROM (SELECT *, {CORE.format("match")} AS pcore FROM cur WHERE match IS NOT NULL) cur JOIN t ON t.id = cur.id JOIN g ON g.gcore = cur.pcore
+ QUALIFY row_number() OVER (PARTITION BY cur.id ORDER BY d2, gid) = 1)"""
+REVIEWED = (FOLD + LADDER).replace("c0 AS (SELECT", PICKED.lstrip(", ") + ", c0 AS (SELECT", 1).replace("UNION SELECT core2, gcore FROM c0)", "UNION SELECT core2, gcore FROM c0 UNION SELECT core, gcore FROM pk UNION SELECT core2, gcore FROM pk)") + """,
+p1 AS (SELECT pk.*, greatest(a.sim, b.sim) AS raw, round_even(greatest(a.sim, b.sim), 2) AS sim, n <= 1 AS u FROM pk JOIN sims a ON a.core = pk.core AND a.gcore = pk.gcore JOIN sims b ON b.core = pk.core2 AND b.gcore = pk.gcore JOIN places ON places.gcore = pk.gcore),
+p2 AS (SELECT *, CASE WHEN (u AND sim >= 0.88 AND d2 <= 22500) OR (sim >= 0.90 AND d2 <= 15625) THEN 'confirmat' WHEN (d2 <= 625 AND sim >= 0.82) OR (d2 <= 1406 AND sim >= 0.85) THEN 'probable' WHEN (u AND sim >= 0.70) OR (sim >= 0.70 AND d2 <= 40000) THEN 'suggerit' ELSE 'posicional' END AS decision FROM p1),
+reviewed AS (SELECT m.id, CASE WHEN verdict = 'none' THEN 'sense' ELSE coalesce(p2.decision, m.decision) END AS decision, CASE WHEN verdict IS DISTINCT FROM 'none' THEN coalesce(p2.gid, m.gid) END AS gid,
+ CASE WHEN verdict = 'none' THEN NULL WHEN p2.id IS NOT NULL THEN p2.sim ELSE m.sim END AS sim, CASE WHEN verdict = 'none' THEN NULL WHEN p2.id IS NOT NULL THEN round_even(sqrt(p2.d2::DOUBLE) * 40 / 1000, 2) ELSE m.km END AS km,
+ CASE WHEN verdict = 'none' THEN 'revisat' WHEN verdict = 'ok' AND coalesce(p2.gid, m.gid) IS NOT NULL THEN 'revisat' WHEN verdict = 'pick' AND p2.id IS NOT NULL AND p2.gcore = coalesce(og.gcore, '') THEN 'revisat' WHEN verdict = 'pick' AND p2.id IS NOT NULL THEN 'corregit' END AS review
+ FROM matched m LEFT JOIN cur ON cur.id = m.id LEFT JOIN p2 ON p2.id = m.id LEFT JOIN g og ON og.gid = m.gid WHERE verdict IS NULL OR verdict <> 'trash')"""
 
 
 def root(spark: SparkSession) -> str:
@@ -88,27 +99,28 @@ def root(spark: SparkSession) -> str:
 
 @query(LADDER + " SELECT id, decision, gid, sim, km FROM matched")
 def gazetteer_match(spark, sf):
-    return match.match(load(spark, sf, "toponyms"), load(spark, sf, "gazetteer"))
+    return match.match(load(spark, sf, "toponyms"), load(spark, sf, "gazetteer"), root=root(spark))
 
 
 @query(None)
 def gazetteer_match_phonetic(spark, sf):
-    return match.match(load(spark, sf, "toponyms"), load(spark, sf, "gazetteer"), phonetic=True)
+    return match.match(load(spark, sf, "toponyms"), load(spark, sf, "gazetteer"), phonetic=True, root=root(spark))
 
 
-@query(LADDER + """ SELECT id, rank, gid, round_even(sim, 2) AS sim, round_even(sqrt(d2::DOUBLE) * 40 / 1000, 2) AS km FROM (SELECT cand.*, row_number() OVER (PARTITION BY id ORDER BY combined DESC, gid)::INTEGER AS rank FROM cand JOIN matched USING (id) WHERE decision <> 'confirmat') WHERE rank <= 6""".replace("cand.*, row_number()", "cand.id, cand.gid, cand.sim, cand.d2, row_number()").replace("ORDER BY combined DESC, gid", "ORDER BY cand.combined DESC, cand.gid").replace("PARTITION BY id", "PARTITION BY cand.id").replace("cand JOIN matched USING (id)", "cand JOIN matched ON cand.id = matched.id"))
-def recheck_top6(spark, sf):
+def _reviewed(spark, sf):
     t, g = load(spark, sf, "toponyms"), load(spark, sf, "gazetteer")
-    return match.recheck(match.match(t, g), match.candidates(t, g))
+    return match.review(match.match(t, g, root=root(spark)), curated(spark, sf, overlay.fold(load(spark, sf, "edits"))), t, g)
+
+
+@query(REVIEWED + """ SELECT id, rank, gid, round_even(sim, 2) AS sim, round_even(sqrt(d2::DOUBLE) * 40 / 1000, 2) AS km FROM (SELECT cand.id, cand.gid, cand.sim, cand.d2, row_number() OVER (PARTITION BY cand.id ORDER BY cand.combined DESC, cand.gid)::INTEGER AS rank
+ FROM cand JOIN reviewed r ON r.id = cand.id WHERE r.decision <> 'confirmat' AND r.review IS NULL) WHERE rank <= 6""")
+def recheck_top6(spark, sf):
+    return match.recheck(_reviewed(spark, sf), match.candidates(load(spark, sf, "toponyms"), load(spark, sf, "gazetteer")))
 
 
-@query(LADDER + FOLD + f""", nm AS (SELECT gcore AS pcore, min(gid) AS pgid FROM g GROUP BY 1), f AS (SELECT id, verdict, {CORE.format("coalesce(match, '')")} AS pcore FROM folded),
- j AS (SELECT m.id, m.decision, m.gid, f.verdict, f.pcore, nm.pgid, g.gcore FROM matched m LEFT JOIN g ON g.gid = m.gid LEFT JOIN f ON f.id = m.id LEFT JOIN nm ON nm.pcore = f.pcore WHERE verdict IS NULL OR verdict <> 'trash')
- SELECT id, CASE WHEN verdict = 'none' THEN 'sense' ELSE decision END AS decision, CASE WHEN verdict = 'none' THEN NULL WHEN verdict = 'pick' AND pgid IS NOT NULL AND NOT coalesce(pcore = gcore, false) THEN pgid ELSE gid END AS gid,
- CASE WHEN verdict = 'none' THEN 'revisat' WHEN verdict = 'pick' AND pgid IS NOT NULL AND pcore = gcore THEN 'revisat' WHEN verdict = 'pick' AND pgid IS NOT NULL THEN 'corregit' WHEN verdict = 'ok' AND gid IS NOT NULL THEN 'revisat' END AS review FROM j""")
+@query(REVIEWED + " SELECT * FROM reviewed")
 def review_axis(spark, sf):
-    t, g = load(spark, sf, "toponyms"), load(spark, sf, "gazetteer")
-    return match.review(match.match(t, g), overlay.fold(load(spark, sf, "edits")), g)
+    return _reviewed(spark, sf)
 
 
 @query(NEAR + " SELECT id, gid, round_even(sim, 6) AS sim, d2 FROM cand")
@@ -124,16 +136,23 @@ def nearest_same_name(spark, sf):
     return t.join(g, "core").groupBy("id").agg(F.min_by("gid", F.struct(d2, F.col("gid"))).alias("gid"), F.min(d2).alias("d2"))
 
 
-@query(f", n AS (SELECT DISTINCT {CORE.format('p_name')} AS core FROM part), pairs AS (SELECT a.core, b.core AS gcore FROM n a, n b WHERE a.core < b.core), {SIMS} SELECT core, gcore, round_even(sim, 6) AS sim FROM sims")
+@query(f", n AS (SELECT DISTINCT {CORE.format('p_name')} AS core FROM part), pairs AS (SELECT a.core, b.core AS gcore FROM n a, n b WHERE a.core < b.core), {SIMS}, r AS (SELECT *, CASE WHEN a = '' OR b = '' THEN 0 ELSE r0 END AS base FROM s2) SELECT core, gcore, round_even(sim, 6) AS sim FROM sims JOIN r USING (core, gcore) WHERE base >= 0.7")
 def similarity(spark, sf):
+    """The similarity of all pairs of distinct names whose sorted words are at least .70 alike: found by shared pieces, never all pairs."""
     n = load(spark, sf, "part").select(T.core(F.col("p_name")).alias("core")).distinct()
-    pairs = n.withColumn("k", F.lit(1)).join(n.select(F.col("core").alias("gcore"), F.lit(1).alias("k")), "k").where("core < gcore")
-    return pairs.select("core", "gcore", F.bround(match.similar(F.col("core"), F.col("gcore")), 6).alias("sim"))
+    pairs = match.share_grams(n, n.select(F.col("core").alias("gcore")), 0.70).where("core < gcore")
+    alike = T.indel_ratio(T.sorted_tokens(F.col("core")), T.sorted_tokens(F.col("gcore"))) >= 0.70
+    return pairs.where(alike).select("core", "gcore", F.bround(match.similar(F.col("core"), F.col("gcore")), 6).alias("sim"))
 
 
 # ---- scalar functions
 
 
+def _marked_name():
+    n = F.col("id") % 5
+    return F.concat(F.when(n == 0, "Sô ").when(n == 1, "câ. ").when(n == 2, " ").otherwise(""), F.replace("name", F.lit("a"), F.lit("ā")))
+
+
 def scalar(name: str, expr, sql: str, source: str = "documents", keys=("doc_id",)):
     """A query of one expression over a text column, digested so that long texts stay out of the result."""
 
@@ -153,7 +172,10 @@ scalar("text_gcp_norm", lambda: T.gcp_norm(F.col("text")), "lower(strip_accents(
 scalar("text_key", lambda: T.key(F.col("text")), "trim(regexp_replace(regexp_replace(translate(lower(text), 'âêîôûāēīōūãõ', 'aeiouaeiouao'), '[^a-z0-9]', ' ', 'g'), ' +', ' ', 'g'))")
 scalar("text_remap_key", lambda: T.remap_key(F.col("text")), "trim(regexp_replace(regexp_replace(translate(lower(text), 'âêîôû', 'aeiou'), '[^a-z0-9]', ' ', 'g'), ' +', ' ', 'g'))")
 scalar("text_macronize", lambda: T.macronize(F.col("text")), "translate(text, 'âêîôûãõÂÊÎÔÛÃÕ', 'āēīōūāōĀĒĪŌŪĀŌ')")
-scalar("text_title_first", lambda: T.title_first(F.col("text")), "regexp_replace(regexp_replace(translate(text, 'âêîôûãõ', 'aeiouao'), '^[Ss]o( |$)', 'Son\\1'), '^[Cc]a( |$)', 'Can\\1')")
+_WORDS = "list_filter(regexp_split_to_array({0}, '[\\t-\\r \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'), lambda w: w <> '')"
+_TITLE = f"array_to_string(list_transform({_WORDS}, lambda w, i: CASE WHEN i = 1 AND translate(trim(lower(w), '.,'), '{T.MARKED}', '{T.UNMARKED}') IN ('so', 'ca') THEN CASE WHEN translate(trim(lower(w), '.,'), '{T.MARKED}', '{T.UNMARKED}') = 'so' THEN 'Son' ELSE 'Can' END ELSE translate(w, '{T.MARKED}', '{T.UNMARKED}') END), ' ')"
+scalar("text_title_first", lambda: T.title_first(F.col("text")), _TITLE.replace("{0}", "text"))
+scalar("text_title_names", lambda: T.title_first(_marked_name()), _TITLE.replace("{0}", "(CASE id % 5 WHEN 0 THEN 'Sô ' WHEN 1 THEN 'câ. ' WHEN 2 THEN ' ' ELSE '' END || replace(name, 'a', 'ā'))"), "gazetteer", ("id",))
 scalar("text_html_escape", lambda: T.html_escape(F.col("text")), "replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')")
 scalar("text_fold", lambda: T.fold(T.core(F.col("name"))), fold_sql(CORE.format("name")), "gazetteer", ("id",))
 QUERIES["id_parts"] = lambda spark, sf: load(spark, sf, "gazetteer").withColumn("win", F.concat(F.lit("B"), F.format_string("%02d", F.col("id") % 12), F.lit("_"), F.col("id").cast("string"))).select("id", F.md5(F.concat_ws("|", F.substring_index("win", "_", 1), F.left("win", F.lit(1)), F.format_string("t%04d", F.col("id")))).alias("digest"))
@@ -196,11 +218,11 @@ def overlay_fold(spark, sf):
     return overlay.fold(load(spark, sf, "edits"))
 
 
-@query(FOLD + """, d AS (SELECT t.id, CASE WHEN verdict IN ('ok', 'pick') THEN 'confirmat' WHEN verdict = 'trash' THEN 'sense' WHEN graf IS NOT NULL THEN 'suggerit' ELSE 'posicional' END AS decision FROM toponyms t LEFT JOIN folded f ON f.id = t.id / 10 % 150),
+@query(FOLD + """, d AS (SELECT t.id, CASE WHEN verdict IN ('ok', 'pick') THEN 'confirmat' WHEN verdict = 'trash' THEN 'sense' WHEN f.graf IS NOT NULL THEN 'suggerit' ELSE 'posicional' END AS decision FROM toponyms t LEFT JOIN folded f ON f.id = t.id / 10 % 150),
  e AS (SELECT unnest(['confirmat', 'probable', 'suggerit', 'posicional', 'sense']) AS decision) SELECT e.decision, count(d.id) AS n FROM e LEFT JOIN d USING (decision) GROUP BY 1""".replace("t.id / 10 % 150", "(t.id // 10) % 150"))
 def decision_counts(spark, sf):
     f = overlay.fold(load(spark, sf, "edits")).withColumnRenamed("id", "k")
-    t = load(spark, sf, "toponyms").withColumn("k", F.expr("(id div 10) % 150")).join(f, "k", "left")
+    t = load(spark, sf, "toponyms").select("id", F.expr("(id div 10) % 150").alias("k")).join(f, "k", "left")
     d = t.select("id", F.when(F.col("verdict").isin("ok", "pick"), "confirmat").when(F.col("verdict") == "trash", "sense").when(F.col("graf").isNotNull(), "suggerit").otherwise("posicional").alias("decision"))
     return files.enumeration(spark, "decision", ["confirmat", "probable", "suggerit", "posicional", "sense"]).join(d.groupBy("decision").agg(F.count("*").alias("n")), "decision", "left").select("decision", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
@@ -216,9 +238,9 @@ def legacy_fold(spark, sf):
 @query("SELECT t.id, t.nom, g.municipi, coalesce(g.tipus, 'altre') AS tipus, count(*) FILTER (g.id IS NULL) OVER () AS missing FROM toponyms t LEFT JOIN gazetteer g ON g.id = t.id + CASE WHEN t.id % 70 = 0 THEN 100000000 ELSE 0 END")
 def publish_join(spark, sf):
     t = load(spark, sf, "toponyms").select("id", "nom", (F.col("id") + F.when(F.col("id") % 70 == 0, 100000000).otherwise(0)).alias("k"))
-    j = t.join(load(spark, sf, "gazetteer").select(F.col("id").alias("k"), "municipi", F.col("tipus").alias("gt")), "k", "left").withColumn("gone", F.col("gt").isNull())
-    missing = j.agg(F.count_if("gone").alias("missing"))
-    return j.join(F.broadcast(missing.withColumn("one", F.lit(True))), F.lit(True)).select("id", "nom", "municipi", F.coalesce("gt", F.lit("altre")).alias("tipus"), "missing")
+    g = load(spark, sf, "gazetteer").select(F.col("id").alias("k"), "municipi", F.col("tipus").alias("gt"))
+    missing = t.join(g, "k", "left_anti").agg(F.count("*").alias("missing"))  # one row
+    return t.join(g, "k", "left").join(F.broadcast(missing)).select("id", "nom", "municipi", F.coalesce("gt", F.lit("altre")).alias("tipus"), "missing")
 
 
 @query("SELECT name, arg_min(id, (CASE tipus WHEN 'STANDARD' THEN 1 WHEN 'ECONOMY' THEN 2 WHEN 'PROMO' THEN 3 ELSE 4 END, id)) AS id FROM gazetteer GROUP BY name")
@@ -339,7 +361,7 @@ def components(spark, sf):
     return component_ids(_neighbours(spark, sf), root(spark))
 
 
-_IOU = ", p AS (SELECT a.id AS id, b.id AS over, greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS common, a.w * a.h AS area, b.w * b.h AS area2 FROM boxes a JOIN boxes b ON a.id < b.id AND abs(a.x - b.x) < 300 AND abs(a.y - b.y) < 300)"
+_IOU = ", p AS (SELECT a.id AS id, b.id AS over, greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS common, a.w * a.h AS area, b.w * b.h AS area2, a.score AS sa, b.score AS sb FROM boxes a JOIN boxes b ON a.id < b.id AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.h AND b.y < a.y + a.h)"
 
 
 def _overlaps(spark, sf, cell=300):
@@ -350,21 +372,21 @@ def _overlaps(spark, sf, cell=300):
     other = spread.select("_cx", "_cy", F.col("id").alias("over"), F.col("x").alias("gx"), F.col("y").alias("gy"), F.col("w").alias("w2"), F.col("h").alias("h2"))
     p = spread.join(other, ["_cx", "_cy"]).where("id < over").where((F.col("_cx") == F.floor(F.greatest("x", "gx") / cell)) & (F.col("_cy") == F.floor(F.greatest("y", "gy") / cell)))
     common = geo.overlap(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h"), F.col("gx"), F.col("gy"), F.col("gx") + F.col("w2"), F.col("gy") + F.col("h2"))
-    near = (F.abs(F.col("x") - F.col("gx")) < 300) & (F.abs(F.col("y") - F.col("gy")) < 300)
-    return p.select("id", "over", common.alias("common"), (F.col("w") * F.col("h")).alias("area"), (F.col("w2") * F.col("h2")).alias("area2"), near.alias("near")).where("common > 0")
+    return p.select("id", "over", common.alias("common"), (F.col("w") * F.col("h")).alias("area"), (F.col("w2") * F.col("h2")).alias("area2")).where("common > 0")
 
 
 @query(_IOU + " SELECT id, over, common, round_even(common / (area + area2 - common)::DOUBLE, 6) AS iou, round_even(common / least(area, area2)::DOUBLE, 6) AS inside FROM p WHERE common > 0")
 def iou_pairs(spark, sf):
-    p = _overlaps(spark, sf).where("near")  # the SQL's own bound; greedy_keep has none
+    p = _overlaps(spark, sf)
     return p.select("id", "over", "common", F.bround(F.col("common") / (F.col("area") + F.col("area2") - F.col("common")), 6).alias("iou"), F.bround(F.col("common") / F.least("area", "area2"), 6).alias("inside"))
 
 
-@query(None)
+@query(_IOU + """, o AS (SELECT id, row_number() OVER (ORDER BY score DESC, w * h DESC, id) AS k FROM boxes), e AS (SELECT greatest(a.k, b.k) AS k, least(a.k, b.k) AS j FROM p JOIN o a ON a.id = p.id JOIN o b ON b.id = p.over WHERE common > 0.45 * (area + area2 - common) OR common > 0.60 * least(area, area2)),
+ c AS (SELECT o.k, list(j) FILTER (j IS NOT NULL) AS before FROM o LEFT JOIN e ON e.k = o.k GROUP BY o.k), r AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept UNION ALL SELECT c.k, CASE WHEN list_has_any(kept, coalesce(before, []::BIGINT[])) THEN kept ELSE list_append(kept, c.k) END FROM r JOIN c ON c.k = r.k + 1)
+ SELECT o.id FROM o JOIN (SELECT unnest(arg_max(kept, k)) AS k FROM r) q ON q.k = o.k""")
 def greedy_keep(spark, sf):
-    b = load(spark, sf, "boxes")
-    order = [F.col("score").desc(), (F.col("w") * F.col("h")).desc(), F.col("id")]
-    ranked = b.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    """Boxes in order of score, area and id; the order is compared as a struct, so no task sees all rows."""
+    ranked = load(spark, sf, "boxes").select("id", F.struct((-F.col("score")).alias("s"), (-F.col("w") * F.col("h")).alias("a"), F.col("id").alias("i")).alias("rank"))
     clash = _overlaps(spark, sf).where("common > 0.45 * (area + area2 - common) or common > 0.60 * least(area, area2)").select("id", "over")
     return joins.greedy_keep(ranked, clash, root(spark))
 
@@ -392,30 +414,37 @@ def circular_mean(spark, sf):
     return load(spark, sf, "boxes").groupBy("win").agg(F.bround(F.degrees(F.atan2(F.sum(F.sin(a)), F.sum(F.cos(a)))) / 2, 6).alias("axis"))
 
 
-@query(None)
+@query(", o AS (SELECT win, id, h, row_number() OVER (PARTITION BY win ORDER BY id) AS k FROM boxes), r AS (SELECT win, id, k, 0 AS bin, h AS fill FROM o WHERE k = 1 UNION ALL SELECT o.win, o.id, o.k, CASE WHEN r.fill + o.h > 80 THEN bin + 1 ELSE bin END, CASE WHEN r.fill + o.h > 80 THEN o.h ELSE r.fill + o.h END FROM r JOIN o ON o.win = r.win AND o.k = r.k + 1) SELECT win, id, bin FROM r")
 def bin_pack(spark, sf):
     """Runs of sizes put into bins in order; a new bin where the next would pass 80."""
-    sizes = load(spark, sf, "boxes").groupBy("win").agg(F.transform(F.sort_array(F.collect_list(F.struct("id", "h"))), lambda x: x["h"]).alias("hs"))
-    step = lambda a, n: F.struct(F.when(a["fill"] + n > 80, a["bin"] + 1).otherwise(a["bin"]).alias("bin"), F.when(a["fill"] + n > 80, n).otherwise(a["fill"] + n).alias("fill"))
-    start = F.struct(F.lit(0).alias("bin"), F.lit(0).cast("long").alias("fill"))
-    return sizes.select("win", F.aggregate("hs", start, step)["bin"].alias("last_bin"))
+    return windows.bin_pack(load(spark, sf, "boxes"), "win", [F.col("id")], "h", 80).select("win", "id", "bin")
+
 
+def _split_sql(levels: int = 14, target: int = 80) -> str:
+    """Each level cuts every window of more than target boxes in two, by the rule of ``windows.gap_split``."""
+    sql, last = ", l0 AS (SELECT id, x, y, '' AS path FROM boxes)", "l0"
+    for k in range(levels):
+        sql += f""", e{k} AS (SELECT *, count(*) OVER (PARTITION BY path) AS n, (max(x) OVER (PARTITION BY path) - min(x) OVER (PARTITION BY path)) >= (max(y) OVER (PARTITION BY path) - min(y) OVER (PARTITION BY path)) AS wide FROM {last}),
+ s{k} AS (SELECT *, CASE WHEN wide THEN x ELSE y END AS v, row_number() OVER (PARTITION BY path ORDER BY CASE WHEN wide THEN x ELSE y END, id) - 1 AS j FROM e{k}),
+ g{k} AS (SELECT *, lead(v) OVER (PARTITION BY path ORDER BY j) - v AS gap FROM s{k}),
+ c{k} AS (SELECT path, arg_max(j, (gap, -j)) AS cut FROM g{k} WHERE n > {target} AND j >= floor(n * 0.35::DOUBLE) AND j < greatest(floor(n * 0.35::DOUBLE) + 1, floor(n * 0.65::DOUBLE)) GROUP BY path),
+ l{k + 1} AS (SELECT id, x, y, CASE WHEN cut IS NULL THEN s{k}.path WHEN j <= cut THEN s{k}.path || '0' ELSE s{k}.path || '1' END AS path FROM s{k} LEFT JOIN c{k} ON c{k}.path = s{k}.path)"""
+        last = f"l{k + 1}"
+    return sql + f" SELECT id, path, dense_rank() OVER (ORDER BY my, mx, path)::INTEGER AS w FROM (SELECT id, path, min(y) OVER (PARTITION BY path) AS my, min(x) OVER (PARTITION BY path) AS mx FROM {last})"
 
-@query(", s AS (SELECT win, x, id, lead(x) OVER (PARTITION BY win ORDER BY x, id) - x AS gap, row_number() OVER (PARTITION BY win ORDER BY x, id) AS k, count(*) OVER (PARTITION BY win) AS n FROM boxes) SELECT win, arg_max(x, (gap, -k)) AS cut_after, max(gap) AS gap FROM s WHERE gap IS NOT NULL AND k >= 0.35 * n AND k <= 0.65 * n GROUP BY win")
+
+@query(_split_sql())
 def gap_split(spark, sf):
-    w = Window.partitionBy("win").orderBy("x", "id")
-    s = load(spark, sf, "boxes").select("win", "x", (F.lead("x").over(w) - F.col("x")).alias("gap"), F.row_number().over(w).cast("long").alias("k"), F.count("*").over(Window.partitionBy("win")).alias("n"))
-    s = s.where("gap is not null and k >= 0.35 * n and k <= 0.65 * n")
-    return s.groupBy("win").agg(F.max_by("x", F.struct(F.col("gap"), -F.col("k"))).alias("cut_after"), F.max("gap").alias("gap"))
+    return windows.gap_split(load(spark, sf, "boxes").select("id", "x", "y"), 80, root(spark))
 
 
 # ---- fits
 
-_POINTS = ", cp AS (SELECT id, x, y, 1000 + 3 * x - 2 * y + id % 7 AS lon, 500 - x + 4 * y + id % 5 AS lat FROM boxes WHERE id < 190)"
+_POINTS = ", cp AS (SELECT id, x, y, 1000 + 3 * x - 2 * y + id % 7 AS lon, 500 - x + 4 * y + id % 5 AS lat FROM boxes)"
 
 
 def _points(spark, sf):
-    return load(spark, sf, "boxes").where("id < 190").select("id", "x", "y", (1000 + 3 * F.col("x") - 2 * F.col("y") + F.col("id") % 7).alias("lon"), (500 - F.col("x") + 4 * F.col("y") + F.col("id") % 5).alias("lat"))
+    return load(spark, sf, "boxes").select("id", "x", "y", (1000 + 3 * F.col("x") - 2 * F.col("y") + F.col("id") % 7).alias("lon"), (500 - F.col("x") + 4 * F.col("y") + F.col("id") % 5).alias("lat"))
 
 
 @query(_POINTS + ", s AS (SELECT covar_pop(x::DOUBLE, lon::DOUBLE) AS xt, covar_pop(y::DOUBLE, lon::DOUBLE) AS yt, var_pop(x::DOUBLE) AS xx, var_pop(y::DOUBLE) AS yy, covar_pop(x::DOUBLE, y::DOUBLE) AS xy FROM cp) SELECT round_even((xt * yy - yt * xy) / (xx * yy - xy * xy), 6) AS a, round_even((yt * xx - xt * xy) / (xx * yy - xy * xy), 6) AS b FROM s")
@@ -441,14 +470,16 @@ def tile_grid(spark, sf):
 
 # ---- audit and lint
 
-_AUDIT = "SELECT id, array_to_string(list_filter([CASE WHEN nom = '' THEN 'empty' END, CASE WHEN nom <> '' AND regexp_matches(nom, '[0-9]') THEN 'has_digit' END, CASE WHEN nom <> '' AND regexp_matches(nom, '[^a-zA-Z '' -]') THEN 'odd_char' END, CASE WHEN nom <> '' AND length(nom) <= 3 THEN 'very_short' END, CASE WHEN nom <> '' AND regexp_matches(nom, '^[a-z]') THEN 'lower_start' END, CASE WHEN nom <> '' AND regexp_matches(nom, '^[-'']|[-'']$') THEN 'dangling_edge' END, CASE WHEN nom <> '' AND NOT contains(nom, ' ') AND length(nom) <= 4 THEN 'short_single' END], lambda z: z IS NOT NULL), ',') AS flags FROM w"
-_NAMES = ", w AS (SELECT id, CASE WHEN id % 130 = 0 THEN '' WHEN id % 90 = 0 THEN 'P1 ' || nom WHEN id % 80 = 0 THEN '-' || nom WHEN id % 60 = 0 THEN substr(nom, 1, 3) WHEN id % 50 = 0 THEN upper(nom) ELSE nom END AS nom FROM toponyms) "
+_STOP = "[" + ", ".join(f"'{w}'" for w in files.STOP) + "]"
+_AUDIT = f"SELECT id, CASE WHEN n = '' THEN 'empty' ELSE array_to_string(list_filter([CASE WHEN regexp_matches(nom, '\\p{{Nd}}') THEN 'has_digit' END, CASE WHEN regexp_matches(nom, '[^A-Za-zÀ-ÿ0-9 ''·\\-.]') THEN 'odd_char' END, CASE WHEN length(n) <= 3 AND NOT list_contains({_STOP}, n) THEN 'very_short' END, CASE WHEN regexp_matches(nom, '^\\p{{Ll}}') THEN 'lower_start' END, CASE WHEN regexp_matches(nom, '^[-'']|[-'']$') THEN 'dangling_edge' END, CASE WHEN NOT contains(n, ' ') AND length(n) <= 4 AND NOT list_contains({_STOP}, n) THEN 'short_single' END], lambda z: z IS NOT NULL), ',') END AS flags FROM w"
+_NAMES = ", w0 AS (SELECT id, trim(CASE WHEN id % 130 = 0 THEN ' ' WHEN id % 90 = 0 THEN 'P1 ' || nom WHEN id % 80 = 0 THEN '-' || nom WHEN id % 60 = 0 THEN substr(nom, 1, 3) WHEN id % 50 = 0 THEN upper(nom) WHEN id % 70 = 0 THEN 'Pèl·' || nom WHEN id % 110 = 0 THEN 'Puig' WHEN id % 170 = 0 THEN 'Ω-' || nom ELSE nom END) AS nom FROM toponyms), w AS (SELECT *, trim(regexp_replace(lower(regexp_replace(strip_accents(nom), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', ' ', 'g')) AS n FROM w0) "
 
 
 def _flagged(spark, sf):
     n, k = F.col("nom"), F.col("id")
-    w = load(spark, sf, "toponyms").withColumn("nom", F.when(k % 130 == 0, "").when(k % 90 == 0, F.concat(F.lit("P1 "), n)).when(k % 80 == 0, F.concat(F.lit("-"), n)).when(k % 60 == 0, F.substring(n, 1, 3)).when(k % 50 == 0, F.upper(n)).otherwise(n))
-    return w.select("id", files.audit_flags(F.col("nom")).alias("flags"))
+    odd = F.when(k % 130 == 0, " ").when(k % 90 == 0, F.concat(F.lit("P1 "), n)).when(k % 80 == 0, F.concat(F.lit("-"), n)).when(k % 60 == 0, F.substring(n, 1, 3)).when(k % 50 == 0, F.upper(n))
+    odd = odd.when(k % 70 == 0, F.concat(F.lit("Pèl·"), n)).when(k % 110 == 0, "Puig").when(k % 170 == 0, F.concat(F.lit("Ω-"), n))
+    return load(spark, sf, "toponyms").select("id", files.audit_flags(odd.otherwise(n)).alias("flags"))
 
 
 @query(_NAMES + _AUDIT)
@@ -466,32 +497,6 @@ def page_links(spark, sf):
     return load(spark, sf, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1)))).alias("href"))
 
 
-@query("SELECT page_id, len(regexp_extract_all(html, '<script[ >]'))::INTEGER AS scripts, len(regexp_extract_all(html, '<style[ >]'))::INTEGER AS styles, len(regexp_extract_all(html, ' on[a-z]+='))::INTEGER AS handlers, regexp_matches(html, 'target=\"_blank\"') AND NOT regexp_matches(html, 'noopener') AS opener FROM pages")
-def page_lint(spark, sf):
-    n = lambda p: F.size(F.regexp_extract_all("html", F.lit(f"({p})"), F.lit(1)))
-    return load(spark, sf, "pages").select("page_id", n("<script[ >]").alias("scripts"), n("<style[ >]").alias("styles"), n(" on[a-z]+=").alias("handlers"), (F.col("html").rlike('target="_blank"') & ~F.col("html").rlike("noopener")).alias("opener"))
-
-
-@query(", l AS (SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href=\"(/[^\"#]*)\"', 1))) AS path FROM pages), o AS (SELECT DISTINCT regexp_replace(url, '^[a-z]+://[^/]*', '') AS path FROM pages) SELECT page_id, path FROM l WHERE path NOT IN (SELECT path FROM o WHERE path IS NOT NULL)")
-def dead_links(spark, sf):
-    p = load(spark, sf, "pages")
-    links = p.select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="(/[^"#]*)"'), F.lit(1)))).alias("path"))
-    return links.join(p.select(F.regexp_replace("url", "^[a-z]+://[^/]*", "").alias("path")), "path", "left_anti").select("page_id", "path")
-
-
-@query("SELECT page_id, tag, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, ' class=\"([^\"]*)\"', 1)) AS tag FROM pages) GROUP BY 1, 2 HAVING count(*) > 1")
-def dup_ids(spark, sf):
-    """Attribute values used more than once in a page (the test pages have no id attributes, so class stands in)."""
-    tags = load(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(' class="([^"]*)"'), F.lit(1))).alias("tag"))
-    return tags.groupBy("page_id", "tag").agg(F.count("*").alias("n")).where("n > 1")
-
-
-@query("SELECT page_id, url, regexp_matches(url, '^https://([a-z0-9-]+\\.)*example\\.com(/|$)') OR starts_with(url, 'data:') AS admitted FROM pages")
-def csp_admits(spark, sf):
-    policy = files.policy("default-src 'self'; img-src data: https://*.example.com https://example.com")
-    return load(spark, sf, "pages").select("page_id", "url", files.admits(policy["img-src"], F.col("url")).alias("admitted"))
-
-
 # ---- sets of rows and keys
 
 
@@ -555,5 +560,8 @@ def far_homonyms(spark, sf):
     return g.where("gx > 1500").join(several, "name", "left_semi").select("id", "name")
 
 
+from lodestar.plans import curation, maps, pages  # noqa: E402,F401  (they register their queries here)
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gazetteer_match(spark, sf_dir)
