@@ -104,8 +104,11 @@ def read_policy(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """The content policy of the rule ``/*`` in a headers file. A missing file or rule fails: there is nothing to check against."""
     if not exists(spark, path):
         raise FileNotFoundError(f"{path}: no policy to check against")
-    rule = None
-    for (line,) in spark.read.text(path).collect():  # a configuration file of some lines
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)  # a configuration file of some lines; Spark's readers pass over names with an underscore
+    text, rule = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"), None
+    stream.close()
+    for line in text.splitlines():
         if line and not line[0].isspace() and not line.startswith("#"):
             rule = line.strip()
         elif rule == "/*" and line.strip().lower().startswith("content-security-policy:"):

@@ -1,5 +1,6 @@
 """A paged web service as a data source: one partition for each stretch of offsets, filters and columns pushed into the request.
 
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", True)
     spark.dataSource.register(PagedSource)
     spark.read.format("paged").schema(...).option("url", ...).option("where", "island = 1").load()
 

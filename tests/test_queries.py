@@ -151,6 +151,22 @@ def test_sources(spark, tmp_path):
     assert files.policy("a 'self' x; b y") == {"a": ["'self'", "x"], "b": ["y"]}
 
 
+def test_without_llm_the_queries_stay(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    here = Path(registry.__file__).parent.parent.parent
+    shutil.copy(here / "__spark_entry__.py", tmp_path)
+    shutil.copytree(here / "lodestar", tmp_path / "lodestar", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for leftover in (False, True):  # an empty folder may stay behind
+        if leftover:
+            (tmp_path / "lodestar" / "llm").mkdir()
+        out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, capture_output=True, text=True)
+        assert out.stdout.split() == [str(len(registry.QUERIES)), str(len(registry.ORACLE_SQL))], out.stderr
+
+
 def test_without_llm_the_rest_imports():
     import ast
     from pathlib import Path
