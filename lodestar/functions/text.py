@@ -126,6 +126,11 @@ def natural(c: Column, width: int = 12) -> Column:
     return F.nullif(F.regexp_replace(padded, "0*([0-9]{" + str(width) + "})", "$1"), F.lit(""))
 
 
+def below(base: str, path: Column) -> Column:
+    """A path under a base, with one slash between."""
+    return F.concat(F.lit(base.rstrip("/") + "/"), F.ltrim(path, F.lit("/")))
+
+
 def km_text(c: Column) -> Column:
     """One decimal and the unit; nothing for null."""
     return F.when(c.isNull(), "").otherwise(F.concat(F.format_string("%.1f", c), F.lit(" km")))

@@ -254,3 +254,16 @@ def fold_audit(spark, sf):
     e = load(spark, sf, "edits")
     n = overlay.fold(e).agg(F.count("*").alias("folded"))
     return n.join(F.broadcast(e.agg(F.count("*").alias("edits"), F.countDistinct("id").alias("ids")))).select("folded", "edits", (F.col("ids") - F.col("folded")).alias("emptied"))
+
+
+@query(_ITEMS + " SELECT id, nom FROM it WHERE tipus = ['altre']")
+def unclassified(spark, sf):
+    """Items that have no class but the catch-all."""
+    return _items(spark, sf).where(F.col("tipus") == F.array(F.lit("altre"))).select("id", "nom")
+
+
+@query("SELECT page_id, '/base' || CASE WHEN starts_with(p, '/') THEN p ELSE '/' || p END AS url FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN path ELSE ltrim(path, '/') END AS p FROM site)")
+def based_urls(spark, sf):
+    """Paths below a site's base, with one slash between."""
+    p = load(spark, sf, "site").select("page_id", F.when(F.col("page_id") % 2 == 0, F.col("path")).otherwise(F.ltrim("path", F.lit("/"))).alias("p"))
+    return p.select("page_id", T.below("/base/", F.col("p")).alias("url"))

@@ -155,3 +155,10 @@ def polygon_dedup(spark, sf):
     d = d.select("id", "poly", "area", F.col("c.x").alias("x"), F.col("c.y").alias("y"), (F.greatest(F.col("b.x1") - F.col("b.x0"), F.col("b.y1") - F.col("b.y0")) + 30).alias("reach"), F.struct((-F.col("score")).alias("s"), (-F.col("area")).alias("a"), F.col("id").alias("i")).alias("rank"))
     clash = joins.overlap_conflicts(d, polygon.overlap, 0.45, 0.60)
     return joins.greedy_keep(d, clash, root(spark))
+
+
+@query("SELECT x // 512 AS col, y // 512 AS row, count(*) AS n, round_even(stddev_pop(h::DOUBLE), 6) AS ink FROM boxes WHERE x >= 0 AND y >= 0 GROUP BY 1, 2 HAVING stddev_pop(h::DOUBLE) >= 20")
+def ink_gate(spark, sf):
+    """Tiles with enough variation to be worth reading; the others are skipped."""
+    tiles = load(spark, sf, "boxes").where("x >= 0 and y >= 0").groupBy(F.expr("x div 512").alias("col"), F.expr("y div 512").alias("row"))
+    return tiles.agg(F.count("*").alias("n"), F.stddev_pop(F.col("h").cast("double")).alias("ink")).where("ink >= 20").withColumn("ink", F.bround("ink", 6))

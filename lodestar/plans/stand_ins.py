@@ -25,7 +25,7 @@ MATCHES = f"""SELECT id, name AS nom, CASE WHEN id % 60 = 0 THEN '' ELSE lower(n
 
 #: The curation of those matches, their geometry, flags (joined by a bar) and offered candidates; gazetteer points for them.
 CURATION = f"""SELECT id, CASE id % 110 WHEN 0 THEN 'trash' WHEN 10 THEN 'ok' WHEN 20 THEN 'pick' WHEN 30 THEN '' END AS verdict, CASE WHEN id % 110 = 20 THEN name END AS match,
-  CASE WHEN id % 70 = 0 THEN 'New ' || name WHEN id % 100 = 0 THEN lower(name) END AS graf, CASE WHEN id % 90 = 0 THEN '' WHEN id % 80 = 0 THEN 'altre|Castell' END AS tipus, CASE WHEN id % 150 = 0 THEN 'OP' WHEN id % 250 = 0 THEN '' END AS ordre FROM ({GAZETTEER}) g WHERE id % 10 = 0 AND id % 20 = 0 OR id % 70 = 0"""
+  CASE WHEN id % 70 = 0 THEN 'New ' || name WHEN id % 100 = 0 THEN lower(name) END AS graf, CASE WHEN id % 90 = 0 THEN '' WHEN id % 80 = 0 THEN 'altre|Castell' WHEN id % 140 = 0 THEN 'altre' END AS tipus, CASE WHEN id % 150 = 0 THEN 'OP' WHEN id % 250 = 0 THEN '' END AS ordre FROM ({GAZETTEER}) g WHERE id % 10 = 0 AND id % 20 = 0 OR id % 70 = 0"""
 GEOMETRY = f"SELECT id, gx AS x, gy AS y, CAST(gx AS DOUBLE) AS lon, CASE WHEN id % 120 <> 0 THEN CAST(gy AS DOUBLE) END AS lat, id % 90 = 0 AS dubte FROM ({GAZETTEER}) g WHERE id % 10 = 0 AND id % 170 <> 0"
 FLAGGED = f"SELECT id, CASE WHEN id % 60 = 0 THEN 'odd_char|has_digit' ELSE 'short_single' END AS codes FROM ({GAZETTEER}) g WHERE id % 30 = 0"
 OFFERED = f"""SELECT id - id % 10 AS id, CASE WHEN id % 10 = 0 THEN 10 ELSE id % 10 END AS rank, CASE WHEN id % 10 = 3 THEN 'nowhere' ELSE name END AS grafia, CASE id % 10 WHEN 4 THEN 'elsewhere' WHEN 5 THEN NULL ELSE municipi END AS municipi FROM ({GAZETTEER}) g WHERE id >= 10 AND id % 100 < 90"""
