@@ -1,19 +1,19 @@
 """What suffix-array dedup (bytes) and substring dedup (words) share: which windows of W symbols also start earlier.
 
-1. Every window has an anchor: the k-gram of smallest hash in it, the leftmost if several are. Equal windows have
-   equal anchors at equal places, so a window whose anchor occurs once in the corpus has no twin. ``anchors``
-   lists the runs of windows with one anchor; tasks exchange each anchor once a block of documents.
-2. Documents meet the anchors that occur again, a chunk of documents at a time. Of each run with such an anchor the symbols are
-   taken (a segment). Segments that repeat within the chunk are settled there: all their windows start earlier.
-3. The other segments are dealt by anchor. A task takes them in bounded groups. Of equal segments the first counts; an anchor that is left with
-   several segments goes to the operator's own structure (suffix array or suffix tree), which finds the windows that start earlier.
-   (The windows of one segment differ among themselves, as their one anchor lies at different places.)
-4. The marks return to their documents.
-
-Nothing depends on the number of copies: a passage is one row a chunk. Texts move in compressed packs, a chunk's in one exchange.
+1. ``scan`` reads every text once: its anchors (the k-gram of smallest hash in each window, the leftmost if several are; equal windows have equal anchors at equal places) and the least of
+   them, which texts with much in common mostly share.
+2. Documents are dealt to shards of about ``SHARD`` bytes by that least anchor, so that copies mostly meet in one shard; a value with more than a shard's text is spread over several.
+3. Each shard gets the operator's own structure over all of its suffixes (``earlier``: suffix array or suffix tree). It decides every window that also starts earlier in the shard.
+4. What is left are first windows of a shard. Those whose anchor occurs in other shards too (a pre-filter that misses nothing; each shard sends an anchor once) are cut out as segments, the runs of windows with one anchor,
+   and dealt by anchor: a task merges the shards' segments in bounded groups. Of equal segments the first counts; an anchor that is left with several segments goes to the structure again, and where it has more than a group
+   holds, later groups search the windows of earlier ones.
+5. The marks return to their documents.
+
+Nothing depends on the number of copies: within a shard they are decided where they lie, and a passage is one segment a shard. Texts move in compressed packs, a shard's in one exchange.
+``tally`` counts how many windows were decided where.
 
 Order: smaller doc_id first (a null counts as the largest), then smaller start. Rows that share a doc_id are one document here: equal starts are
-no earlier ones. Null texts are empty ones.
+no earlier ones. Null texts are empty ones. A document is named by its place in its shard's order, so no hash decides which is which.
 """
 
 from __future__ import annotations
@@ -23,24 +23,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm import common
 
-BLOCK, GROUP_BYTES, PLACES = 1 << 20, 2 << 20, 24
+SHARD, PIECE, GROUP_BYTES, PLACES = 3 << 20, 4 << 20, 2 << 20, 24
 
 
 @dataclass(frozen=True)
 class Windows:
     """window, gram: their lengths in symbols (gram a power of two). symbols: those of some texts, one after the other, and how many each has.
-    content: the bytes of some symbols of a text. read: the symbols of some contents. group: what settles a group of segments. merge: of the windows that two groups have shown."""
+    content: the bytes of some symbols of a text. read: the symbols of some contents. earlier: which windows of a shard start earlier in it. group: what settles a group of segments. merge: of
+    the windows that two groups have shown."""
 
     window: int
     gram: int
     symbols: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
     content: Callable[[bytes], Callable[[int, int], bytes]]
     read: Callable[[list[bytes]], list[np.ndarray]]
+    earlier: Callable
     group: Callable
     merge: Callable
 
@@ -96,7 +98,7 @@ def runs(symbols: np.ndarray, sizes: np.ndarray, window: int, gram: int):
     return h[place[first]], doc, begin - starts[doc], at[last] - starts[doc]
 
 
-def blocks(sizes: list[int], limit: int = BLOCK):
+def blocks(sizes: list[int], limit: int = SHARD):
     """Slices of rows of about ``limit`` bytes."""
     at = total = 0
     for k, n in enumerate(sizes):
@@ -106,16 +108,45 @@ def blocks(sizes: list[int], limit: int = BLOCK):
             at, total = k + 1, 0
 
 
-def keyed(df: DataFrame) -> DataFrame:
-    """(doc_id, ord, row, text): ord orders documents, row names equal (doc_id, text)."""
-    docs = common.documents(df)
-    return docs.select("doc_id", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("ord"), F.xxhash64("doc_id", "text").alias("row"), "text")
-
-
 def encoded(texts: list[str]) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") for t in texts]
 
 
+def scanned(df: DataFrame, kind: Windows) -> DataFrame:
+    """(doc_id, ord, text, size, lead, anchors), written: size in bytes, the least anchor (the text's own hash if it has none) and all distinct anchors as bytes."""
+    import xxhash
+
+    schema = pa.schema([("doc_id", pa.int64()), ("ord", pa.int64()), ("text", pa.string()), ("size", pa.int64()), ("lead", pa.int64()), ("anchors", pa.binary())])
+
+    def run(batches):
+        for b in batches:
+            texts = encoded(b.column(2).to_pylist())
+            for a, z in blocks([len(t) for t in texts]):
+                anchor, doc, _, _ = runs(*kind.symbols(texts[a:z]), kind.window, kind.gram)
+                cuts = np.searchsorted(doc, np.arange(z - a + 1))
+                own = [np.unique(anchor[x:y]) for x, y in zip(cuts, cuts[1:])]
+                lead = [int(x[0]) if len(x) else xxhash.xxh64_intdigest(t) for x, t in zip(own, texts[a:z])]
+                rows = b.slice(a, z - a)
+                yield common.batch(schema, rows.column(0), rows.column(1), rows.column(2), [len(t) for t in texts[a:z]], np.array(lead, np.uint64).view(np.int64), [x.tobytes() for x in own])
+
+    docs = common.documents(df).select("doc_id", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("ord"), "text")
+    return common.written(common.map_arrow(docs, run, "doc_id long, ord long, text string, size long, lead long, anchors binary"), "scanned")
+
+
+def in_shards(docs: DataFrame) -> DataFrame:
+    """docs with chunk: shards of about SHARD bytes by the least anchor, a value with too much text spread by the text's hash."""
+    total, n = docs.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    shards = max(8, int(total) // SHARD)
+    bucket = F.pmod("lead", F.lit(shards))
+    sizes = docs.groupBy(bucket.alias("bucket")).agg(F.ceil(F.sum("size") / F.lit(2 * SHARD)).alias("parts")).where("parts > 1")
+    # written: its size is then known, so that a short list is broadcast and a long one is not
+    sizes = common.written(sizes.select("bucket", F.sum("parts").over(Window.orderBy("bucket")).alias("upto"), "parts"), "buckets")
+    spread = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("doc_id", "text"), F.col("parts"))).otherwise(F.lit(0))
+    # the first part of a bucket keeps its number; further ones are numbered behind all buckets
+    chunk = F.when(spread > 0, F.lit(shards) + F.col("upto") - F.col("parts") + spread).otherwise(F.col("bucket"))
+    return docs.withColumn("bucket", bucket).join(sizes, "bucket", "left").withColumn("chunk", chunk.cast("int")).drop("bucket", "parts", "upto")
+
+
 def in_packs(docs: DataFrame) -> DataFrame:
     """(chunk, blob): the documents of a chunk within a batch, compressed together."""
     schema = pa.schema([("chunk", pa.int32()), ("blob", pa.binary())])
@@ -123,107 +154,134 @@ def in_packs(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             chunk = b.column(0).to_numpy(zero_copy_only=False)
-            rows = list(zip(*(b.column(k).to_pylist() for k in range(1, 5))))
+            rows = list(zip(*(b.column(k).to_pylist() for k in range(1, 4))))
             order = np.argsort(chunk, kind="stable")
             cuts = np.nonzero(np.diff(chunk[order]))[0] + 1
             parts = np.split(order, cuts) if len(order) else []
             yield common.batch(schema, [chunk[p[0]] for p in parts], [common.freeze([rows[i] for i in p.tolist()]) for p in parts])
 
-    return common.map_arrow(docs.select("chunk", "doc_id", "ord", "row", "text"), run, "chunk int, blob binary")
+    return common.map_arrow(docs.select("chunk", "doc_id", "ord", "text"), run, "chunk int, blob binary")
 
 
 def unpacked(table: pa.Table) -> list[tuple]:
-    """(doc_id, ord, row, text) of a chunk, by ord."""
-    return sorted((r for blob in table.column("blob") for r in common.thaw(blob.as_py())), key=lambda r: r[1:3])
+    """(doc_id, ord, text) of a chunk, in order; rows that are alike in both can't be told apart, and need not be."""
+    return sorted((r for blob in table.column("blob") for r in common.thaw(blob.as_py())), key=lambda r: r[1:])
+
+
+def shard_windows(kind: Windows, texts: list[bytes], ords: np.ndarray):
+    """For each block of a shard's texts: (first text, symbols' document, place in it, which windows start earlier in the block's stretch, runs, stretch of each run)."""
+    for a, z in blocks([len(t) for t in texts]):
+        symbols, sizes = kind.symbols(texts[a:z])
+        starts = np.cumsum(sizes) - sizes
+        doc = np.repeat(np.arange(z - a), sizes)
+        place = np.arange(len(symbols)) - starts[doc]
+        whole = place + kind.window <= sizes[doc]
+        gone = np.zeros(len(symbols), bool)
+        for s in range(0, len(symbols), PIECE):  # a text longer than a piece is taken in overlapping stretches
+            at = np.nonzero(whole[s : s + PIECE])[0]
+            if len(at) > 1:
+                gone[s + at] = kind.earlier(symbols[s : s + PIECE + kind.window - 1], at, ords[a + doc[s + at]], place[s + at])
+        found = runs(symbols, sizes, kind.window, kind.gram)
+        yield a, starts, doc, place, gone, found, (starts[found[1]] + found[2]) // PIECE
+
+
+def shared_anchors(batches):
+    """(chunk, anchor) of the anchors of two chunks or more, each once, from (anchor, chunk) sorted by both. What is held is one anchor, its first chunk while that is alone, and the last chunk seen."""
+    schema = pa.schema([("chunk", pa.int32()), ("anchor", pa.int64())])
+    last = alone = seen = None
+    for b in batches:
+        anchor, chunk = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        new = np.ones(len(anchor), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (chunk[1:] != chunk[:-1])
+        if len(anchor) and anchor[0] == last and chunk[0] == seen:
+            new[0] = False
+        anchor, chunk = anchor[new], chunk[new]
+        if not len(anchor):
+            continue
+        head = np.ones(len(anchor), bool)
+        head[1:] = anchor[1:] != anchor[:-1]
+        at = np.nonzero(head)[0]
+        several = np.diff(np.append(at, len(anchor))) > 1
+        first = np.empty(0, np.int32)
+        if anchor[0] == last:  # it has been seen in another chunk
+            several[0] = True
+            if alone is not None:
+                first, alone = np.array([alone], np.int32), None
+        many = several[np.cumsum(head) - 1]
+        yield common.batch(schema, np.concatenate([first, chunk[many]]), np.concatenate([np.full(len(first), last, np.int64), anchor[many]]))
+        if anchor[-1] != last:
+            alone = None if several[-1] else chunk[-1]
+        last, seen = anchor[-1], chunk[-1]
 
 
 def marks(docs: DataFrame, packs: DataFrame, kind: Windows) -> DataFrame:
-    """(row, first, last) runs of windows that also start earlier; docs as from ``keyed``, with a chunk."""
+    """(row, first, last, how) runs of windows that also start earlier; docs as from ``in_shards``. row is the chunk and the place in it; how is 1 in the shard, 2 by equal segments, 3 by the structure over segments."""
 
     def anchors(batches):
-        schema = pa.schema([("anchor", pa.int64()), ("chunk", pa.int32()), ("more", pa.binary())])
-        for b in batches:
-            texts = encoded(b.column(1).to_pylist())
-            chunk = b.column(0).to_numpy(zero_copy_only=False)
-            for a, z in blocks([len(t) for t in texts]):
-                anchor, doc, _, _ = runs(*kind.symbols(texts[a:z]), kind.window, kind.gram)
-                order = np.argsort(anchor)
-                anchor, places = anchor[order].view(np.int64), chunk[a:z][doc[order]].astype(np.int32)
-                new = np.ones(len(anchor), bool)
-                new[1:] = anchor[1:] != anchor[:-1]
-                first = np.nonzero(new)[0]
-                size = np.diff(np.append(first, len(anchor)))
-                more = np.full(len(first), None, object)
-                for k in np.nonzero(size > 1)[0].tolist():
-                    more[k] = np.unique(places[first[k] + 1 : first[k] + size[k]]).tobytes()
-                yield common.batch(schema, anchor[first], places[first], more)
-
-    def again(batches):
-        """(chunk, anchor) of the anchors that occur twice or more; the input is sorted by anchor."""
-        schema = pa.schema([("chunk", pa.int32()), ("anchor", pa.int64())])
-        last, waiting = None, None  # the anchor so far at the end, and its chunk if it has not been seen again
+        schema = pa.schema([("anchor", pa.int64()), ("chunk", pa.int32())])
         for b in batches:
-            anchor, chunk = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            if not len(anchor):
-                continue
-            more = b.column(2)
-            has = ~np.array(more.is_null())
-            twin = has.copy()
-            twin[1:] |= anchor[1:] == anchor[:-1]
-            twin[:-1] |= anchor[1:] == anchor[:-1]
-            out_c, out_a = [], []
-            if last is not None and last == anchor[0]:
-                twin |= anchor == last
-                if waiting is not None:
-                    out_c.append(np.array([waiting], np.int32))
-                    out_a.append(np.array([last], np.int64))
-            out_c.append(chunk[twin])
-            out_a.append(anchor[twin])
-            for k in np.nonzero(has)[0].tolist():
-                rest = np.frombuffer(more[k].as_py(), np.int32)
-                out_c.append(rest)
-                out_a.append(np.full(len(rest), anchor[k]))
-            last, waiting = anchor[-1], None if twin[-1] else chunk[-1]
-            yield common.batch(schema, np.concatenate(out_c), np.concatenate(out_a))
+            own = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+            chunk = np.repeat(b.column(0).to_numpy(zero_copy_only=False), [len(x) for x in own])
+            anchor = np.concatenate([np.empty(0, np.int64), *own])
+            order = np.lexsort((chunk, anchor))
+            anchor, chunk = anchor[order], chunk[order]
+            new = np.ones(len(anchor), bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (chunk[1:] != chunk[:-1])
+            yield common.batch(schema, anchor[new], chunk[new])
 
     segment_schema = pa.schema([("anchor", pa.int64()), ("ord", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("content", pa.binary())])
 
     def cut(left, right):
-        """The segments of a chunk whose anchors occur again; content is null where a run is settled here."""
-        want = np.unique(right.column("anchor").to_numpy())
-        out: list[tuple] = []
-        if left.num_rows and len(want):
-            docs = unpacked(left)
-            texts, seen = encoded([r[3] for r in docs]), {}
-            for a, z in blocks([len(t) for t in texts]):
-                anchor, doc, first, last = runs(*kind.symbols(texts[a:z]), kind.window, kind.gram)
-                anchor, now, content = anchor.view(np.int64), -1, None
+        """Marks of the windows that the shard's structure decides (content is null), and the segments of the others whose anchors occur in other shards."""
+        out: list[list[np.ndarray]] = [[] for _ in range(5)]
+        contents: list = []
+        if left.num_rows:
+            rows = unpacked(left)
+            base = np.int64(left.column("chunk")[0].as_py()) << np.int64(32)
+            texts, ords = encoded([r[2] for r in rows]), np.array([r[1] for r in rows], np.int64)
+            found = list(shard_windows(kind, texts, ords))
+            # anchors of several shards, and of several stretches of this one
+            own = np.unique(np.concatenate([np.stack([x[5][0].view(np.int64), x[6] + (k << 32)], 1) for k, x in enumerate(found)] or [np.empty((0, 2), np.int64)]), axis=0)[:, 0] if sum(map(len, texts)) >= SHARD else np.empty(0, np.int64)
+            want = np.unique(np.concatenate([right.column("anchor").to_numpy(), own[1:][own[1:] == own[:-1]]]))
+            for a, starts, doc, place, gone, (anchor, d, first, last), _ in found:
+                edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
+                f, e = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0] - 1
+                for column, x in zip(out, (f - f, ords[a + doc[f]], base + a + doc[f], place[f], place[e])):
+                    column.append(x)
+                contents += [None] * len(f)
+                if not len(want) or not len(anchor):
+                    continue
+                anchor = anchor.view(np.int64)
                 spot = np.minimum(np.searchsorted(want, anchor), len(want) - 1)
-                hit = np.nonzero(want[spot] == anchor)[0]
-                for k, d, f, e in zip(anchor[hit].tolist(), doc[hit].tolist(), first[hit].tolist(), last[hit].tolist()):
-                    if d != now:
-                        now, content, (_, ord_, row, _) = d, kind.content(texts[a + d]), docs[a + d]
-                    part, here = content(f, e + kind.window), (ord_, f)
-                    settled = seen.setdefault(part, here) < here
-                    out.append((row if settled else k, ord_, row, f, e, None if settled else part))
-        columns = list(zip(*out)) or [[]] * 6
-        return pa.table([pa.array(c, t) for c, t in zip(columns, segment_schema.types)], schema=segment_schema)
+                low, high = starts[d] + first, starts[d] + last
+                free = np.concatenate([[0], np.cumsum(~gone)])
+                hit = np.nonzero((want[spot] == anchor) & (free[high + 1] > free[low]))[0]
+                left_ = np.nonzero(~gone)[0]
+                f = left_[free[low[hit]]] - starts[d[hit]]  # the first and the last window that is not decided
+                e = left_[free[high[hit] + 1] - 1] - starts[d[hit]]
+                for column, x in zip(out, (anchor[hit], ords[a + d[hit]], base + a + d[hit], f, e)):
+                    column.append(x)
+                now, content = -1, None
+                for k, x, y in zip(d[hit].tolist(), f.tolist(), e.tolist()):
+                    if k != now:
+                        now, content = k, kind.content(texts[a + k])
+                    contents.append(content(x, y + kind.window))
+        columns = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
+        return pa.table([*(pa.array(c, t) for c, t in zip(columns, segment_schema.types)), pa.array(contents, pa.binary())], schema=segment_schema)
 
     def settle(batches):
         """Marks of the segments of each anchor, in groups of about GROUP_BYTES; the input is sorted by anchor, ord, first."""
-        schema = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
+        schema = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32()), ("how", pa.int8())])
         held, size, carry = [], 0, None
 
         def flush():
             nonlocal held, size, carry
             found, carry = group_marks(kind, held, carry)
             held, size = [], 0
-            return common.batch(schema, *(list(zip(*found)) or [[]] * 3))
+            return common.batch(schema, *(list(zip(*found)) or [[]] * 4))
 
         for b in batches:
-            settled = np.array(b.column(5).is_null())
-            yield common.batch(schema, *(b.column(k).filter(pa.array(settled)) for k in (2, 3, 4)))
-            for x in zip(*(c.filter(pa.array(~settled)).to_pylist() for c in b.columns)):
+            for x in zip(*(c.to_pylist() for c in b.columns)):
                 if held and size >= GROUP_BYTES and (x[0] != held[-1][0] or size >= 4 * GROUP_BYTES):
                     yield flush()
                 held.append(x)
@@ -231,11 +289,12 @@ def marks(docs: DataFrame, packs: DataFrame, kind: Windows) -> DataFrame:
         if held:
             yield flush()
 
-    listed = common.map_arrow(docs.select("chunk", "text"), anchors, "anchor long, chunk int, more binary").repartition("anchor").sortWithinPartitions("anchor")
-    wanted = listed.mapInArrow(again, "chunk int, anchor long")
-    segments = packs.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(cut, "anchor long, ord long, row long, first int, last int, content binary")
-    dealt = segments.repartition("anchor").sortWithinPartitions("anchor", "ord", "first")
-    return dealt.mapInArrow(settle, "row long, first int, last int")
+    listed = common.map_arrow(docs.select("chunk", "anchors"), anchors, "anchor long, chunk int").repartition("anchor").sortWithinPartitions("anchor", "chunk")
+    wanted = listed.mapInArrow(shared_anchors, "chunk int, anchor long")
+    segments = common.written(packs.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(cut, "anchor long, ord long, row long, first int, last int, content binary"), "segments")
+    dealt = segments.where("content is not null").repartition("anchor").sortWithinPartitions("anchor", "ord", "first")
+    settled = dealt.mapInArrow(settle, "row long, first int, last int, how tinyint")
+    return segments.where("content is null").select("row", "first", "last", F.lit(1).cast("tinyint").alias("how")).union(settled)
 
 
 def group_marks(kind: Windows, rows: list[tuple], carry):
@@ -255,7 +314,7 @@ def group_marks(kind: Windows, rows: list[tuple], carry):
             if k == len(own):
                 own.append((ord_, first, last - first + 1, row, anchor == carried, content))
             elif (ord_, first) > own[k][:2]:
-                out.append((row, first, last))
+                out.append((row, first, last, 2))
             else:
                 twins.append((len(owner) + k, row, first))
             end += 1
@@ -275,9 +334,9 @@ def group_marks(kind: Windows, rows: list[tuple], carry):
         keys = kind.merge(seen, keys)
     bounds = np.cumsum(sizes) - sizes
     for k, (_, first, n, row, _, _) in enumerate(owner):
-        out += [(row, first + a, first + z) for a, z in true_runs(earlier[bounds[k] : bounds[k] + n])]
+        out += [(row, first + a, first + z, 3) for a, z in true_runs(earlier[bounds[k] : bounds[k] + n])]
     for k, row, first in twins:
-        out += [(row, first + a, first + z) for a, z in true_runs(earlier[bounds[k] : bounds[k] + owner[k][2]])]
+        out += [(row, first + a, first + z, 3) for a, z in true_runs(earlier[bounds[k] : bounds[k] + owner[k][2]])]
     return out, (goes_on, keys)
 
 
@@ -300,25 +359,29 @@ def not_first(label: np.ndarray, ords: np.ndarray, starts: np.ndarray) -> np.nda
 
 def apply(df: DataFrame, kind: Windows, finish: Callable, schema: str, arrow: pa.Schema) -> DataFrame:
     """finish(text as bytes, marks) -> a row after doc_id, for every document; marks: (first, last) window of each marked run."""
-    docs = keyed(df)
-    chunks = max(8, 4 * docs.rdd.getNumPartitions())
-    docs = docs.withColumn("chunk", F.pmod("row", F.lit(chunks)).cast("int"))
+    docs = in_shards(scanned(df, kind))
     packs = in_packs(docs)
-    gone = marks(docs, packs, kind).withColumn("chunk", F.pmod("row", F.lit(chunks)).cast("int"))
+    gone = marks(docs, packs, kind).select(F.shiftright("row", 32).cast("int").alias("chunk"), F.col("row").bitwiseAND(F.lit((1 << 32) - 1)).alias("row"), "first", "last")
 
     def run(left, right):
         row, first, last = (right.column(k).to_numpy() for k in ("row", "first", "last"))
         order = np.argsort(row)
         row, first, last = row[order], first[order], last[order]
         rows = []
-        for doc_id, _, name, text in unpacked(left) if left.num_rows else ():
-            a, z = np.searchsorted(row, name), np.searchsorted(row, name, "right")
+        for k, (doc_id, _, text) in enumerate(unpacked(left) if left.num_rows else ()):
+            a, z = np.searchsorted(row, k), np.searchsorted(row, k, "right")
             rows.append((doc_id, *finish(text.encode("utf-8", "surrogatepass"), first[a:z], last[a:z])))
         return pa.table([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * len(arrow), arrow.types)], schema=arrow)
 
     return packs.groupBy("chunk").cogroup(gone.groupBy("chunk")).applyInArrow(run, schema)
 
 
+def tally(df: DataFrame, kind: Windows) -> dict[int, int]:
+    """How many windows were marked in their shard (1), by equal segments (2) and by the structure over segments (3)."""
+    docs = in_shards(scanned(df, kind))
+    return {r.how: r.n for r in marks(docs, in_packs(docs), kind).groupBy("how").agg(F.sum(F.col("last") - F.col("first") + 1).alias("n")).collect()}
+
+
 def covered(n: int, first: np.ndarray, last: np.ndarray, window: int) -> np.ndarray:
     """Which of n symbols lie in a marked window."""
     edge = np.zeros(n + 1, np.int64)

@@ -1,12 +1,12 @@
 """Substring dedup over words by prefix-partitioned suffix trees.
 
-The suffixes of a group of segments are split by prefixes of growing length until a part is small; each part
+All suffixes of a shard (some 3 MB of documents that mostly have something in common) are split by prefixes of growing length until a part is small; each part
 gets its subtree, grown level by level: a node's suffixes are parted by their next word, single suffixes end in
 a leaf, and a chain without a branch is one edge. A node that is left with several suffixes at depth ``WINDOW`` or
-more is a repeat: of its windows all but the first go.
+more is a repeat: of its windows all but the first go. Shards are merged by the anchors of their first windows rather than by the windows' own first words, which ships
+some four words a window instead of twenty; a merging task grows the same subtrees over what several shards share.
 
-Words are told apart by 64-bit hashes. Groups are made by the anchors of ``repeats`` rather than by the windows' own first words, which ships
-some four words a window instead of twenty; see there for order and the defined results for nulls and repeated rows.
+Words are told apart by 64-bit hashes. See ``repeats`` for shards, order and the defined results for nulls and repeated rows.
 """
 
 from __future__ import annotations
@@ -106,6 +106,18 @@ def subtree(words: np.ndarray, part: np.ndarray, depth: int, window: int) -> tup
     return part, node
 
 
+def shard_windows(words: np.ndarray, at: np.ndarray, ords: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Which of the windows at some positions of a shard's words start earlier in it: those under a deep node of a subtree that are not its first."""
+    index = np.full(len(words), -1, np.int64)
+    index[at] = np.arange(len(at))
+    out = np.zeros(len(at), bool)
+    for part, depth in prefix_parts(words, at):
+        suffixes, node = subtree(words, part, depth, window)
+        mine = index[suffixes]
+        out[mine] = repeats.not_first(node, ords[mine], starts[mine])
+    return out
+
+
 def merged(a: set, b: set) -> set:
     return a | b
 
@@ -132,7 +144,7 @@ def earlier_windows(contents, sizes, ords, starts, carried, seen, open_, window:
     return out, {rows[i].tobytes() for i in at[open_[owner]].tolist()}
 
 
-WORDS = repeats.Windows(WINDOW, GRAM, word_hashes, content, read, earlier_windows, merged)
+WORDS = repeats.Windows(WINDOW, GRAM, word_hashes, content, read, shard_windows, earlier_windows, merged)
 
 
 def dedup(df: DataFrame, kind: repeats.Windows = WORDS, texts: bool = True) -> DataFrame:

@@ -1,14 +1,14 @@
 """Exact dedup of byte strings by suffix arrays.
 
-A shard (the segments that share anchors, a few MB) gets a suffix array by Larsson-Sadakane refinement: suffixes are sorted by eight
+A shard (some 3 MB of documents that mostly have something in common) gets a suffix array by Larsson-Sadakane refinement: suffixes are sorted by eight
 bytes, then groups that are still tied by the ranks eight, sixteen, thirty-two ... bytes on, until the depth
 passes the window. Kasai's recurrence gives the common prefixes of neighbours, run over many stretches of the text side by
-side; neighbours that share ``WINDOW`` bytes are one class, of which all but the first occurrence go. Where one
-anchor has more than a shard holds, the sorted windows of its earlier shards are kept and later shards
+side; neighbours that share ``WINDOW`` bytes are one class, of which all but the first occurrence go. Shards are merged by the anchors of their first windows; where one
+anchor has more than a merging task holds, the sorted windows of its earlier groups are kept and later ones
 search them by bisection.
 
 Strings are judged on the input; every byte that a later occurrence covers goes. See ``repeats`` for how
-shards are made, the order of rows and the defined results for nulls and repeated rows.
+shards are made and merged, the order of rows and the defined results for nulls and repeated rows.
 """
 
 from __future__ import annotations
@@ -113,6 +113,15 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, first: np.ndarray, cap:
     return out[order]
 
 
+def shard_windows(text: np.ndarray, at: np.ndarray, ords: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Which of the windows at some positions of a shard's text start earlier in it, by its suffix array and common prefixes."""
+    order, first = suffix_array(text, window)
+    shared = common_prefixes(text, order, first, window)
+    label = np.empty(len(text), np.int64)
+    label[order] = np.cumsum(shared < window)
+    return repeats.not_first(label[at], ords, starts)
+
+
 def window_bytes(text: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     """The windows from some positions, as sortable byte strings (with a last byte of one, so that zeros at the end count)."""
     rows = np.ones((len(at), window + 1), np.uint8)
@@ -150,7 +159,7 @@ def earlier_windows(contents, sizes, ords, starts, carried, seen, open_, window:
     return out, np.unique(window_bytes(text, at[open_[owner]], window))
 
 
-BYTES = repeats.Windows(WINDOW, GRAM, octets, content, read, earlier_windows, merged)
+BYTES = repeats.Windows(WINDOW, GRAM, octets, content, read, shard_windows, earlier_windows, merged)
 
 
 def dedup(df: DataFrame, kind: repeats.Windows = BYTES, texts: bool = True) -> DataFrame:
