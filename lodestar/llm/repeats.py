@@ -3,7 +3,8 @@
 1. ``scan`` reads every text once: its anchors (the k-gram of smallest hash in each window, the leftmost if several are; equal windows have equal anchors at equal places) and the least of
    them, which texts with much in common mostly share.
 2. Documents are dealt to shards of about ``SHARD`` bytes by that least anchor, so that copies mostly meet in one shard; a value with more than a shard's text is spread over several.
-3. Each shard gets the operator's own structure over all of its suffixes (``earlier``: suffix array or suffix tree). It decides every window that also starts earlier in the shard.
+3. Each shard gets the operator's own structure (``earlier``: suffix array or suffix tree) over the text of all windows whose anchor comes again in the shard (a pre-filter that misses nothing). It decides every window that
+   also starts earlier in the shard.
 4. What is left are first windows of a shard. Those whose anchor occurs in other shards too (a pre-filter that misses nothing; each shard sends an anchor once) are cut out as segments, the runs of windows with one anchor,
    and dealt by anchor: a task merges the shards' segments in bounded groups. Of equal segments the first counts; an anchor that is left with several segments goes to the structure again, and where it has more than a group
    holds, later groups search the windows of earlier ones.
@@ -168,6 +169,14 @@ def unpacked(table: pa.Table) -> list[tuple]:
     return sorted((r for blob in table.column("blob") for r in common.thaw(blob.as_py())), key=lambda r: r[1:])
 
 
+def between(n: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which of n places lie in one of the stretches first..end (excluded)."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, np.minimum(end, n), -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def shard_windows(kind: Windows, texts: list[bytes], ords: np.ndarray):
     """For each block of a shard's texts: (first text, symbols' document, place in it, which windows start earlier in the block's stretch, runs, stretch of each run)."""
     for a, z in blocks([len(t) for t in texts]):
@@ -175,14 +184,22 @@ def shard_windows(kind: Windows, texts: list[bytes], ords: np.ndarray):
         starts = np.cumsum(sizes) - sizes
         doc = np.repeat(np.arange(z - a), sizes)
         place = np.arange(len(symbols)) - starts[doc]
-        whole = place + kind.window <= sizes[doc]
-        gone = np.zeros(len(symbols), bool)
-        for s in range(0, len(symbols), PIECE):  # a text longer than a piece is taken in overlapping stretches
-            at = np.nonzero(whole[s : s + PIECE])[0]
-            if len(at) > 1:
-                gone[s + at] = kind.earlier(symbols[s : s + PIECE + kind.window - 1], at, ords[a + doc[s + at]], place[s + at])
         found = runs(symbols, sizes, kind.window, kind.gram)
-        yield a, starts, doc, place, gone, found, (starts[found[1]] + found[2]) // PIECE
+        # only windows whose anchor comes again here can start earlier here: the structure is built over their symbols
+        _, which, often = np.unique(found[0], return_inverse=True, return_counts=True)
+        again = np.nonzero(often[which] > 1)[0]
+        low, high = starts[found[1][again]] + found[2][again], starts[found[1][again]] + found[3][again]
+        gone = np.zeros(len(symbols), bool)
+        if len(again):
+            at = np.nonzero(between(len(symbols), low, high + 1))[0]
+            kept = np.nonzero(between(len(symbols), low, high + kind.window))[0]
+            spot = np.searchsorted(kept, at)
+            for s in range(0, len(kept), PIECE):  # more than a piece is taken in overlapping stretches
+                x, y = np.searchsorted(spot, [s, s + PIECE])
+                if y - x > 1:
+                    gone[at[x:y]] = kind.earlier(symbols[kept[s : s + PIECE + kind.window - 1]], spot[x:y] - s, ords[a + doc[at[x:y]]], place[at[x:y]])
+        stretch = np.searchsorted(kept, starts[found[1]] + found[2]) // PIECE if len(again) else np.zeros(len(found[0]), np.int64)
+        yield a, starts, doc, place, gone, found, stretch
 
 
 def shared_anchors(batches):
