@@ -53,7 +53,7 @@ def scratch(spark: SparkSession):
     try:
         yield keep
     finally:
-        stack.remove(made)
+        stack.pop()
         for path in made:
             if path not in keep:
                 remove(spark, path)
@@ -83,7 +83,10 @@ def put_back(df: DataFrame, columns: list[str], *more) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts the lineage and outlives any executor."""
-    path = fresh_path(df.sparkSession, name)
+    return written_at(df, fresh_path(df.sparkSession, name))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -91,7 +94,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of bounded bytes, however long the texts are. Every operator sets these same two values, so that no plan made earlier is changed by a later one."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, tidy: bool = False) -> DataFrame:
@@ -144,28 +147,6 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(F.col(id_col).cast(T.LongType()).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def packed(df: DataFrame, limit: int, name: str) -> DataFrame:
-    """(pack, size, blob) of documents (doc_id, text), written: packs of about ``limit`` characters of text in the order of the scan; size is their number."""
-    from pyspark import TaskContext
-
-    schema = pa.schema([("pack", pa.int64()), ("size", pa.int64()), ("blob", pa.binary())])
-
-    def run(batches):
-        part, number, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
-        for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids.append(doc_id)
-                texts.append(text)
-                size += len(text)
-                if size >= limit:
-                    yield batch(schema, [part << 24 | number], [size], [freeze((ids, texts))])
-                    number, ids, texts, size = number + 1, [], [], 0
-        if ids:
-            yield batch(schema, [part << 24 | number], [size], [freeze((ids, texts))])
-
-    return written(map_arrow(documents(df), run, "pack long, size long, blob binary"), name)
-
-
 def freeze(rows) -> bytes:
     import pickle
 
