@@ -255,6 +255,7 @@ def row(total, width):
 
 def test_a_large_group_of_near_copies(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 64)  # keys of a group are split
+    monkeypatch.setattr(simhash, "TOGETHER", 30)  # and so are components
     rng = random.Random(6)
     base = [f"w{rng.randint(0, 9999)}" for _ in range(300)]
     rows = [(k, " ".join(w if j != k % 300 else "zz" for j, w in enumerate(base))) for k in range(200)] + [(900, " ".join(rng.sample(base, 300)))]
@@ -313,6 +314,48 @@ def test_repeats(spark, docs, texts, monkeypatch, small_groups):
         assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (len(s), sum(gone), hashlib.sha256(kept).hexdigest())
 
 
+def test_anchors_of_several_shards():
+    import pyarrow as pa
+
+    from lodestar.llm import repeats
+
+    rng = random.Random(9)
+    for _ in range(300):
+        rows = sorted((rng.randint(0, 4), rng.randint(0, 3)) for _ in range(rng.randint(0, 25)))
+        schema, cuts = pa.schema([("anchor", pa.int64()), ("chunk", pa.int32())]), sorted(rng.randint(0, len(rows)) for _ in range(4))
+        parts = [rows[x:y] for x, y in zip([0, *cuts], [*cuts, len(rows)])]
+        got = [(r["anchor"], r["chunk"]) for out in repeats.shared_anchors(common.batch(schema, [a for a, _ in p], [c for _, c in p]) for p in parts) for r in out.to_pylist()]
+        chunks = {a: {c for k, c in rows if k == a} for a, _ in rows}
+        assert sorted(got) == sorted((a, c) for a, own in chunks.items() if len(own) > 1 for c in own)
+
+
+@pytest.mark.parametrize("module", [suffix_array, substring_tree])
+def test_repeats_in_many_shards_and_stretches(spark, monkeypatch, module):
+    """Texts longer than a stretch, values of more than a shard's text, and a text that is a tail of another."""
+    from lodestar.llm import repeats
+
+    monkeypatch.setattr(repeats, "SHARD", 4000)
+    monkeypatch.setattr(repeats, "PIECE", 700)
+    rng = random.Random(11)
+    base = " ".join(rng.choice(["ab", "cde", "f", "gh"]) for _ in range(4000))
+    long = " ".join(str(rng.randint(0, 10**6)) for _ in range(3000))
+    rows = [(1, long), (2, long[-5000:]), (3, base), *((k, base[: 900 + k]) for k in range(4, 40)), (None, long[:3000]), (7, base[:1500])]
+    kind, symbols = (suffix_array.BYTES, str.encode) if module is suffix_array else (substring_tree.WORDS, lambda t: t.encode().split())
+    got = {(r.doc_id, r[1]): r.n_removed for r in module.dedup(spark.createDataFrame(rows, "doc_id long, text string"), texts=False).collect()}
+    want = {}
+    for i, s, gone in slow_repeats([(2**63 - 1 if i is None else i, t) for i, t in rows], symbols, kind.window):
+        want[None if i == 2**63 - 1 else i, len(s)] = sum(gone)
+    assert {k: v for k, v in got.items() if k[0] != 7} == {k: v for k, v in want.items() if k[0] != 7}
+
+
+def test_most_repeats_are_decided_by_the_structures(spark, docs):
+    from lodestar.llm import repeats
+
+    for kind in (suffix_array.BYTES, substring_tree.WORDS):
+        found = repeats.tally(docs, kind)
+        assert found[1] > 0.5 * sum(found.values())
+
+
 @pytest.mark.parametrize("kind", [suffix_array.BYTES, substring_tree.WORDS])
 def test_repeats_in_texts_longer_than_a_position_has_bits(monkeypatch, kind):
     from lodestar.llm import repeats
@@ -324,8 +367,12 @@ def test_repeats_in_texts_longer_than_a_position_has_bits(monkeypatch, kind):
 
 
 def test_repeats_odd(odd, empty):
-    for module in (suffix_array, substring_tree):
-        assert module.dedup(odd).count() == len(ODD) and module.dedup(empty).count() == 0
+    for module, symbols in ((suffix_array, str.encode), (substring_tree, lambda t: t.encode().split())):
+        rows = sorted(module.dedup(odd).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r[1]))
+        assert module.dedup(empty).count() == 0
+        named = [(2**63 - 1 if i is None else i, t or "") for i, t in ODD]
+        want = sorted((i, len(s), sum(gone)) for i, s, gone in slow_repeats(named, symbols, 100 if module is suffix_array else 20))
+        assert [(2**63 - 1 if r.doc_id is None else r.doc_id, r[1], r.n_removed) for r in rows] == want
 
 
 # ---- 4
@@ -536,7 +583,7 @@ def test_language_model_is_a_softmax_over_the_vocabulary(spark):
     h = {w: int(language_model.hashes([w])[0]) for w in [*counts, b"never seen"]}
     frequent = sorted(counts, key=lambda w: (-counts[w], h[w] - (1 << 64) if h[w] >> 63 else h[w]))[: language_model.OWN]
     voc = language_model.Vocabulary([h[w] for w in frequent])
-    packs = common.packed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 1 << 12, "p").select("pack", "blob")
+    packs = language_model.packed_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 1 << 12).select("pack", "blob")
     model = language_model.train(packs, voc, sum(counts.values()), 1 << 20)
     member = {w: int(voc.members(np.array([x], np.uint64))[0]) for w, x in h.items()}
     room = Counter()
@@ -646,3 +693,15 @@ def test_pipeline_stages_on_odd_documents(spark, odd, empty):
         assert corpus_pipeline.quality_rules(spark, docs, SF).count() == 0
         assert corpus_pipeline.encoding(spark, docs, SF).count() == docs.count()
     assert corpus_pipeline.near_dedup(spark, odd, SF).count() == len(ODD) - 2  # of the three without words and an id one stays, and both of the repeated id
+
+
+def test_quality_on_documents_held_out(spark):
+    """The ratio is fitted with half of the labels and judged on the other half."""
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    odd = {r.doc_id: r.quality for r in labels.where("doc_id % 2 = 1").collect()}
+    rows = quality.judge(docs, labels.where("doc_id % 2 = 0")).select("doc_id", "kept", "llr", "base_failed").collect()
+    good, bad = ([r for r in rows if not r.base_failed and odd.get(r.doc_id) == q] for q in (1, 0))
+    assert len(good) > 20 and sum(r.kept for r in good) >= 0.95 * len(good)
+    assert not bad or sum(r.llr for r in bad) / len(bad) < sum(r.llr for r in good) / len(good)
