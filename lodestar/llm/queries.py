@@ -15,4 +15,4 @@ QUERIES = {
     "op10_bpe": bpe.op10_bpe,
 }
 
-ORACLE_SQL = {"op6_warc": warc.ORACLE_SQL, "op9_substring": substring_tree.ORACLE_SQL}
+ORACLE_SQL = {"op3_suffix_array": suffix_array.ORACLE_SQL, "op6_warc": warc.ORACLE_SQL, "op9_substring": substring_tree.ORACLE_SQL}

@@ -365,6 +365,10 @@ def true_runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def not_first(label: np.ndarray, ords: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Of windows with a class label each: which have one of their class that is strictly earlier."""
+    if (ords[1:] >= ords[:-1]).all() and ((ords[1:] != ords[:-1]) | (starts[1:] > starts[:-1])).all():  # in order as they come: the first of a class has its smallest index
+        lead = np.full(int(label.max(initial=0)) + 1, len(label))
+        lead[label[::-1]] = np.arange(len(label) - 1, -1, -1)
+        return lead[label] != np.arange(len(label))
     order = np.lexsort((starts, ords, label))
     head = np.ones(len(label), bool)
     head[1:] = label[order][1:] != label[order][:-1]

@@ -46,8 +46,9 @@ def leading(text: np.ndarray) -> np.ndarray:
     return key[: len(text)]
 
 
-def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffixes in order of their first ``depth`` bytes or more, the eight leading bytes of each position)."""
+def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(suffixes in order of their first ``depth`` bytes or more, the eight leading bytes of each position, how each is tied to the one before it: 2 to the full depth, 1 as far as the last round
+    but one, so that the depth lies between, 0 less)."""
     n, first = len(text), leading(text)
     order = np.argsort(first)
     new = np.ones(n, bool)
@@ -55,53 +56,62 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     place = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     rank = np.empty(n, np.int64)
     rank[order] = place
-    open_ = np.ones(n, bool)
-    done = 8
+    slots, done, before = np.arange(n), 8, place
     while done < depth:
-        # a group of one is settled
-        head = np.append(place[open_][1:] != place[open_][:-1], True) & (np.insert(place[open_][1:] != place[open_][:-1], 0, True)) if open_.any() else np.zeros(0, bool)
-        slots = np.nonzero(open_)[0][~head]
+        if 2 * done >= depth:
+            before = place.copy()
+        group = place[slots]
+        same = group[1:] == group[:-1]
+        several = np.zeros(len(slots), bool)
+        several[1:] |= same
+        several[:-1] |= same
+        slots, group = slots[several], group[several]  # a group of one is settled
         if not len(slots):
             break
         members = order[slots]
         on = members + done
-        second = np.where(on < n, rank[np.minimum(on, n - 1)] + 1, 0)
-        key = rank[members] * (n + 1) + second
+        key = group * (n + 1)
+        key += np.where(on < n, rank[np.minimum(on, n - 1)] + 1, 0)
         by = np.argsort(key)
-        order[slots], key = members[by], key[by]
+        members, key = members[by], key[by]
         new = np.ones(len(slots), bool)
         new[1:] = key[1:] != key[:-1]
-        start = np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))
-        place[slots] = slots[start]
-        rank[order[slots]] = place[slots]
-        open_ = np.zeros(n, bool)
-        open_[slots] = True
+        group = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
+        order[slots], place[slots] = members, group
+        rank[members] = group
         done *= 2
-    return order, first
+    tied = np.zeros(n, np.int8)
+    tied[1:] = (before[1:] == before[:-1]).astype(np.int8) + (place[1:] == place[:-1])
+    return order, first, tied
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, first: np.ndarray, cap: int) -> np.ndarray:
-    """Bytes that each suffix in order shares with the one before it, up to ``cap``: Kasai's recurrence, LANE positions of many lanes."""
+def common_prefixes(text: np.ndarray, order: np.ndarray, first: np.ndarray, tied: np.ndarray, cap: int) -> np.ndarray:
+    """Bytes that each suffix in order shares with the one before it, up to ``cap``: Kasai's recurrence over the suffixes whose ties leave it open, LANE positions of many lanes. Those tied to the full depth
+    share ``cap``; of the others 0 stands for too few."""
     n = len(text)
+    out = np.where(tied == 2, cap, 0)
     before = np.full(n, -1, np.int64)
-    before[order[1:]] = order[:-1]
-    out = np.zeros(n, np.int64)
+    open_ = np.nonzero(tied == 1)[0]
+    before[order[open_]] = order[open_ - 1]
+    where = np.nonzero(before >= 0)[0]
+    got = np.zeros(len(where), np.int64)
     tail = np.concatenate([first, np.zeros(cap + 16, np.uint64)])
-    lanes = np.arange(0, n, LANE)
+    lanes = np.arange(0, len(where), LANE)
     h = np.zeros(len(lanes), np.int64)
     for step in range(LANE):
-        at = lanes + step
-        at = at[at < n]
-        h = h[: len(at)]
-        h = np.where(h >= cap, 0, np.maximum(h - 1, 0))  # pairs tied to the full depth have no order that the recurrence could lean on
+        j = lanes + step
+        j = j[j < len(where)]
+        at = where[j]
+        h = h[: len(j)]
+        follows = np.zeros(len(j), bool) if not step else at == where[j - 1] + 1
+        h = np.where((h >= cap) | ~follows, 0, np.maximum(h - 1, 0))  # pairs tied to the full depth have no order that the recurrence could lean on
         other = before[at]
-        h[other < 0] = 0
-        go = np.nonzero(other >= 0)[0]
+        go = np.arange(len(j))
         while len(go):  # eight bytes at a time
             go = go[h[go] < cap]
             go = go[tail[at[go] + h[go]] == tail[other[go] + h[go]]]
             h[go] += 8
-        go = np.nonzero((other >= 0) & (h < cap))[0]
+        go = np.nonzero(h < cap)[0]
         if len(go):
             apart = tail[at[go] + h[go]] ^ tail[other[go] + h[go]]
             for k in range(8):
@@ -109,14 +119,17 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, first: np.ndarray, cap:
                 h[go[same]] += 1
                 go, apart = go[same], apart[same]
         h = np.minimum(h, cap)
-        out[at] = h
-    return out[order]
+        got[j] = h
+    shared = np.zeros(n, np.int64)
+    shared[where] = got
+    out[open_] = shared[order[open_]]
+    return out
 
 
 def shard_windows(text: np.ndarray, at: np.ndarray, ords: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Which of the windows at some positions of a shard's text start earlier in it, by its suffix array and common prefixes."""
-    order, first = suffix_array(text, window)
-    shared = common_prefixes(text, order, first, window)
+    order, first, tied = suffix_array(text, window)
+    shared = common_prefixes(text, order, first, tied, window)
     label = np.empty(len(text), np.int64)
     label[order] = np.cumsum(shared < window)
     return repeats.not_first(label[at], ords, starts)
@@ -143,8 +156,8 @@ def earlier_windows(contents, sizes, ords, starts, carried, seen, open_, window:
     at = begin[owner] + offset
     index = np.full(len(text), -1, np.int64)
     index[at] = np.arange(len(at))
-    order, first = suffix_array(text, window)
-    shared = common_prefixes(text, order, first, window)
+    order, first, tied = suffix_array(text, window)
+    shared = common_prefixes(text, order, first, tied, window)
     label = np.cumsum(shared < window)
     mine = index[order]
     keep = mine >= 0
@@ -182,3 +195,16 @@ def dedup(df: DataFrame, kind: repeats.Windows = BYTES, texts: bool = True) -> D
 
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(common.table(spark, sf_dir, "documents"), texts=False)
+
+
+#: Windows are told apart by 128-bit digests; bytes are handled as hexadecimal digits.
+ORACLE_SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, {2 * WINDOW})) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {WINDOW - 1})) AS s FROM d)),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS i FROM p) WHERE i > 1),
+i AS (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + {WINDOW} THEN 0 ELSE 1 END AS new FROM r),
+g AS (SELECT doc_id, min(s) AS a, max(s) + {WINDOW} AS z FROM (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM i) GROUP BY doc_id, run),
+c AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM g),
+t AS (SELECT c.doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * b + 1, 2 * (a - b)), '' ORDER BY a) || substr(any_value(h), 2 * max(z) + 1) AS kept FROM c JOIN d ON d.doc_id = c.doc_id GROUP BY c.doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+"""
