@@ -314,6 +314,15 @@ def test_repeats(spark, docs, texts, monkeypatch, small_groups):
         assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (len(s), sum(gone), hashlib.sha256(kept).hexdigest())
 
 
+@pytest.mark.parametrize("query, sql", [(suffix_array.op3_suffix_array, suffix_array.ORACLE_SQL), (substring_tree.op9_substring, substring_tree.ORACLE_SQL)])
+def test_repeats_sql(spark, query, sql):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    want = con.sql(sql)
+    got = query(spark, SF).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 def test_anchors_of_several_shards():
     import pyarrow as pa
 
