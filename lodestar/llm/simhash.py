@@ -29,8 +29,12 @@ from lodestar.operators.graph import component_ids
 WORDS, BITS, SEED = 4, 4, 42
 CUTS = (0, 13, 26, 39, 52, 64)
 BLOCK = 4096
-#: For ``similar_documents``: segments, turned bits in each, and differing bits of 128 up to which a pair is checked, or is taken to be near enough for a forest to do.
-SEGMENTS, FREE, FAR, SURE = 6, 4, 34, 10
+#: For ``similar_documents``: segments, turned bits in each, and differing bits of 128 up to which a pair is checked.
+SEGMENTS, FREE, FAR = 6, 4, 30
+#: Nodes and bytes of shingles of a component that one task compares at once, at most twice as many.
+TOGETHER, SETS = 512, 4 << 20
+#: Bits of the map that finds the documents of nodes again; more nodes than it has bits only mean that more sets are made than are needed.
+BITMAP = 1 << 24
 
 
 def fingerprint(text: str, words: int = WORDS) -> int:
@@ -237,45 +241,53 @@ def ball_rows(low: np.ndarray, high: np.ndarray, free: np.ndarray, width: int) -
     return keys
 
 
-def spanning(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(which of the links (a, b) a forest of them needs, the tree of each of n)."""
-    label, need = np.arange(n), np.zeros(len(a), bool)
-    while True:
-        at = np.nonzero(label[a] != label[b])[0]
-        if not len(at):
-            return need, label
-        ends, first = np.unique(np.concatenate([label[a[at]], label[b[at]]]), return_index=True)
-        pick = np.full(n, len(a))
-        np.minimum.at(pick, label[a[at]], at)
-        np.minimum.at(pick, label[b[at]], at)
-        chosen = np.unique(pick[ends])
-        need[chosen] = True
-        label = forest(a[chosen], b[chosen], n, label)
-
-
-def near_pairs(key: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray, probe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of nodes that share a key and differ in at most FAR bits: of those within SURE a forest, of the others all whose trees differ."""
+def near_groups(key: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray, probe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, root) of the nodes that hang together by pairs which share a key and differ in at most FAR bits; root is the smallest of them, so tasks mostly name the same one."""
     order = np.lexsort((probe, key))
     key, node, low, high, probe = key[order], node[order], low[order].view(np.uint64), high[order].view(np.uint64), probe[order]
     names, at = np.unique(node, return_inverse=True)
-    near, found = np.arange(len(key)), [np.empty((0, 3), np.int64)]
+    near, pairs, held, label = np.arange(len(key)), [], 0, np.arange(len(names))
     for step in range(1, len(key)):
         near = near[near + step < len(key)]
         near = near[(key[near] == key[near + step]) & ~probe[near]]
         if not len(near):
             break
-        gap = np.bitwise_count(low[near] ^ low[near + step]).astype(np.int64) + np.bitwise_count(high[near] ^ high[near + step])
-        hit = (gap <= FAR) & (at[near] != at[near + step])
-        x, y = at[near[hit]], at[near[hit] + step]
-        found.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y), gap[hit]], 1), axis=0))
-        if step % 256 == 0:
-            found = [np.unique(np.concatenate(found), axis=0)]
-    rows = np.unique(np.concatenate(found), axis=0)
-    sure = rows[rows[:, 2] <= SURE]
-    need, tree = spanning(sure[:, 0], sure[:, 1], len(names))
-    other = rows[(rows[:, 2] > SURE) & (tree[rows[:, 0]] != tree[rows[:, 1]])]
-    out = np.concatenate([sure[need], other])
-    return names[out[:, 0]], names[out[:, 1]]
+        x, y = at[near], at[near + step]
+        open_ = label[x] != label[y]
+        gap = np.bitwise_count(low[near[open_]] ^ low[near[open_] + step]).astype(np.int64) + np.bitwise_count(high[near[open_]] ^ high[near[open_] + step])
+        hit = gap <= FAR
+        pairs.append((x[open_][hit], y[open_][hit]))
+        held += int(hit.sum())
+        if held > 1 << 18 or step % 64 == 0:
+            label, pairs, held = forest(*map(np.concatenate, zip(*pairs)), len(names), label), [], 0
+    if pairs:
+        label = forest(*map(np.concatenate, zip(*pairs)), len(names), label)
+    moved = label != np.arange(len(names))
+    return names[moved], names[label[moved]]
+
+
+def linked(low: np.ndarray, high: np.ndarray, block: np.ndarray, sets: list[np.ndarray], similar: float) -> list[tuple[int, int]]:
+    """A forest of the pairs whose sets' Jaccard share is ``similar`` or more, among those that differ in at most FAR bits; the nearest are checked first, and none that hang together already. Of two blocks only pairs across."""
+    low, high = low.view(np.uint64), high.view(np.uint64)
+    gap = np.bitwise_count(low[:, None] ^ low[None]).astype(np.int16) + np.bitwise_count(high[:, None] ^ high[None])
+    near = np.triu(gap <= FAR, 1)
+    if (block != block[0]).any():
+        near &= block[:, None] != block[None]
+    x, y = np.nonzero(near)
+    order = np.argsort(gap[x, y], kind="stable")
+    x, y = x[order], y[order]
+    label, out, at = np.arange(len(low)), [], 0
+    while at < len(x):
+        some = np.nonzero(label[x[at : at + 4096]] != label[y[at : at + 4096]])[0] + at
+        for k in some.tolist():
+            i, j = int(x[k]), int(y[k])
+            if label[i] != label[j]:
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if shared >= similar * (len(sets[i]) + len(sets[j]) - shared):
+                    label[label == label[j]] = label[i]
+                    out.append((i, j))
+        at += 4096
+    return out
 
 
 def similar_documents(df: DataFrame, words: int = 5, similar: float = 0.8) -> DataFrame:
@@ -284,11 +296,21 @@ def similar_documents(df: DataFrame, words: int = 5, similar: float = 0.8) -> Da
     Multi-index hashing over a 128-bit SimHash of the set: six segments, in each the Hamming ball over its ``FREE`` least certain bits (those that the
     fewest shingles decide, which are the ones that a change turns); table matches with ``FAR`` or fewer differing bits over all 128 go on to an exact check of the share, so
     no link is wrong. Of pairs at a share of 0.8, 0.85 and 0.9 some 0.99, 1.0 and 1.0 are found with segments of 16 bits (up to 130,000 documents), 0.97, 0.99 and 1.0 with
-    18 and 0.86, 0.95 and 0.99 with 21 (from two millions on; measured over random sets of 60 to 400 shingles, see ``tests/llm``). Texts with one fingerprint are one node, named by its smallest doc_id. Of pairs within
-    ``SURE`` bits under a key only a forest is checked, so that large groups of copies give no squares of pairs. A key with over ``BLOCK`` / 4 entries is split in blocks as in ``links``.
+    18 and 0.86, 0.95 and 0.99 with 21 (from two millions on; measured over random sets of 60 to 400 shingles, see ``tests/llm``).
+
+    Texts with one fingerprint are one node, named by its smallest doc_id. No group of copies gives a square of pairs: of the matches under a key a task keeps which nodes hang together; the components of all matches then
+    bring their nodes' sets together, once each, and there the nearest pairs are checked first and only until they hang together. A key with over ``BLOCK`` / 4 entries, and a component with over ``TOGETHER`` nodes or
+    ``SETS`` bytes, is split in blocks, every pair of which is compared by itself.
 
     Defined results: null texts are empty ones; those without words are one group; rows without doc_id belong to the group of their text, and are alone (null) if no id is there. Rows repeat as the input's do.
     """
+    with common.scratch(df.sparkSession) as keep:
+        path = common.fresh_path(df.sparkSession, "groups")
+        keep.add(path)
+        return common.written_at(_similar_documents(df, words, similar), path)
+
+
+def _similar_documents(df: DataFrame, words: int, similar: float) -> DataFrame:
     spark = df.sparkSession
     docs = common.documents(df)
     width = segment_width(docs.count())
@@ -301,13 +323,14 @@ def similar_documents(df: DataFrame, words: int = 5, similar: float = 0.8) -> Da
 
     row_names = "key long, node long, low long, high long, probe boolean"
     row_schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("probe", pa.bool_())])
+    edge_schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def enter(batches):
         for b in batches:
             for k in range(0, len(b), 2000):
-                part = b.slice(k, 2000)
-                node, low, high = (part.column(c).to_numpy(zero_copy_only=False) for c in range(3))
-                free = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint8).reshape(-1, SEGMENTS, FREE)
+                rows = b.slice(k, 2000)
+                node, low, high = (rows.column(c).to_numpy(zero_copy_only=False) for c in range(3))
+                free = np.frombuffer(b"".join(rows.column(3).to_pylist()), np.uint8).reshape(-1, SEGMENTS, FREE)
                 keys = ball_rows(low, high, free, width)
                 shape = keys.shape
                 spread = lambda x: np.broadcast_to(x[:, None, None], shape).ravel()
@@ -315,7 +338,6 @@ def similar_documents(df: DataFrame, words: int = 5, similar: float = 0.8) -> Da
                 yield common.batch(row_schema, keys.ravel(), spread(node), spread(low), spread(high), probe)
 
     def compare(batches):
-        schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
         held, n = [], 0
         for b in batches:
             held.append(tuple(c.to_numpy(zero_copy_only=False) for c in b.columns))
@@ -324,48 +346,70 @@ def similar_documents(df: DataFrame, words: int = 5, similar: float = 0.8) -> Da
                 rows = [np.concatenate(x) for x in zip(*held)]
                 end = int(np.searchsorted(rows[0], rows[0][-1]))
                 if end:
-                    yield common.batch(schema, *near_pairs(*(x[:end] for x in rows)))
+                    yield common.batch(edge_schema, *near_groups(*(x[:end] for x in rows)))
                 held = [tuple(x[end:] for x in rows)]
                 n = len(held[0][0])
         if held:
-            yield common.batch(schema, *near_pairs(*(np.concatenate(x) for x in zip(*held))))
-
-    drawn = common.written(common.map_arrow(docs, draw, names, tidy=True), "sketches")
-    classes = common.written(drawn.groupBy("low", "high").agg(F.min("doc_id").alias("node"), F.min("free").alias("free")), "classes")
-    rows = common.map_arrow(classes.where("node is not null").select("node", "low", "high", "free"), enter, row_names, tidy=True)
-    hot = rows.where("not probe").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK // 4)
-    hot = common.written(hot.select("key", F.ceil(F.col("n") / F.lit(BLOCK // 4)).cast("int").alias("blocks")), "hot")
-    rows = rows.join(hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    both = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.least(i, mine).cast("long") * (1 << 31) + F.greatest(i, mine))
-    rows = rows.withColumn("pair", F.explode(F.when(F.col("blocks") > 1, both).otherwise(F.array(F.lit(0).cast("long")))))
-    rows = rows.select(F.when(F.col("blocks") > 1, F.xxhash64("key", "pair")).otherwise(F.col("key")).alias("key"), "node", "low", "high", "probe")
-    found = rows.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "src long, dst long")
-    pairs = common.written(found.distinct(), "pairs")
+            yield common.batch(edge_schema, *near_groups(*(np.concatenate(x) for x in zip(*held))))
 
     def collect(batches):
+        """The sets of documents whose id may be a node's, by a bitmap of a fixed size: no text is shuffled to find them."""
         schema = pa.schema([("node", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("shingles", pa.binary())])
+        bitmap = sent.value
         for b in batches:
-            for node, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            marks = b.column(2).to_numpy(zero_copy_only=False)
+            some = (bitmap[marks >> 6] >> (marks & 63).astype(np.uint64)) & np.uint64(1) == 1
+            part = b.filter(pa.array(some))
+            for node, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 low, high, _ = sketch(text, words, width)
                 yield common.batch(schema, [node], [low], [high], [shingle_set(text, words).tobytes()])
 
-    def check(batches):
-        schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+    def connect(batches):
+        """Checked links of each group; the input is sorted by group."""
+        held: list[tuple] = []
+
+        def links_():
+            node, low, high, block = (np.array([r[k] for r in held], np.int64) for k in (1, 2, 3, 4))
+            found = linked(low, high, block, [np.frombuffer(r[5], np.uint64) for r in held], similar)
+            return common.batch(edge_schema, [node[i] for i, _ in found], [node[j] for _, j in found])
+
         for b in batches:
-            good = []
-            for x, y in zip(b.column(2), b.column(3)):
-                one, two = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                common_ = len(np.intersect1d(one, two, assume_unique=True))
-                good.append(common_ >= similar * (len(one) + len(two) - common_))
-            keep = pa.array(good, pa.bool_())
-            yield common.batch(schema, *(b.column(k).filter(keep) for k in (0, 1)))
-
-    wanted = pairs.select(F.col("src").alias("doc_id")).union(pairs.select("dst")).distinct()
-    sets = common.map_arrow(docs.join(wanted, "doc_id", "left_semi"), collect, "node long, low long, high long, shingles binary")
-    sets = common.written(sets.join(classes.select("node", "low", "high"), ["node", "low", "high"], "left_semi").dropDuplicates(["node"]).select("node", "shingles"), "shingles")
-    sides = pairs.join(sets.select(F.col("node").alias("src"), F.col("shingles").alias("one")), "src").join(sets.select(F.col("node").alias("dst"), F.col("shingles").alias("two")), "dst")
-    checked = common.written(common.map_arrow(sides.select("src", "dst", "one", "two"), check, "src long, dst long"), "links")
+            for r in zip(*(c.to_pylist() for c in b.columns)):
+                if held and r[0] != held[-1][0]:
+                    yield links_()
+                    held = []
+                held.append(r)
+        if held:
+            yield links_()
+
+    pairs_of = lambda mine: F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.least(i, mine).cast("long") * (1 << 31) + F.greatest(i, mine))
+    drawn = common.written(common.map_arrow(docs, draw, names, tidy=True), "sketches")
+    classes = common.written(drawn.groupBy("low", "high").agg(F.min("doc_id").alias("node"), F.min("free").alias("free")), "classes")
+    # matches
+    rows = common.map_arrow(classes.where("node is not null").select("node", "low", "high", "free"), enter, row_names, tidy=True)
+    hot = rows.where("not probe").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK // 4)
+    hot = common.written(hot.select("key", F.ceil(F.col("n") / F.lit(BLOCK // 4)).cast("int").alias("blocks")), "hot")
+    rows = rows.join(hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("pair", F.explode(F.when(F.col("blocks") > 1, pairs_of(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))).otherwise(F.array(F.lit(0).cast("long")))))
+    rows = rows.select(F.when(F.col("blocks") > 1, F.xxhash64("key", "pair")).otherwise(F.col("key")).alias("key"), "node", "low", "high", "probe")
+    found = common.written(rows.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "src long, dst long").distinct(), "matches")
+    # checks, within the components of the matches
+    whole = common.written(component_ids(found, common.fresh_path(spark, "components")).select("node", F.col("component").alias("whole")), "whole")
+    mark = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP))
+    held = whole.select(mark("node").alias("m")).groupBy(F.shiftright("m", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, int(m & 63))")).alias("bits")).collect()  # BITMAP / 64 rows at most
+    bitmap = np.zeros(BITMAP // 64, np.int64)
+    for r in held:
+        bitmap[r["at"]] = r["bits"]
+    sent = spark.sparkContext.broadcast(bitmap.view(np.uint64))
+    sets = common.map_arrow(docs.where("doc_id is not null").select("doc_id", "text", mark("doc_id").alias("mark")), collect, "node long, low long, high long, shingles binary")
+    sets = common.written(sets.join(classes.select("node", "low", "high"), ["node", "low", "high"], "left_semi").dropDuplicates(["node"]), "shingles")
+    sizes = sets.select("node", F.octet_length("shingles").alias("size")).join(whole, "node").groupBy("whole").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("n") / F.lit(TOGETHER)), F.ceil(F.col("bytes") / F.lit(SETS))).cast("int")
+    sizes = common.written(sizes.select("whole", blocks.alias("blocks")).where("blocks > 1"), "blocks")
+    members = whole.join(sizes, "whole", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members = members.select("node", "block", F.explode(F.transform(pairs_of(F.col("block")), lambda p: F.xxhash64("whole", p))).alias("group"))
+    dealt = members.join(sets, "node").select("group", "node", "low", "high", "block", "shingles").repartition("group").sortWithinPartitions("group")
+    checked = common.written(dealt.mapInArrow(connect, "src long, dst long"), "links")
     parts = component_ids(checked, common.fresh_path(spark, "components"))
     named = classes.select("low", "high", "node").join(parts, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component_id"))
     return drawn.select("doc_id", "low", "high").join(common.written(named, "classes"), ["low", "high"]).select("doc_id", "component_id")
