@@ -402,13 +402,13 @@ def _similar_documents(df: DataFrame, words: int, similar: float) -> DataFrame:
         bitmap[r["at"]] = r["bits"]
     sent = spark.sparkContext.broadcast(bitmap.view(np.uint64))
     sets = common.map_arrow(docs.where("doc_id is not null").select("doc_id", "text", mark("doc_id").alias("mark")), collect, "node long, low long, high long, shingles binary")
-    sets = common.written(sets.join(classes.select("node", "low", "high"), ["node", "low", "high"], "left_semi").dropDuplicates(["node"]), "shingles")
+    sets = common.written(sets, "shingles")  # some of them of no node; repeated rows are there each, and fall together in the links
     sizes = sets.select("node", F.octet_length("shingles").alias("size")).join(whole, "node").groupBy("whole").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("n") / F.lit(TOGETHER)), F.ceil(F.col("bytes") / F.lit(SETS))).cast("int")
     sizes = common.written(sizes.select("whole", blocks.alias("blocks")).where("blocks > 1"), "blocks")
     members = whole.join(sizes, "whole", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = members.select("node", "block", F.explode(F.transform(pairs_of(F.col("block")), lambda p: F.xxhash64("whole", p))).alias("group"))
-    dealt = members.join(sets, "node").select("group", "node", "low", "high", "block", "shingles").repartition("group").sortWithinPartitions("group")
+    members = members.join(classes.select("node", "low", "high"), "node").select("node", "low", "high", "block", F.explode(F.transform(pairs_of(F.col("block")), lambda p: F.xxhash64("whole", p))).alias("group"))
+    dealt = members.join(sets, ["node", "low", "high"]).select("group", "node", "low", "high", "block", "shingles").repartition("group").sortWithinPartitions("group")
     checked = common.written(dealt.mapInArrow(connect, "src long, dst long"), "links")
     parts = component_ids(checked, common.fresh_path(spark, "components"))
     named = classes.select("low", "high", "node").join(parts, "node", "left").select("low", "high", F.coalesce("component", "node").alias("component_id"))
