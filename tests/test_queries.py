@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
-from lodestar.operators import fit, joins, overlay
+from lodestar.operators import fit, joins, overlay, windows
 from lodestar.operators.graph import component_ids
 from lodestar.plans import registry
 from lodestar.sources import files
@@ -175,3 +175,13 @@ def test_without_llm_the_rest_imports():
         if "llm" not in p.parts:
             assert "lodestar.llm" not in p.read_text(), p
             ast.parse(p.read_text())
+
+
+def test_gap_split_stops_at_the_levels_of_its_sql(spark, con, tmp_path):
+    boxes = spark.read.parquet(f"{SF}/embeddings.parquet").selectExpr("vec_id as id", "cast(floor((embedding[0] + 0.5) * 3840) as bigint) as x", "cast(floor((embedding[1] + 0.5) * 2849) as bigint) as y")
+    for levels, target in ((2, 8), (3, 20)):
+        want = con.sql(f"{registry.WITH}{registry._split_sql(levels, target)}").fetchall()
+        assert max(map(len, [r[1] for r in want])) == levels
+        got = windows.gap_split(boxes, target, str(tmp_path), levels).collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+    assert windows.gap_split(boxes, 8, str(tmp_path)).groupBy("path").count().where("count > 8").count() == 0
