@@ -16,9 +16,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, a Jaccard share of 0.8 or more) the document with the smallest doc_id, with all rows that bear it; rows without doc_id stay."""
     groups = simhash.similar_documents(docs)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    nameless = docs.where("doc_id is null")
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns).unionByName(nameless)
+    first = F.max(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    gone = groups.where("doc_id is not null").groupBy("doc_id").agg(first.alias("first")).where("not first").select("doc_id")
+    return simhash.without_ids(docs, common.written(gone, "gone"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
