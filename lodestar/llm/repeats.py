@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lodestar.llm import common
 
-SHARD, PIECE, GROUP_BYTES, PLACES = 3 << 20, 4 << 20, 2 << 20, 24
+SHARD, PIECE, GROUP_BYTES, HASHED, PLACES = 3 << 20, 4 << 20, 2 << 20, 1 << 19, 24
 
 
 @dataclass(frozen=True)
@@ -71,7 +71,18 @@ def leads(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(symbols: np.ndarray, sizes: np.ndarray, window: int, gram: int):
-    """(anchor, document, first, last) of each run of windows with one anchor; symbols holds documents of the given sizes one after the other."""
+    """(anchor, document, first, last) of each run of windows with one anchor; symbols holds documents of the given sizes one after the other. Some HASHED symbols are taken at a time, whole documents."""
+    ends = np.cumsum(sizes)
+    cuts = [0, *(np.nonzero(np.diff(ends // HASHED))[0] + 1).tolist(), len(sizes)]
+    found = []
+    for a, z in zip(cuts, cuts[1:]):
+        anchor, doc, first, last = runs_of(symbols[ends[a] - sizes[a] : ends[z - 1]] if z > a else symbols[:0], sizes[a:z], window, gram)
+        found.append((anchor, doc + a, first, last))
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def runs_of(symbols: np.ndarray, sizes: np.ndarray, window: int, gram: int):
+    """``runs`` at one go."""
     n = len(symbols)
     if n < window:
         return tuple(np.empty(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
@@ -171,35 +182,42 @@ def unpacked(table: pa.Table) -> list[tuple]:
 
 def between(n: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Which of n places lie in one of the stretches first..end (excluded)."""
-    edge = np.zeros(n + 1, np.int64)
+    edge = np.zeros(n + 1, np.int32)
     np.add.at(edge, first, 1)
     np.add.at(edge, np.minimum(end, n), -1)
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
+
+
+def dense(ords: np.ndarray) -> np.ndarray:
+    """Numbers in the order of ords, equal where these are."""
+    return np.unique(ords, return_inverse=True)[1].astype(np.int32)
 
 
 def shard_windows(kind: Windows, texts: list[bytes], ords: np.ndarray):
-    """For each block of a shard's texts: (first text, symbols' document, place in it, which windows start earlier in the block's stretch, runs, stretch of each run)."""
+    """For each block of a shard's texts: (first text, where its texts start and end, which windows start earlier in the block's stretch, runs, stretch of each run)."""
     for a, z in blocks([len(t) for t in texts]):
         symbols, sizes = kind.symbols(texts[a:z])
-        starts = np.cumsum(sizes) - sizes
-        doc = np.repeat(np.arange(z - a), sizes)
-        place = np.arange(len(symbols)) - starts[doc]
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
         found = runs(symbols, sizes, kind.window, kind.gram)
         # only windows whose anchor comes again here can start earlier here: the structure is built over their symbols
         _, which, often = np.unique(found[0], return_inverse=True, return_counts=True)
         again = np.nonzero(often[which] > 1)[0]
         low, high = starts[found[1][again]] + found[2][again], starts[found[1][again]] + found[3][again]
         gone = np.zeros(len(symbols), bool)
+        stretch = np.zeros(len(found[0]), np.int64)
         if len(again):
-            at = np.nonzero(between(len(symbols), low, high + 1))[0]
-            kept = np.nonzero(between(len(symbols), low, high + kind.window))[0]
-            spot = np.searchsorted(kept, at)
+            at = np.nonzero(between(len(symbols), low, high + 1))[0].astype(np.int32)
+            kept = np.nonzero(between(len(symbols), low, high + kind.window))[0].astype(np.int32)
+            spot = np.searchsorted(kept, at).astype(np.int32)
+            stretch = np.searchsorted(kept, starts[found[1]] + found[2]) // PIECE
+            turn, begin = dense(ords[a:z]), starts.astype(np.int32)
             for s in range(0, len(kept), PIECE):  # more than a piece is taken in overlapping stretches
                 x, y = np.searchsorted(spot, [s, s + PIECE])
                 if y - x > 1:
-                    gone[at[x:y]] = kind.earlier(symbols[kept[s : s + PIECE + kind.window - 1]], spot[x:y] - s, ords[a + doc[at[x:y]]], place[at[x:y]])
-        stretch = np.searchsorted(kept, starts[found[1]] + found[2]) // PIECE if len(again) else np.zeros(len(found[0]), np.int64)
-        yield a, starts, doc, place, gone, found, stretch
+                    doc = np.searchsorted(ends, at[x:y], "right").astype(np.int32)
+                    gone[at[x:y]] = kind.earlier(symbols[kept[s : s + PIECE + kind.window - 1]], spot[x:y] - np.int32(s), turn[doc], at[x:y] - begin[doc])
+        yield a, starts, ends, gone, found, stretch
 
 
 def shared_anchors(batches):
@@ -258,12 +276,12 @@ def marks(docs: DataFrame, packs: DataFrame, kind: Windows) -> DataFrame:
             texts, ords = encoded([r[2] for r in rows]), np.array([r[1] for r in rows], np.int64)
             found = list(shard_windows(kind, texts, ords))
             # anchors of several shards, and of several stretches of this one
-            own = np.unique(np.concatenate([np.stack([x[5][0].view(np.int64), x[6] + (k << 32)], 1) for k, x in enumerate(found)] or [np.empty((0, 2), np.int64)]), axis=0)[:, 0] if sum(map(len, texts)) >= SHARD else np.empty(0, np.int64)
+            own = np.unique(np.concatenate([np.stack([x[4][0].view(np.int64), x[5] + (k << 32)], 1) for k, x in enumerate(found)] or [np.empty((0, 2), np.int64)]), axis=0)[:, 0] if sum(map(len, texts)) >= SHARD else np.empty(0, np.int64)
             want = np.unique(np.concatenate([right.column("anchor").to_numpy(), own[1:][own[1:] == own[:-1]]]))
-            for a, starts, doc, place, gone, (anchor, d, first, last), _ in found:
-                edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
-                f, e = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0] - 1
-                for column, x in zip(out, (f - f, ords[a + doc[f]], base + a + doc[f], place[f], place[e])):
+            for a, starts, ends, gone, (anchor, d, first, last), _ in found:
+                f, e = edges(gone)
+                doc, doc_e = np.searchsorted(ends, f, "right"), np.searchsorted(ends, e, "right")
+                for column, x in zip(out, (f - f, ords[a + doc], base + a + doc, f - starts[doc], e - starts[doc_e])):
                     column.append(x)
                 contents += [None] * len(f)
                 if not len(want) or not len(anchor):
@@ -271,9 +289,10 @@ def marks(docs: DataFrame, packs: DataFrame, kind: Windows) -> DataFrame:
                 anchor = anchor.view(np.int64)
                 spot = np.minimum(np.searchsorted(want, anchor), len(want) - 1)
                 low, high = starts[d] + first, starts[d] + last
-                free = np.concatenate([[0], np.cumsum(~gone)])
+                free = np.zeros(len(gone) + 1, np.int32)
+                np.cumsum(~gone, out=free[1:])
                 hit = np.nonzero((want[spot] == anchor) & (free[high + 1] > free[low]))[0]
-                left_ = np.nonzero(~gone)[0]
+                left_ = np.nonzero(~gone)[0].astype(np.int32)
                 f = left_[free[low[hit]]] - starts[d[hit]]  # the first and the last window that is not decided
                 e = left_[free[high[hit] + 1] - 1] - starts[d[hit]]
                 for column, x in zip(out, (anchor[hit], ords[a + d[hit]], base + a + d[hit], f, e)):
@@ -283,7 +302,9 @@ def marks(docs: DataFrame, packs: DataFrame, kind: Windows) -> DataFrame:
                     if k != now:
                         now, content = k, kind.content(texts[a + k])
                     contents.append(content(x, y + kind.window))
+            del found, rows, texts
         columns = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
+        common.let_go()
         return pa.table([*(pa.array(c, t) for c, t in zip(columns, segment_schema.types)), pa.array(contents, pa.binary())], schema=segment_schema)
 
     def settle(batches):
@@ -305,6 +326,7 @@ def marks(docs: DataFrame, packs: DataFrame, kind: Windows) -> DataFrame:
                 size += len(x[5])
         if held:
             yield flush()
+            common.let_go()
 
     listed = common.map_arrow(docs.select("chunk", "anchors"), anchors, "anchor long, chunk int").repartition("anchor").sortWithinPartitions("anchor", "chunk")
     wanted = listed.mapInArrow(shared_anchors, "chunk int, anchor long")
@@ -359,16 +381,22 @@ def group_marks(kind: Windows, rows: list[tuple], carry):
 
 def true_runs(flags: np.ndarray) -> list[tuple[int, int]]:
     """(first, last) of each run of True."""
-    edge = np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))
-    return list(zip(np.nonzero(edge == 1)[0].tolist(), (np.nonzero(edge == -1)[0] - 1).tolist()))
+    first, last = edges(flags)
+    return list(zip(first.tolist(), last.tolist()))
+
+
+def edges(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of True."""
+    edge = np.diff(np.concatenate([np.zeros(1, np.int8), flags.view(np.int8), np.zeros(1, np.int8)]))
+    return np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0] - 1
 
 
 def not_first(label: np.ndarray, ords: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Of windows with a class label each: which have one of their class that is strictly earlier."""
     if (ords[1:] >= ords[:-1]).all() and ((ords[1:] != ords[:-1]) | (starts[1:] > starts[:-1])).all():  # in order as they come: the first of a class has its smallest index
-        lead = np.full(int(label.max(initial=0)) + 1, len(label))
-        lead[label[::-1]] = np.arange(len(label) - 1, -1, -1)
-        return lead[label] != np.arange(len(label))
+        lead = np.full(int(label.max(initial=0)) + 1, len(label), np.int32)
+        lead[label[::-1]] = np.arange(len(label) - 1, -1, -1, dtype=np.int32)
+        return lead[label] != np.arange(len(label), dtype=np.int32)
     order = np.lexsort((starts, ords, label))
     head = np.ones(len(label), bool)
     head[1:] = label[order][1:] != label[order][:-1]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestar.llm import common, repeats
 
 WINDOW, GRAM = 100, 32
-LANE = 128
+LANE, SORTED = 128, 1 << 18
 
 
 def octets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -46,56 +46,78 @@ def leading(text: np.ndarray) -> np.ndarray:
     return key[: len(text)]
 
 
-def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(suffixes in order of their first ``depth`` bytes or more, the eight leading bytes of each position, how each is tied to the one before it: 2 to the full depth, 1 as far as the last round
-    but one, so that the depth lies between, 0 less)."""
+def heads(new: np.ndarray) -> np.ndarray:
+    """For each place the last one up to it where ``new`` is set."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new), dtype=np.int32), np.int32(0)))
+
+
+def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes in order of their first ``depth`` bytes or more, how each is tied to the one before it: 2 to the full depth, 1 as far as the last round but one, so that the depth lies between,
+    0 less). Places have four bytes, and a round sorts whole groups of some SORTED suffixes at a time: two workers share an executor's memory with its JVM."""
     n, first = len(text), leading(text)
-    order = np.argsort(first)
+    order = np.argsort(first).astype(np.int32)
+    first = first[order]
     new = np.ones(n, bool)
-    new[1:] = first[order][1:] != first[order][:-1]
-    place = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
+    new[1:] = first[1:] != first[:-1]
+    del first
+    place = heads(new)
+    rank = np.empty(n, np.int32)
     rank[order] = place
-    slots, done, before = np.arange(n), 8, place
+    slots, done, before = np.arange(n, dtype=np.int32), 8, place
     while done < depth:
         if 2 * done >= depth:
             before = place.copy()
         group = place[slots]
-        same = group[1:] == group[:-1]
         several = np.zeros(len(slots), bool)
-        several[1:] |= same
-        several[:-1] |= same
-        slots, group = slots[several], group[several]  # a group of one is settled
+        several[1:] = group[1:] == group[:-1]
+        several[:-1] |= several[1:]
+        slots = slots[several]  # a group of one is settled
+        del group
         if not len(slots):
             break
-        members = order[slots]
-        on = members + done
-        key = group * (n + 1)
-        key += np.where(on < n, rank[np.minimum(on, n - 1)] + 1, 0)
-        by = np.argsort(key)
-        members, key = members[by], key[by]
-        new = np.ones(len(slots), bool)
-        new[1:] = key[1:] != key[:-1]
-        group = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
-        order[slots], place[slots] = members, group
-        rank[members] = group
+        for part in whole_groups(slots, place):
+            members, group = order[part], place[part]
+            on = members + np.int32(done)
+            key = group.astype(np.int64) * (n + 1)
+            key += np.where(on < n, rank[np.minimum(on, n - 1)] + np.int32(1), np.int32(0))
+            by = np.argsort(key)
+            members, key = members[by], key[by]
+            new = np.ones(len(part), bool)
+            new[1:] = key[1:] != key[:-1]
+            order[part], place[part] = members, part[heads(new)]
+        rank[order[slots]] = place[slots]  # only now: a round goes by the ranks of the round before
         done *= 2
     tied = np.zeros(n, np.int8)
     tied[1:] = (before[1:] == before[:-1]).astype(np.int8) + (place[1:] == place[:-1])
-    return order, first, tied
+    return order, tied
+
 
+def whole_groups(slots: np.ndarray, place: np.ndarray):
+    """slots in stretches of about SORTED, none of which ends within a group."""
+    a = 0
+    while a < len(slots):
+        z = min(a + SORTED, len(slots))
+        if z < len(slots):  # slots of a group follow each other, and places grow with them
+            z = a + int(np.searchsorted(place[slots[a:z]], place[slots[z]]))
+            if z == a:  # one group is longer
+                z = a + int(np.searchsorted(place[slots[a:]], place[slots[a]], "right"))
+        yield slots[a:z]
+        a = z
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, first: np.ndarray, tied: np.ndarray, cap: int) -> np.ndarray:
+
+def common_prefixes(text: np.ndarray, order: np.ndarray, tied: np.ndarray, cap: int) -> np.ndarray:
     """Bytes that each suffix in order shares with the one before it, up to ``cap``: Kasai's recurrence over the suffixes whose ties leave it open, LANE positions of many lanes. Those tied to the full depth
     share ``cap``; of the others 0 stands for too few."""
     n = len(text)
-    out = np.where(tied == 2, cap, 0)
-    before = np.full(n, -1, np.int64)
-    open_ = np.nonzero(tied == 1)[0]
+    out = np.where(tied == 2, np.int32(cap), np.int32(0))
+    open_ = np.nonzero(tied == 1)[0].astype(np.int32)
+    if not len(open_):
+        return out
+    before = np.full(n, -1, np.int32)
     before[order[open_]] = order[open_ - 1]
-    where = np.nonzero(before >= 0)[0]
-    got = np.zeros(len(where), np.int64)
-    tail = np.concatenate([first, np.zeros(cap + 16, np.uint64)])
+    where = np.nonzero(before >= 0)[0].astype(np.int32)
+    got = np.zeros(len(where), np.int32)
+    tail = np.concatenate([leading(text), np.zeros(cap + 16, np.uint64)])
     lanes = np.arange(0, len(where), LANE)
     h = np.zeros(len(lanes), np.int64)
     for step in range(LANE):
@@ -120,25 +142,32 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, first: np.ndarray, tied
                 go, apart = go[same], apart[same]
         h = np.minimum(h, cap)
         got[j] = h
-    shared = np.zeros(n, np.int64)
-    shared[where] = got
-    out[open_] = shared[order[open_]]
+    del tail
+    before[where] = got
+    out[open_] = before[order[open_]]
     return out
 
 
+def classes(text: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes in order, the class of each: suffixes of one class share ``window`` bytes)."""
+    order, tied = suffix_array(text, window)
+    return order, np.cumsum(common_prefixes(text, order, tied, window) < window, dtype=np.int32)
+
+
 def shard_windows(text: np.ndarray, at: np.ndarray, ords: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Which of the windows at some positions of a shard's text start earlier in it, by its suffix array and common prefixes."""
-    order, first, tied = suffix_array(text, window)
-    shared = common_prefixes(text, order, first, tied, window)
-    label = np.empty(len(text), np.int64)
-    label[order] = np.cumsum(shared < window)
+    order, own = classes(text, window)
+    label = np.empty(len(text), np.int32)
+    label[order] = own
+    del order, own
     return repeats.not_first(label[at], ords, starts)
 
 
 def window_bytes(text: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     """The windows from some positions, as sortable byte strings (with a last byte of one, so that zeros at the end count)."""
-    rows = np.ones((len(at), window + 1), np.uint8)
-    rows[:, :window] = np.lib.stride_tricks.sliding_window_view(text, window)[at]
+    rows, windows = np.ones((len(at), window + 1), np.uint8), np.lib.stride_tricks.sliding_window_view(text, window)
+    for a in range(0, len(at), SORTED):
+        rows[a : a + SORTED, :window] = windows[at[a : a + SORTED]]
     return rows.view(f"S{window + 1}").ravel()
 
 
@@ -150,26 +179,33 @@ def earlier_windows(contents, sizes, ords, starts, carried, seen, open_, window:
     """(which windows of the contents start earlier: here, or among the sorted windows seen if carried; sorted windows of the open contents)."""
     text = np.concatenate(contents)
     lengths = sizes + window - 1
-    begin = np.cumsum(lengths) - lengths
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    begin = (np.cumsum(lengths) - lengths).astype(np.int32)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    offset = np.arange(len(owner), dtype=np.int32) - np.repeat((np.cumsum(sizes) - sizes).astype(np.int32), sizes)
     at = begin[owner] + offset
-    index = np.full(len(text), -1, np.int64)
-    index[at] = np.arange(len(at))
-    order, first, tied = suffix_array(text, window)
-    shared = common_prefixes(text, order, first, tied, window)
-    label = np.cumsum(shared < window)
+    index = np.full(len(text), -1, np.int32)
+    index[at] = np.arange(len(at), dtype=np.int32)
+    order, label = classes(text, window)
     mine = index[order]
     keep = mine >= 0
-    labels = np.empty(len(at), np.int64)
-    labels[mine[keep]] = label[keep]
-    out = repeats.not_first(labels, ords[owner], starts[owner] + offset)
+    mine, label = mine[keep], label[keep]  # the windows in order, and their classes
+    del order, index
+    labels = np.empty(len(at), np.int32)
+    labels[mine] = label
+    out = repeats.not_first(labels, repeats.dense(ords)[owner], starts.astype(np.int32)[owner] + offset)
+    del labels
     if seen is not None:
-        mine = np.nonzero(carried[owner])[0]
-        windows = window_bytes(text, at[mine], window)
-        spot = np.minimum(np.searchsorted(seen, windows), len(seen) - 1)
-        out[mine] |= seen[spot] == windows
-    return out, np.unique(window_bytes(text, at[open_[owner]], window))
+        asked = np.nonzero(carried[owner])[0]
+        for a in range(0, len(asked), SORTED):
+            some = asked[a : a + SORTED]
+            windows = window_bytes(text, at[some], window)
+            spot = np.minimum(np.searchsorted(seen, windows), len(seen) - 1)
+            out[some] |= seen[spot] == windows
+    going = open_[owner[mine]]
+    mine, label = mine[going], label[going]
+    new = np.ones(len(mine), bool)
+    new[1:] = label[1:] != label[:-1]
+    return out, window_bytes(text, at[mine[new]], window)  # one of each class, in order already
 
 
 BYTES = repeats.Windows(WINDOW, GRAM, octets, content, read, shard_windows, earlier_windows, merged)

@@ -401,6 +401,47 @@ def test_repeats_in_texts_longer_than_a_position_has_bits(monkeypatch, kind):
     assert all((a == b).all() for a, b in zip(repeats.runs(symbols, sizes, kind.window, kind.gram), want))
 
 
+def test_a_shard_takes_little_memory_beside_its_text():
+    import tracemalloc
+
+    from lodestar.llm import repeats
+
+    rng = random.Random(12)
+    base = [" ".join(str(rng.randint(0, 10**5)) for _ in range(300)) for _ in range(600)]
+    shard = [t.encode() for t in base + base]
+    size = sum(map(len, shard))
+    list(repeats.shard_windows(suffix_array.BYTES, shard[:2], np.arange(2)))
+    tracemalloc.start()
+    found = list(repeats.shard_windows(suffix_array.BYTES, shard, np.arange(len(shard))))
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sum(int(y.sum()) for x in found for y in x if isinstance(y, np.ndarray) and y.dtype == bool) == sum(len(t) - 99 for t in base)
+    assert peak < 80 * size and held < 15 * size
+
+
+def test_suffixes_are_sorted_some_groups_at_a_time(monkeypatch):
+    from lodestar.llm import repeats
+
+    rng, window = np.random.default_rng(13), 20
+    for size, most in ((400, 2), (400, 250), (1, 3), (7, 1)):
+        text = rng.integers(0, most, size).astype(np.uint8)
+        text = np.concatenate([text, text[: size // 2], np.zeros(60, np.uint8)])
+        want = sorted({text[k : k + window].tobytes() for k in range(len(text) - window + 1)})
+        at = np.arange(len(text) - window + 1)
+        first = [text[:k].tobytes().find(text[k : k + window].tobytes()) >= 0 or text.tobytes().find(text[k : k + window].tobytes()) < k for k in at]
+        for few in (1, 3, 50, 1 << 18):
+            monkeypatch.setattr(suffix_array, "SORTED", few)
+            assert suffix_array.shard_windows(text, at, np.zeros(len(at), int), at, window).tolist() == first
+            one = np.ones(1, bool)
+            late, keys = suffix_array.earlier_windows([text], np.array([len(at)]), np.zeros(1, int), np.zeros(1, int), one, np.array([want[0] + b"\x01"]), one, window)
+            assert late.tolist() == [f or text[k : k + window].tobytes() == want[0] for k, f in zip(at, first)]
+            assert [k[:window] for k in keys.tolist()] == want
+    symbols, sizes = rng.integers(0, 200, 5000).astype(np.uint8), np.array([0, 1500, 10, 2490, 0, 0, 990, 10])
+    runs = repeats.runs(symbols, sizes, 100, 32)
+    monkeypatch.setattr(repeats, "HASHED", 300)
+    assert all((a == b).all() for a, b in zip(repeats.runs(symbols, sizes, 100, 32), runs))
+
+
 def test_repeats_odd(odd, empty):
     for module, symbols in ((suffix_array, str.encode), (substring_tree, lambda t: t.encode().split())):
         rows = sorted(module.dedup(odd).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r[1]))
