@@ -1,4 +1,4 @@
-"""Polygons of detections: area, centroid and bounds as expressions; repair and convex overlap in Arrow functions."""
+"""Polygons of detections: area, centroid and bounds as expressions; repair, convex hull and overlap in Arrow functions."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 POINTS = "array<struct<x:double,y:double>>"
+PAIRS = 1 << 14
 
 
 def _pairs(points: Column) -> Column:
@@ -82,6 +83,34 @@ def clipped_area(a: np.ndarray, b: np.ndarray) -> float:
     return abs(float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum())) / 2
 
 
+def clipped_areas(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``clipped_area`` of many pairs at once, to the last bit: a (n, p, 2) cut by the sides of b (n, q, 2)."""
+    n = len(a)
+    x, y, size = a[:, :, 0], a[:, :, 1], np.full(n, a.shape[1])
+    for k in range(b.shape[1]):
+        size[size < 3] = 0
+        px, py, qx, qy = (c[:, None] for c in (b[:, k, 0], b[:, k, 1], b[:, (k + 1) % b.shape[1], 0], b[:, (k + 1) % b.shape[1], 1]))
+        at = np.arange(x.shape[1])[None, :]
+        real, after = at < size[:, None], np.where(at + 1 < size[:, None], at + 1, 0)
+        d = (qx - px) * (y - py) - (qy - py) * (x - px)
+        x2, y2, d2 = (np.take_along_axis(c, after, 1) for c in (x, y, d))
+        stays, meets = real & (d >= 0), real & (d * d2 < 0)
+        share = np.divide(d, d - d2, out=np.zeros_like(d), where=meets)
+        place = np.cumsum(stays.astype(np.int64) + meets, 1)
+        size = place[:, -1].copy()
+        new = np.zeros((2, n, max(1, int(size.max(initial=0)))))
+        row, col = np.nonzero(stays)
+        new[:, row, (place - meets - 1)[row, col]] = x[row, col], y[row, col]
+        row, col = np.nonzero(meets)
+        new[:, row, place[row, col] - 1] = (x + (x2 - x) * share)[row, col], (y + (y2 - y) * share)[row, col]
+        x, y = new
+    out = np.zeros(n)
+    for m in np.unique(size[size > 2]).tolist():
+        u, v = (np.ascontiguousarray(c[size == m, :m]) for c in (x, y))
+        out[size == m] = np.abs((u * np.roll(v, -1, 1) - np.roll(u, -1, 1) * v).sum(1)) / 2
+    return out
+
+
 def as_array(points) -> np.ndarray:
     return np.array([(p["x"], p["y"]) for p in points], float).reshape(-1, 2)
 
@@ -104,12 +133,34 @@ def repaired(points: Column) -> Column:
     return F.pandas_udf(run, POINTS)(points.cast(POINTS))
 
 
-def overlap(a: Column, b: Column) -> Column:
-    """Common area of the convex hulls of two polygons (the same as theirs where they are convex)."""
+def convex(points: Column) -> Column:
+    """The convex hull as one flat list of doubles: x and y of each corner, counter-clockwise; null of null."""
 
-    def run(left, right):
+    def run(rows):
         import pandas as pd
 
-        return pd.Series([clipped_area(hull(as_array(p)), hull(as_array(q))) for p, q in zip(left, right)], dtype="float64")
+        return pd.Series([None if r is None else hull(as_array(r)).ravel().tolist() for r in rows])
 
-    return F.pandas_udf(run, "double")(a.cast(POINTS), b.cast(POINTS))
+    return F.pandas_udf(run, "array<double>")(points.cast(POINTS))
+
+
+def overlap(a: Column, b: Column) -> Column:
+    """Common area of two ``convex`` hulls, many pairs with as many corners at once."""
+
+    def run(left, right):
+        import pyarrow as pa
+
+        ends = [np.diff(c.offsets.to_numpy()) // 2 for c in (left, right)]
+        flat = [c.flatten().to_numpy(zero_copy_only=False) for c in (left, right)]
+        starts = [np.cumsum(n) - n for n in ends]
+        out = np.zeros(len(left))
+        kinds, which = np.unique(np.stack(ends, 1), axis=0, return_inverse=True)
+        for k, (p, q) in enumerate(kinds.tolist()):
+            if p < 3 or q < 3:
+                continue
+            at = np.nonzero(which == k)[0]
+            for rows in np.split(at, range(PAIRS, len(at), PAIRS)):
+                out[rows] = clipped_areas(*(f[2 * s[rows, None] + np.arange(2 * m)].reshape(len(rows), m, 2) for f, s, m in zip(flat, starts, (p, q))))
+        return pa.array(out)
+
+    return F.arrow_udf(run, "double")(a, b)
